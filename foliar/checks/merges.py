@@ -29,7 +29,7 @@ def _order_merge(v: Views):
         (F.col("o_orderkey") + 1).alias("orderid"), "o_orderkey", "o_totalprice"
     )
     batch = orders.select("o_orderkey", (2 * F.col("o_totalprice")).alias("o_totalprice"), "o_orderpriority")
-    return batch, insert_if_absent(target, batch, ["o_orderkey"], "orderid", on_duplicate="error")
+    return batch, insert_if_absent(target, batch, ["o_orderkey"], "orderid", "error", order=["o_orderkey"])
 
 
 @check(_MERGED + "select orderid, o_orderkey, o_totalprice from merged")
@@ -59,7 +59,7 @@ def merge_composite_key(v: Views) -> DataFrame:
     )
     by = ["o_custkey", "calibration"]
     target = assign_ids(keys.where("o_orderstatus = 'F'").select(*by).distinct(), by, "methodid")
-    merged = insert_if_absent(target.select("methodid", *by), keys.select(*by).distinct(), by, "methodid", "error")
+    merged = insert_if_absent(target.select("methodid", *by), keys.select(*by).distinct(), by, "methodid", "error", order=by)
     return merged.table
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from foliar.operators.aggregate import duplicate_keys, require_unique
 from foliar.operators.joins import join
-from foliar.operators.ordered import row_number_global
+from foliar.operators.ordered import row_number_any, row_number_global
 from foliar.schema import TABLES, children_of
 
 
@@ -61,32 +61,39 @@ def insert_if_absent(
     Columns the target lacks are dropped and missing ones filled with nulls.
     Rows that repeat a key inside the batch are all kept, reduced to the first,
     or refused, by ``on_duplicate`` (keep_all, first, error). With ``id_col``
-    new rows get ids above the largest present one, in key order.
+    new rows get contiguous ids above the largest present one, in ``order``
+    where one is given; without it they are numbered in one pass.
     """
     by = list(by)
     types = {f.name: f.dataType for f in target.schema.fields}
     known = [c for c in target.columns if c in values.columns and c != id_col]
     batch = values.select(*[F.col(c).cast(types[c]).alias(c) for c in known])
     new = absent_rows(target, batch, by)
-    if on_duplicate == "error":
-        if not duplicate_keys(new, by).isEmpty():
-            raise ValueError(f"the batch repeats keys of {by}")
-    elif on_duplicate == "first":
-        new = one_per_key(new, by, F.struct(*[c for c in known]))
-    elif on_duplicate != "keep_all":
+    if on_duplicate not in ("keep_all", "first", "error"):
         raise ValueError(on_duplicate)
+    if on_duplicate == "first":
+        new = one_per_key(new, by, F.struct(*known))
     if id_col is not None:
-        rest = [c for c in known if c not in by]
-        new = assign_ids(new, order or [*by, *rest], id_col, after=max_id(target, id_col))
+        start = max_id(target, id_col) + 1
+        new = row_number_global(new, order, id_col, start) if order else row_number_any(new, id_col, start)
+    # Numbered rows are stored by now, so the check does not run the batch again.
+    if on_duplicate == "error" and not duplicate_keys(new, by).isEmpty():
+        raise ValueError(f"the batch repeats keys of {by}")
     filled = [F.col(c) if c in new.columns else F.lit(None).cast(types[c]).alias(c) for c in target.columns]
     inserted = new.select(*filled)
     return Merge(inserted, target.unionByName(inserted))
 
 
-def with_ids(values: DataFrame, table: DataFrame, by: Sequence[str], id_col: str) -> DataFrame:
-    """Input rows, with all their columns, and the id of their key in ``table``."""
+def with_ids(
+    values: DataFrame, table: DataFrame, by: Sequence[str], id_col: str, unique: bool = False
+) -> DataFrame:
+    """Input rows, with all their columns, and the id of their key in ``table``.
+
+    The key must be unique in the table; ``unique`` says that it is known to be.
+    """
     keys = table.select(*by, id_col)
-    require_unique(keys, by)
+    if not unique:
+        require_unique(keys, by)
     return join(values, keys, list(by), "left")
 
 

@@ -25,6 +25,15 @@ MAX_GROUP_ROWS = 2_000_000
 _LOW33 = (1 << 33) - 1
 
 
+def _positions(df: DataFrame) -> DataFrame:
+    """Store rows with their partition and place in it, both read off Spark's row id."""
+    row = F.col("__row")
+    out = df.withColumn("__row", F.monotonically_increasing_id()).withColumns(
+        {"__seg": F.shiftright(row, 33), "__pos": row.bitwiseAND(F.lit(_LOW33))}
+    )
+    return materialize(out.drop("__row"), "segments")
+
+
 def segments(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """Rows in global order with ``__seg`` (ordered partition) and ``__pos`` (place in it).
 
@@ -33,30 +42,19 @@ def segments(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """
     tagged = df.withColumn("__tie", F.monotonically_increasing_id())
     keys = [*order, "__tie"]
-    row = F.monotonically_increasing_id()
-    out = (
-        tagged.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .drop("__tie")
-        .withColumn("__row", row)
-        .withColumn("__seg", F.shiftright("__row", 33))
-        .withColumn("__pos", F.col("__row").bitwiseAND(F.lit(_LOW33)))
-        .drop("__row")
-    )
-    return materialize(out, "segments")
+    return _positions(tagged.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__tie"))
 
 
-def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str, start: int = 1) -> DataFrame:
-    """Consecutive numbers over the whole table in the given order.
+def _offset_rows(seg: DataFrame, name: str, start: int) -> DataFrame:
+    """Position within the segment plus the rows of all earlier segments.
 
     The driver sees one count per partition; no task sees more than one
     partition.
     """
-    seg = segments(df, order)
     counts = sorted((r["__seg"], r["n"]) for r in seg.groupBy("__seg").agg(F.count(F.lit(1)).alias("n")).collect())
-    firsts = [start, *accumulate((n for _, n in counts), initial=start)][1:]
+    firsts = accumulate((n for _, n in counts), initial=start)
     rows = [(s, first) for (s, _), first in zip(counts, firsts)]
-    offsets = df.sparkSession.createDataFrame(rows, "__oseg bigint, __first bigint")
+    offsets = seg.sparkSession.createDataFrame(rows, "__oseg bigint, __first bigint")
     return (
         seg.join(F.broadcast(offsets), F.col("__seg") == F.col("__oseg"))
         .withColumn(name, F.col("__first") + F.col("__pos"))
@@ -64,6 +62,16 @@ def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str, s
     )
 
 
+def row_number_global(df: DataFrame, order: Sequence[Column | str], name: str, start: int = 1) -> DataFrame:
+    """Consecutive numbers over the whole table in the given order."""
+    return _offset_rows(segments(df, order), name, start)
+
+
+def row_number_any(df: DataFrame, name: str, start: int = 1) -> DataFrame:
+    """Consecutive numbers in no particular order: one pass, no shuffle, stored."""
+    return _offset_rows(_positions(df), name, start)
+
+
 def hot_groups(df: DataFrame, group: Sequence[str], max_rows: int) -> DataFrame | None:
     """Keys of groups above ``max_rows``, or None. Few by nature: rows / max_rows at most."""
     hot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_rows).drop("__n")

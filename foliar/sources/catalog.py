@@ -72,23 +72,30 @@ class Catalog:
         key = TABLES[name].key
         values = values.drop(key)
         self.append(name, insert_if_absent(self.table(name), values, by, key, on_duplicate).inserted)
-        return with_ids(values, self.table(name), by, key)
+        # Refusing repeats keeps the key unique in the table.
+        return with_ids(values, self.table(name), by, key, unique=on_duplicate == "error")
 
     def add(self, name: str, values: DataFrame, by: Sequence[str], on_duplicate: str = "error") -> None:
         """Insert absent rows without returning ids."""
         key = TABLES[name].key
         self.append(name, insert_if_absent(self.table(name), values.drop(key), by, key, on_duplicate).inserted)
 
-    def add_spectra(self, values: DataFrame) -> None:
+    def add_spectra(self, values: DataFrame, ids: DataFrame | None = None) -> None:
         """Append the points of spectra that have none yet.
 
         Point ids are unique and rise with the batch but are not contiguous:
         numbering the largest table without gaps would sort it as a whole.
+        ``ids`` lists the batch's spectra; their range lets Parquet statistics
+        skip the stored points of all other projects.
         """
         version, batches = self._batches("spectra_data")
         types = {f.name: f.dataType for f in TABLES["spectra_data"].schema.fields}
         points = values.select(*[F.col(c).cast(types[c]).alias(c) for c in ("spectraid", "wavelength", "spectravalue")])
-        new = absent_rows(self.table("spectra_data"), points, ["spectraid"])
+        present = self.table("spectra_data")
+        if ids is not None:
+            low, high = ids.agg(F.min("spectraid"), F.max("spectraid")).first()
+            present = present.where(F.col("spectraid").between(low, high))
+        new = absent_rows(present, points, ["spectraid"])
         batch_start = F.lit(len(batches)).cast("long") * F.lit(1 << 52)
         numbered = new.withColumn("spectradataid", batch_start + F.monotonically_increasing_id())
         self._write("spectra_data", numbered.select(*TABLES["spectra_data"].columns), version, len(batches))

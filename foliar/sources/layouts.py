@@ -63,3 +63,21 @@ def bind_columns(
     return join(cells, listed.select(day, "__k", sample), [day, "__k"], "inner").select(
         sample, "wavelength", "spectravalue"
     )
+
+
+def header_to_long(
+    lines: DataFrame, key: str, name: str, value: str, skip: Sequence[str] = (), sep: str = r"[,\s]+"
+) -> DataFrame:
+    """Long rows from files with one column per sample, each file with its own header.
+
+    All files are scanned at once: the first line of a file names its columns
+    and is joined back to the file's other lines.
+    """
+    first = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "row")).alias("__head"))
+    body = join(lines, first, ["file"], "inner").where(F.col("value") != F.col("__head"))
+    names, cells = F.split(F.trim("__head"), sep), F.split(F.trim("value"), sep)
+    at = F.array_position(names, key).cast("int") - 1
+    cell = body.select(
+        "file", F.get(cells, at).try_cast("double").alias(key), names.alias("__names"), F.posexplode(cells)
+    ).select("file", key, F.get("__names", F.col("pos")).alias(name), F.col("col").try_cast("double").alias(value))
+    return cell.where(~F.col(name).isin(key, *skip))
