@@ -12,7 +12,7 @@ from foliar.checks.registry import check
 from foliar.operators.merge import absent_rows, assign_ids, cascade_delete, insert_if_absent, tee, with_ids
 from foliar.operators.ordered import row_number_global
 from foliar.schema import TABLES
-from foliar.session import scratch_path
+from foliar.session import scratch_path, small_table
 from foliar.sources.catalog import Catalog
 
 _MERGED = (
@@ -115,7 +115,7 @@ def empty_catalog_schema(v: Views) -> DataFrame:
     before = [count(df, name, "before") for name, df in catalog.tables().items()]
     catalog.reset()
     after = [count(df, name, "after") for name, df in catalog.tables().items()]
-    columns = v.spark.createDataFrame([(n, len(catalog.table(n).columns)) for n in TABLES], "table_name string, n_columns int")
+    columns = small_table(v.spark, "table_name string, n_columns int", [(n, len(catalog.table(n).columns)) for n in TABLES])
     counts = reduce(lambda a, b: a.unionByName(b), before + after)
     by_table = counts.groupBy("table_name").agg(
         F.sum(F.when(F.col("phase") == "before", F.col("n"))).alias("rows_before"),

@@ -11,7 +11,7 @@ from foliar.functions.nulls import extract
 from foliar.operators.aggregate import count_sorted
 from foliar.operators.columns import drop_unnamed
 from foliar.operators.joins import join
-from foliar.session import scratch_path
+from foliar.session import scratch_path, small_table
 from foliar.sources.catalog import Catalog
 from foliar.sources.files import read_csv, read_delimited, read_tree, with_file
 from foliar.sources.layouts import bind_columns, sectioned
@@ -75,7 +75,7 @@ def catalog_scan(v: Views) -> DataFrame:
 )
 def inline_table_join(v: Views) -> DataFrame:
     rows = [("BUILDING", "urban"), ("MACHINERY", "urban"), ("FURNITURE", "forest"), ("HOUSEHOLD", "garden")]
-    table = v.spark.createDataFrame(rows, "c_mktsegment string, habitat string")
+    table = small_table(v.spark, "c_mktsegment string, habitat string", rows)
     return count_sorted(join(v.raw("customer"), table, ["c_mktsegment"], "inner"), "habitat")
 
 

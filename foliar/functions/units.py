@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliar.functions.nulls import col, matches
+from foliar.session import small_table
 
 # Multiply by the factor to go from the first unit to the second.
 FACTORS: dict[tuple[str, str], float] = {
@@ -32,7 +33,7 @@ def convert_columns(df: DataFrame, columns: Sequence[str], unit: str, to: str) -
 def factor_table(spark) -> DataFrame:
     """The factors as a table, for long trait data that carries its own unit column."""
     rows = [(u, t, f) for (u, t), f in FACTORS.items()]
-    return spark.createDataFrame(rows, "unit string, to_unit string, factor double")
+    return small_table(spark, "unit string, to_unit string, factor double", rows)
 
 
 def convert_long(df: DataFrame, value: str, unit: str, to_unit: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from foliar.operators.aggregate import duplicate_keys, require_unique
 from foliar.operators.joins import join
 from foliar.operators.ordered import row_number_any, row_number_global
-from foliar.schema import TABLES, children_of
+from foliar.schema import children_of
 
 
 @dataclass(frozen=True)
@@ -32,13 +32,14 @@ def max_id(df: DataFrame, id_col: str) -> int:
     return 0 if top is None else int(top)
 
 
-def absent_rows(target: DataFrame, values: DataFrame, by: Sequence[str]) -> DataFrame:
+def absent_rows(target: DataFrame, values: DataFrame, by: Sequence[str], unique: bool = False) -> DataFrame:
     """Input rows whose key the target lacks; missing key parts match each other.
 
     A present key blocks all of its incoming rows. Only the key columns of the
-    target are read.
+    target are read, and reduced to distinct keys unless they are ``unique``.
     """
-    return join(values, target.select(*by).distinct(), list(by), "anti")
+    keys = target.select(*by)
+    return join(values, keys if unique else keys.distinct(), list(by), "anti")
 
 
 def one_per_key(values: DataFrame, by: Sequence[str], order: Column) -> DataFrame:
@@ -55,6 +56,7 @@ def insert_if_absent(
     id_col: str | None = None,
     on_duplicate: str = "keep_all",
     order: Sequence[str] | None = None,
+    unique: bool = False,
 ) -> Merge:
     """Add the rows of ``values`` whose key is not in ``target``.
 
@@ -62,13 +64,14 @@ def insert_if_absent(
     Rows that repeat a key inside the batch are all kept, reduced to the first,
     or refused, by ``on_duplicate`` (keep_all, first, error). With ``id_col``
     new rows get contiguous ids above the largest present one, in ``order``
-    where one is given; without it they are numbered in one pass.
+    where one is given; without it they are numbered in one pass. ``unique``
+    says that the target holds each key once.
     """
     by = list(by)
     types = {f.name: f.dataType for f in target.schema.fields}
     known = [c for c in target.columns if c in values.columns and c != id_col]
     batch = values.select(*[F.col(c).cast(types[c]).alias(c) for c in known])
-    new = absent_rows(target, batch, by)
+    new = absent_rows(target, batch, by, unique)
     if on_duplicate not in ("keep_all", "first", "error"):
         raise ValueError(on_duplicate)
     if on_duplicate == "first":
@@ -128,7 +131,3 @@ def cascade_delete(
             if child not in queue:
                 queue.append(child)
     return {**tables, **left}, removed
-
-
-def empty_table(spark, name: str) -> DataFrame:
-    return spark.createDataFrame([], TABLES[name].schema)

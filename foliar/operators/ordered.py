@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliar.operators.joins import join
-from foliar.session import materialize
+from foliar.session import materialize, small_table
 
 # Largest group a plain window sorts in one task.
 MAX_GROUP_ROWS = 2_000_000
@@ -54,7 +54,7 @@ def _offset_rows(seg: DataFrame, name: str, start: int) -> DataFrame:
     counts = sorted((r["__seg"], r["n"]) for r in seg.groupBy("__seg").agg(F.count(F.lit(1)).alias("n")).collect())
     firsts = accumulate((n for _, n in counts), initial=start)
     rows = [(s, first) for (s, _), first in zip(counts, firsts)]
-    offsets = seg.sparkSession.createDataFrame(rows, "__oseg bigint, __first bigint")
+    offsets = small_table(seg.sparkSession, "__oseg bigint, __first bigint", rows)
     return (
         seg.join(F.broadcast(offsets), F.col("__seg") == F.col("__oseg"))
         .withColumn(name, F.col("__first") + F.col("__pos"))
@@ -76,7 +76,7 @@ def hot_groups(df: DataFrame, group: Sequence[str], max_rows: int) -> DataFrame
     """Keys of groups above ``max_rows``, or None. Few by nature: rows / max_rows at most."""
     hot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_rows).drop("__n")
     rows = hot.collect()
-    return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+    return small_table(df.sparkSession, hot.schema, rows) if rows else None
 
 
 def _by_group_size(

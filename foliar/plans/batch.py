@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from foliar.functions.units import label
 from foliar.operators.joins import attach_row, join
-from foliar.session import materialize
+from foliar.session import materialize, small_table
 from foliar.sources.catalog import Catalog
 
 SPECTRUM_KEY = ["samplecode", "spectratype", "sampleprep", "spectracomment"]
@@ -49,7 +49,7 @@ class Batch:
 
 def rows(spark: SparkSession, schema: str, *values: tuple) -> DataFrame:
     """A small fixed table."""
-    return spark.createDataFrame(list(values), schema)
+    return small_table(spark, schema, values)
 
 
 @dataclass(frozen=True)
@@ -122,7 +122,9 @@ def load(catalog: Catalog, b: Batch) -> None:
     if b.conditions is not None:
         catalog.add("sample_condition", b.conditions, ["samplecode", "condition"], "keep_all")
     info = filled(_with_method(catalog, b), SPECTRUM_KEY)
-    keyed = catalog.merge("spectra_info", info, SPECTRUM_KEY).select(*SPECTRUM_KEY, "spectraid")
+    catalog.add("spectra_info", info, SPECTRUM_KEY)
+    ids = catalog.table("spectra_info").select(*SPECTRUM_KEY, "spectraid")
+    keyed = join(ids, info, SPECTRUM_KEY, "semi")
     points = join(filled(b.spectra, SPECTRUM_KEY), keyed, SPECTRUM_KEY, "inner")
     catalog.add_spectra(points, keyed)
     if b.trait_info is not None:

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings the jobs rely on; all of them can be changed at run time.
 RUNTIME_CONF = {
@@ -41,6 +46,18 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     return spark
 
 
+def small_table(spark: SparkSession, schema: T.StructType | str, rows: Sequence[tuple]) -> DataFrame:
+    """A driver-side table of a few rows, which Spark knows the size of."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)
+
+
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 _LOCAL_ROOT: list[str] = []
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from foliar.operators.merge import absent_rows, insert_if_absent, with_ids
 from foliar.schema import TABLES
+from foliar.session import empty_table
 
 
 class Catalog:
@@ -42,7 +43,7 @@ class Catalog:
         _, batches = self._batches(name)
         schema = TABLES[name].schema
         if not batches:
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*batches)
 
     def tables(self) -> dict[str, DataFrame]:
@@ -64,21 +65,23 @@ class Catalog:
     def reset(self) -> None:
         """Empty tables with the declared columns."""
         for name, table in TABLES.items():
-            self.replace(name, self.spark.createDataFrame([], table.schema))
+            self.replace(name, empty_table(self.spark, table.schema))
 
     # --- merges ----------------------------------------------------------------------
     def merge(self, name: str, values: DataFrame, by: Sequence[str], on_duplicate: str = "error") -> DataFrame:
         """Insert absent rows and return the input with the table's ids."""
         key = TABLES[name].key
         values = values.drop(key)
-        self.append(name, insert_if_absent(self.table(name), values, by, key, on_duplicate).inserted)
-        # Refusing repeats keeps the key unique in the table.
+        self.add(name, values, by, on_duplicate)
         return with_ids(values, self.table(name), by, key, unique=on_duplicate == "error")
 
     def add(self, name: str, values: DataFrame, by: Sequence[str], on_duplicate: str = "error") -> None:
         """Insert absent rows without returning ids."""
         key = TABLES[name].key
-        self.append(name, insert_if_absent(self.table(name), values.drop(key), by, key, on_duplicate).inserted)
+        # Refusing repeats keeps the key unique in the table.
+        unique = on_duplicate == "error"
+        merged = insert_if_absent(self.table(name), values.drop(key), by, key, on_duplicate, unique=unique)
+        self.append(name, merged.inserted)
 
     def add_spectra(self, values: DataFrame, ids: DataFrame | None = None) -> None:
         """Append the points of spectra that have none yet.
