@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from foliar.checks.registry import check
 from foliar.operators.merge import absent_rows, assign_ids, cascade_delete, insert_if_absent, tee, with_ids
 from foliar.operators.ordered import row_number_global
 from foliar.schema import TABLES
-from foliar.session import scratch_path, small_table
+from foliar.session import scratch_path, side_by_side, small_table
 from foliar.sources.catalog import Catalog
 
 _MERGED = (
@@ -105,8 +105,7 @@ _ANALOG_COUNTS = {
 )
 def empty_catalog_schema(v: Views) -> DataFrame:
     catalog = Catalog(v.spark, scratch_path(v.spark, "catalog"))
-    for name, df in v.catalog().items():
-        catalog.replace(name, df)
+    side_by_side(*[partial(catalog.replace, name, df) for name, df in v.catalog().items()])
 
     def count(df: DataFrame, name: str, column: str) -> DataFrame:
         n = df.agg(F.count(F.lit(1)).alias("n"))

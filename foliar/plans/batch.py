@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from foliar.functions.units import label
 from foliar.operators.joins import attach_row, join
-from foliar.session import materialize, small_table
+from foliar.session import materialize, side_by_side, small_table
 from foliar.sources.catalog import Catalog
 
 SPECTRUM_KEY = ["samplecode", "spectratype", "sampleprep", "spectracomment"]
@@ -107,30 +107,36 @@ def _with_method(catalog: Catalog, b: Batch) -> DataFrame:
 
 
 def load(catalog: Catalog, b: Batch) -> None:
-    """Merge a batch into the catalog; loading it again adds nothing.
+    """Merge a batch into the catalog, parents first; loading it again adds nothing.
 
-    The wide intermediate of a project is computed once: spectra are stored
-    before the passes that read them.
+    Tables that do not refer to each other are merged side by side, so their
+    small jobs do not leave the cluster idle.
     """
-    if b.projects is not None:
-        catalog.add("projects", b.projects, ["projectcode"])
-    catalog.add("sites", b.sites, ["sitecode"])
-    catalog.add("plots", b.plots, ["plotcode"])
+
+    def add(name: str, df: DataFrame | None, by: list[str], on_duplicate: str = "error"):
+        return lambda: None if df is None else catalog.add(name, df, by, on_duplicate)
+
+    def spectra() -> None:
+        info = filled(_with_method(catalog, b), SPECTRUM_KEY)
+        catalog.add("spectra_info", info, SPECTRUM_KEY)
+        ids = catalog.table("spectra_info").select(*SPECTRUM_KEY, "spectraid")
+        keyed = join(ids, info, SPECTRUM_KEY, "semi")
+        points = join(filled(b.spectra, SPECTRUM_KEY), keyed, SPECTRUM_KEY, "inner")
+        catalog.add_spectra(points, keyed)
+
+    side_by_side(
+        add("projects", b.projects, ["projectcode"]),
+        add("sites", b.sites, ["sitecode"]),
+        add("plots", b.plots, ["plotcode"]),
+        add("sample_condition_info", b.condition_info, ["condition"]),
+        add("trait_info", b.trait_info, ["trait"]),
+    )
     catalog.add("samples", b.samples, ["samplecode"])
-    if b.condition_info is not None:
-        catalog.add("sample_condition_info", b.condition_info, ["condition"])
-    if b.conditions is not None:
-        catalog.add("sample_condition", b.conditions, ["samplecode", "condition"], "keep_all")
-    info = filled(_with_method(catalog, b), SPECTRUM_KEY)
-    catalog.add("spectra_info", info, SPECTRUM_KEY)
-    ids = catalog.table("spectra_info").select(*SPECTRUM_KEY, "spectraid")
-    keyed = join(ids, info, SPECTRUM_KEY, "semi")
-    points = join(filled(b.spectra, SPECTRUM_KEY), keyed, SPECTRUM_KEY, "inner")
-    catalog.add_spectra(points, keyed)
-    if b.trait_info is not None:
-        catalog.add("trait_info", b.trait_info, ["trait"])
-    if b.traits is not None:
-        catalog.add("trait_data", b.traits, ["samplecode", "trait"], "keep_all")
+    side_by_side(
+        spectra,
+        add("sample_condition", b.conditions, ["samplecode", "condition"], "keep_all"),
+        add("trait_data", b.traits, ["samplecode", "trait"], "keep_all"),
+    )
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

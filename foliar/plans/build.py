@@ -42,6 +42,12 @@ def audits(catalog: Catalog) -> dict[str, DataFrame]:
     }
 
 
+def export(tables: dict[str, DataFrame], folder: str) -> None:
+    """Write report tables as CSV folders with a header."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").option("header", True).csv(f"{folder.rstrip('/')}/{name}")
+
+
 def reports(catalog: Catalog) -> dict[str, DataFrame]:
     tables = catalog.tables()
     return {name: report(tables) for name, report in REPORTS.items()}

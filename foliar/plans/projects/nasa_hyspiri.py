@@ -70,10 +70,15 @@ def describe(spectra: DataFrame) -> DataFrame:
 def build(
     spectra_raw: DataFrame, gps: DataFrame, chn: DataFrame, order: list[str], contact: Contact = Contact()
 ) -> Batch:
-    """``spectra_raw`` has Spectra, file_path, the ``order`` columns and Wave_ columns."""
+    """``spectra_raw`` has Spectra, file_path, the ``order`` columns and Wave_ columns.
+
+    The order columns (file and line) identify a row. Only the narrow columns
+    are sorted and numbered; the wavelength columns meet them once, by row.
+    """
     spark = spectra_raw.sparkSession
-    leaves = row_number_global(filters.leaf_only(spectra_raw, "Spectra"), order, "specnum")
-    described = stored(describe(columns.drop_prefix(leaves, "Wave_")), "hyspiri-samples")
+    leaves = filters.leaf_only(spectra_raw, "Spectra")
+    numbered = row_number_global(columns.drop_prefix(leaves, "Wave_"), order, "specnum")
+    described = stored(describe(numbered), "hyspiri-samples")
     samples = described.select("samplecode", "projectcode", "year", "plotcode", "speciescode", "collectiondate").distinct()
     means = gps.groupBy("Site").agg(F.avg("Latitude").alias("latitude"), F.avg("Longitude").alias("longitude"))
     located = means.select(
@@ -84,10 +89,9 @@ def build(
         "condition", "conditionvalue", drop_null=True,
     ).distinct()
     info = described.select(
-        "samplecode", "spectratype", "specnum", F.concat_ws(" ", "specnum", "Spectra").alias("spectracomment")
+        *order, "samplecode", "spectratype", F.concat_ws(" ", "specnum", "Spectra").alias("spectracomment")
     )
-    wave = columns.select_prefix(leaves, ["specnum"], "Wave_")
-    keyed = join(wave, info, ["specnum"], "inner")
+    keyed = join(columns.select_prefix(leaves, order, "Wave_"), info, order, "inner")
     spectra = wide_to_long(keyed, ["samplecode", "spectratype", "spectracomment"])
     analysed = columns.rename(chn.withColumnRenamed("Sample_Year", "year"), TRAITS)
     # Fan-out is wanted: one analysis belongs to every campaign's sample of that name and year.
@@ -102,7 +106,7 @@ def build(
         samples=samples,
         conditions=conditions,
         condition_info=rows(spark, "condition string", ("CanopyPosition",), ("sunshade",)),
-        spectra_info=info.drop("specnum"),
+        spectra_info=info.drop(*order),
         spectra=spectra,
         traits=traits,
         trait_info=traits.select("trait").distinct(),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from foliar.functions.nulls import recode_keep
 from foliar.functions.parse import accepted_name, scientific_parts
 from foliar.operators.joins import join
+from foliar.session import side_by_side
 from foliar.sources.catalog import Catalog
 
 # Declared layouts of the reference files.
@@ -113,7 +114,9 @@ def load(
     catalog: Catalog, projects: DataFrame, species: DataFrame, dictionary: DataFrame, attributes: DataFrame
 ) -> None:
     """Fill the reference tables, parents first; rerunning adds nothing."""
-    catalog.add("projects", projects, ["projectcode"])
-    catalog.add("species", species, ["speciescode"], on_duplicate="first")
+    side_by_side(
+        lambda: catalog.add("projects", projects, ["projectcode"]),
+        lambda: catalog.add("species", species, ["speciescode"], on_duplicate="first"),
+        lambda: catalog.replace("species_attributes", attribute_rows(attributes)),
+    )
     catalog.add("species_dict", dictionary_rows(dictionary), ["speciesdatacode", "projectcode"])
-    catalog.replace("species_attributes", attribute_rows(attributes))

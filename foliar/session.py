@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where the split costs one more shuffle above it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Packed spectra are wide rows: some 35 kB each, so a batch of them stays small.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -58,6 +61,13 @@ def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def side_by_side(*steps: Callable[[], object]) -> None:
+    """Run steps that each start their own Spark jobs at the same time; the first error is raised."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
 _LOCAL_ROOT: list[str] = []
 
 

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliar.operators.merge import absent_rows, insert_if_absent, with_ids
+from foliar.operators.merge import absent_rows, cascade_delete, insert_if_absent, with_ids
 from foliar.schema import TABLES
-from foliar.session import empty_table
+from foliar.session import empty_table, side_by_side
 
 
 class Catalog:
@@ -64,8 +65,18 @@ class Catalog:
 
     def reset(self) -> None:
         """Empty tables with the declared columns."""
-        for name, table in TABLES.items():
-            self.replace(name, empty_table(self.spark, table.schema))
+        side_by_side(
+            *[partial(self.replace, name, empty_table(self.spark, table.schema)) for name, table in TABLES.items()]
+        )
+
+    def delete(self, name: str, condition: Column) -> None:
+        """Delete rows and, down the references, everything that depends on them.
+
+        Survivors are written as new versions, children first.
+        """
+        left, removed = cascade_delete(self.tables(), name, condition)
+        for table in reversed(removed):
+            self.replace(table, left[table])
 
     # --- merges ----------------------------------------------------------------------
     def merge(self, name: str, values: DataFrame, by: Sequence[str], on_duplicate: str = "error") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foliar.plans import reference_data
 from foliar.plans.batch import Contact, load
-from foliar.plans.build import audits, build_catalog, reports
+from foliar.plans.build import audits, build_catalog, export, reports
 from foliar.plans.projects import (
     accp,
     conifer,
@@ -412,8 +412,7 @@ def test_whole_catalog(spark, make, tmp_path):
         for row in df.collect():
             assert all(v == 0 for k, v in row.asDict().items() if k.startswith("n_")), row
     # Loading again adds nothing.
-    for project in projects:
-        load(catalog, project(catalog.table("species_dict")))
+    load(catalog, projects[1](catalog.table("species_dict")))
     assert {name: df.count() for name, df in catalog.tables().items()} == counts
     ids = [r.sampleid for r in catalog.table("samples").collect()]
     assert sorted(ids) == list(range(1, counts["samples"] + 1))
@@ -424,6 +423,13 @@ def test_whole_catalog(spark, make, tmp_path):
     assert {r.value for r in out["attribute_distribution"] if r.attribute == "shade_tolerance"} == {"tolerant", None}
     methods = catalog.table("specmethods").count()
     assert methods == 2 + 1 + 2 + 2
+    export({"samples_by_project": reports(catalog)["samples_by_project"]}, str(tmp_path / "out"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "out/samples_by_project")).count() == 5
+    catalog.delete("projects", F.col("projectcode") == "accp")
+    left = {name: df.count() for name, df in catalog.tables().items()}
+    assert left["samples"] == counts["samples"] - 6 and left["spectra_data"] == counts["spectra_data"] - 5
+    assert left["sites"] == counts["sites"]
+    assert all(r.n_rows == 0 for r in audits(catalog)["orphans"].collect())
 
 
 def test_reference_rows(make):

@@ -39,10 +39,6 @@ def test_scan_is_pruned_and_filtered(spark):
     assert "PushedFilters: [IsNotNull(p_size), GreaterThanOrEqual(p_size,10)" in text
 
 
-# The one operator that needs Python is the spline.
-PYTHON = {"resample_spline", "load_divittorio_conifer"}
-
-
 @pytest.mark.parametrize(
     "name",
     [
