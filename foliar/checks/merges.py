@@ -140,16 +140,16 @@ def row_number_global_check(v: Views) -> DataFrame:
 @check(
     "with gone as (select * from samples where projectcode = 'asia'), "
     "gspec as (select spectraid from spectra_info where samplecode in (select samplecode from gone)) "
-    "select 'projects' table_name, count_if(projectcode <> 'asia') n_left, count_if(projectcode = 'asia') n_removed "
+    "select 'projects' table_name, cast(count_if(projectcode <> 'asia') as bigint) n_left, cast(count_if(projectcode = 'asia') as bigint) n_removed "
     "from projects union all "
-    "select 'species_dict', count_if(projectcode <> 'asia'), count_if(projectcode = 'asia') from species_dict union all "
-    "select 'samples', count_if(projectcode <> 'asia'), count_if(projectcode = 'asia') from samples union all "
-    "select 'spectra_info', count_if(samplecode not in (select samplecode from gone)), "
-    "count_if(samplecode in (select samplecode from gone)) from spectra_info union all "
-    "select 'spectra_data', count_if(spectraid not in (select spectraid from gspec)), "
-    "count_if(spectraid in (select spectraid from gspec)) from spectra_points union all "
-    "select 'trait_data', count_if(samplecode not in (select samplecode from gone)), "
-    "count_if(samplecode in (select samplecode from gone)) from trait_data",
+    "select 'species_dict', cast(count_if(projectcode <> 'asia') as bigint), cast(count_if(projectcode = 'asia') as bigint) from species_dict union all "
+    "select 'samples', cast(count_if(projectcode <> 'asia') as bigint), cast(count_if(projectcode = 'asia') as bigint) from samples union all "
+    "select 'spectra_info', cast(count_if(samplecode not in (select samplecode from gone)) as bigint), "
+    "cast(count_if(samplecode in (select samplecode from gone)) as bigint) from spectra_info union all "
+    "select 'spectra_data', cast(count_if(spectraid not in (select spectraid from gspec)) as bigint), "
+    "cast(count_if(spectraid in (select spectraid from gspec)) as bigint) from spectra_points union all "
+    "select 'trait_data', cast(count_if(samplecode not in (select samplecode from gone)) as bigint), "
+    "cast(count_if(samplecode in (select samplecode from gone)) as bigint) from trait_data",
     "species_dict", "spectra_info", "spectra_points", "trait_data", name="cascade_delete",
 )
 def cascade_delete_check(v: Views) -> DataFrame:

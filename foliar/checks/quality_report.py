@@ -96,9 +96,9 @@ def audit_orphans(v: Views) -> DataFrame:
 
 
 @check(
-    _GAPS + "select 'spectra_info' table_name, 'samplecode' column_name, count_if(samplecode is null) n_null from ainfo "
-    "union all select 'spectra_data', 'spectraid', count_if(spectraid is null) from spectra_points "
-    "union all select 'trait_data', 'samplecode', count_if(samplecode is null) from trait_data",
+    _GAPS + "select 'spectra_info' table_name, 'samplecode' column_name, cast(count_if(samplecode is null) as bigint) n_null from ainfo "
+    "union all select 'spectra_data', 'spectraid', cast(count_if(spectraid is null) as bigint) from spectra_points "
+    "union all select 'trait_data', 'samplecode', cast(count_if(samplecode is null) as bigint) from trait_data",
     *_CATALOG_VIEWS,
 )
 def audit_not_null(v: Views) -> DataFrame:
@@ -106,7 +106,7 @@ def audit_not_null(v: Views) -> DataFrame:
 
 
 @check(
-    "select 'spectra_data' table_name, 'wavelength' column_name, count_if(wavelength <= 0) n_bad from spectra_points",
+    "select 'spectra_data' table_name, 'wavelength' column_name, cast(count_if(wavelength <= 0) as bigint) n_bad from spectra_points",
     "spectra_points",
 )
 def audit_check(v: Views) -> DataFrame:
@@ -240,7 +240,7 @@ def report_no_spectra(v: Views) -> DataFrame:
 
 
 @check(
-    "select sitecode, year, count(*) n, count_if(speciescode is null) n_no_species from samples s join plots p "
+    "select sitecode, year, count(*) n, cast(count_if(speciescode is null) as bigint) n_no_species from samples s join plots p "
     "using (plotcode) group by 1, 2",
     "samples",
 )

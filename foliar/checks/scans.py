@@ -113,7 +113,7 @@ def sectioned_file(v: Views) -> DataFrame:
     "dr as (select d, row_number() over (order by d) r from (select distinct c_mktsegment d from customer)), "
     "listed as (select c_custkey, c_mktsegment d, row_number() over (partition by c_mktsegment order by c_custkey) k "
     "from customer) "
-    "select c_custkey, count(*) n_points, sum(wavelength) wl_sum, round(sum(val), 4) value_sum "
+    "select c_custkey, count(*) n_points, cast(sum(wavelength) as double) wl_sum, round(sum(val), 4) value_sum "
     "from cells join fr using (f) join dr using (r) join listed on listed.d = dr.d and listed.k = cells.i "
     "group by c_custkey"
 )
