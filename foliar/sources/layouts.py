@@ -51,8 +51,11 @@ def bind_columns(
     days = ranked(samples, day, "__rank")
     placed = join(lines, join(files, days, ["__rank"], "inner").drop("__rank"), ["file"], "inner")
     parts = F.split(F.trim("value"), sep)
+    # Split once per line, below the explode.
+    split = placed.select(day, parts.alias("__cells"))
+    split = split.select(day, F.get("__cells", F.lit(0)).try_cast("double").alias("wavelength"), "__cells")
     cells = (
-        placed.select(day, F.get(parts, F.lit(0)).try_cast("double").alias("wavelength"), F.posexplode(parts))
+        split.select(day, "wavelength", F.posexplode("__cells"))
         .where((F.col("pos") > 0) & ~is_true(F.col("wavelength") == 0))
         .select(
             day, "wavelength", F.col("pos").cast("long").alias("__k"), F.col("col").try_cast("double").alias("spectravalue")
@@ -77,7 +80,8 @@ def header_to_long(
     body = join(lines, first, ["file"], "inner").where(F.col("value") != F.col("__head"))
     names, cells = F.split(F.trim("__head"), sep), F.split(F.trim("value"), sep)
     at = F.array_position(names, key).cast("int") - 1
-    cell = body.select(
-        "file", F.get(cells, at).try_cast("double").alias(key), names.alias("__names"), F.posexplode(cells)
-    ).select("file", key, F.get("__names", F.col("pos")).alias(name), F.col("col").try_cast("double").alias(value))
+    # Split once per line, below the explode.
+    split = body.select("file", names.alias("__names"), cells.alias("__cells"), at.alias("__at"))
+    split = split.select("file", F.get("__cells", F.col("__at")).try_cast("double").alias(key), "__names", "__cells")
+    cell = split.select("file", key, "__names", F.posexplode("__cells")).select("file", key, F.get("__names", F.col("pos")).alias(name), F.col("col").try_cast("double").alias(value))
     return cell.where(~F.col(name).isin(key, *skip))
