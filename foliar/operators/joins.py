@@ -39,6 +39,7 @@ def join(
     on: Sequence[str] | None = None,
     how: str = "left",
     null_safe: bool = True,
+    unique_right: bool = False,
 ) -> DataFrame:
     """Equi-join on ``on`` (default: all shared names); missing keys match each other.
 
@@ -46,6 +47,9 @@ def join(
     right, full, semi or anti. Right is a left join read the other way round;
     full is built from an inner join and two anti joins, which adaptive
     execution can all split on a hot key, unlike an outer join on both sides.
+    Semi and anti joins reduce the right side to distinct keys before it is
+    shuffled, so its hot keys weigh nothing; ``unique_right`` says that the keys
+    are distinct already.
     """
     on = list(on) if on is not None else shared_columns(left, right)
     if not on:
@@ -57,7 +61,8 @@ def join(
     r_keys = [f"__r_{k}" for k in on]
     cond = _condition(on, null_safe)
     if how in ("semi", "anti"):
-        return left.join(other.select(*r_keys), cond, f"left_{how}")
+        keys = other.select(*r_keys)
+        return left.join(keys if unique_right else keys.distinct(), cond, f"left_{how}")
     if how in ("inner", "left"):
         return left.join(other, cond, how).drop(*r_keys)
     order = [*left.columns, *[c for c in right.columns if c not in on]]
@@ -65,7 +70,7 @@ def join(
         return join(right, left, on, "left", null_safe).select(*order)
     if how == "full":
         matched = left.join(other, cond, "inner").drop(*r_keys)
-        only_left = left.join(other.select(*r_keys), cond, "left_anti")
+        only_left = join(left, right, on, "anti", null_safe)
         only_right = join(right, left, on, "anti", null_safe)
         return (
             matched.unionByName(only_left, allowMissingColumns=True)

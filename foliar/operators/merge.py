@@ -38,8 +38,7 @@ def absent_rows(target: DataFrame, values: DataFrame, by: Sequence[str], unique:
     A present key blocks all of its incoming rows. Only the key columns of the
     target are read, and reduced to distinct keys unless they are ``unique``.
     """
-    keys = target.select(*by)
-    return join(values, keys if unique else keys.distinct(), list(by), "anti")
+    return join(values, target.select(*by), list(by), "anti", unique_right=unique)
 
 
 def one_per_key(values: DataFrame, by: Sequence[str], order: Column) -> DataFrame:
@@ -125,9 +124,9 @@ def cascade_delete(
                 continue
             keys = removed[parent].select(column).where(F.col(column).isNotNull()).distinct()
             base = left.get(child, tables[child])
-            gone = join(base, keys, [column], "semi", null_safe=False)
+            gone = join(base, keys, [column], "semi", null_safe=False, unique_right=True)
             removed[child] = removed[child].unionByName(gone) if child in removed else gone
-            left[child] = join(base, keys, [column], "anti", null_safe=False)
+            left[child] = join(base, keys, [column], "anti", null_safe=False, unique_right=True)
             if child not in queue:
                 queue.append(child)
     return {**tables, **left}, removed

@@ -89,8 +89,8 @@ def _by_group_size(
     hot = hot_groups(df, group, max_rows)
     if hot is None:
         return plain(df)
-    small = plain(join(df, F.broadcast(hot), list(group), "anti"))
-    large = segmented(join(df, F.broadcast(hot), list(group), "semi"))
+    small = plain(join(df, F.broadcast(hot), list(group), "anti", unique_right=True))
+    large = segmented(join(df, F.broadcast(hot), list(group), "semi", unique_right=True))
     return small.unionByName(large)
 
 
