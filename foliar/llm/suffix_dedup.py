@@ -192,15 +192,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         texts.select("row", F.col("text").cast("binary")).mapInArrow(_parse(width), f"row {row}, low long, high long, trigger long, seed long, name binary"),
         "parse",
     )
-    dictionary = stored(
-        parse.groupBy("name").agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in ("row", "low", "high", "trigger", "seed")]), "dictionary"
-    )
-    # Phrases that occur once, and all phrases they share a trigger text with. The minimum is taken per column, so
-    # the place of a phrase that occurs more often is not one place: take it from the parse.
-    shared = dictionary.groupBy("seed").agg(F.count("*").alias("phrases"), F.min("n").alias("least")).where("phrases > 1 and least = 1").select("seed")
-    near = dictionary.join(shared, "seed", "left_semi")
-    once = near.where("n = 1").select("row", "low", "high", "trigger", "n")
-    often = near.where("n > 1").select("name", "n").join(parse, "name").groupBy("name").agg(F.min(F.struct("row", "low", "high", "trigger", "n")).alias("p")).select("p.*")
+    dictionary = stored(parse.groupBy("name").agg(F.count("*").alias("n"), F.min("seed").alias("seed")), "dictionary")
+    # Phrases that occur once, and all phrases they share a trigger text with.
+    shared = dictionary.groupBy("seed").agg(F.count("*").alias("phrases"), F.min("n").alias("least")).where("phrases > 1 and least = 1").select("seed", F.lit(True).alias("near"))
+    wanted = dictionary.join(shared, "seed", "left").where("n > 1 or near").select("name", "n", F.coalesce("near", F.lit(False)).alias("near"))
+    marked = stored(parse.drop("seed").join(wanted, "name"), "marked")
+    once = marked.where("near and n = 1").select("row", "low", "high", "trigger", "n")
+    often = marked.where("near and n > 1").groupBy("name").agg(F.min(F.struct("row", "low", "high", "trigger", "n")).alias("p")).select("p.*")
     open_phrases = once.unionByName(often).groupBy("row").agg(F.collect_list(F.struct("low", "high", "trigger", "n")).alias("phrases"))
     cores = stored(
         texts.select("row", F.col("text").cast("binary").alias("text"))
@@ -229,7 +227,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     suffixes = stored(suffixes, "suffixes")
     equal = suffixes.groupBy(*whole).agg(F.sum("n").alias("m")).where("m > 1").select(*whole)
     edges = suffixes.where("n = 1").join(equal, whole, "left_semi").select("row", "start", (F.col("start") + width).alias("end"))
-    full = parse.join(dictionary.where("n > 1").select("name"), "name", "left_semi").select("row", F.col("low").alias("start"), (F.col("high") + width).alias("end"))
+    full = marked.where("n > 1").select("row", F.col("low").alias("start"), (F.col("high") + width).alias("end"))
     found = full.unionByName(repeated).unionByName(edges).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     return (
         texts.select("row", "id", F.col("text").cast("binary").alias("text"))
