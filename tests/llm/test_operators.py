@@ -1,0 +1,338 @@
+"""The operators on small literal tables against brute force, round trips and held-out accuracy."""
+
+import gzip
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+pytest.importorskip("foliar.llm")
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from foliar.llm import decontaminate, html_text, language_id, line_dedup, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, warc  # noqa: E402
+from foliar.llm._jobs import groups  # noqa: E402
+from foliar.session import scratch_path  # noqa: E402
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, name int"
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def docs_of(spark, texts, ids=None, langs=None):
+    ids = range(len(texts)) if ids is None else ids
+    langs = ["en"] * len(texts) if langs is None else langs
+    rows = [(i, t, g, "src0", len(t or ""), "clash", 7) for i, t, g in zip(ids, texts, langs)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def prose(seed, n, words=400):
+    rng = random.Random(seed)
+    pool = ["".join(rng.choice("abdeghilmnorstuvw") for _ in range(rng.randint(2, 9))) for _ in range(words)]
+    return " ".join(rng.choice(pool) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    base = prose(1, 150)
+    shared = prose(2, 90)
+    near = [" ".join(w if i != k * 7 else f"other{k}" for i, w in enumerate(base.split())) for k in range(12)]
+    texts = [base, base, *near, prose(3, 60) + "\n" + shared + "\n" + prose(4, 30), shared + " tail", "x " + shared, prose(5, 900)]
+    texts += ["", None, " \t\n", "a", "a", "two words", "Two WORDS", "aaaa" * 300, "é" * 500, "ab" * 700, prose(6, 30) + "\x0b" + prose(7, 20)]
+    return texts
+
+
+def brute_repeats(texts, width):
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(b[i : i + width] for b in data for i in range(len(b) - width + 1))
+    out = []
+    for b in data:
+        gone = np.zeros(len(b) + 2, bool)
+        for i in range(len(b) - width + 1):
+            if seen[b[i : i + width]] > 1:
+                gone[i + 1 : i + width + 1] = True
+        kept = bytes(x for x, g in zip(b, gone[1:-1]) if not g)
+        out.append((len(b), int(gone.sum()), int((gone[1:] & ~gone[:-1]).sum()), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def test_repeats_equal_brute_force(spark, corpus):
+    got = suffix_dedup.digest(suffix_dedup.remove_repeats(docs_of(spark, corpus))).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in got} == dict(enumerate(brute_repeats(corpus, 400)))
+
+
+def test_repeats_with_ids_missing_or_repeated(spark):
+    texts = [prose(1, 120), prose(1, 120), "short", None]
+    got = suffix_dedup.digest(suffix_dedup.remove_repeats(docs_of(spark, texts, ids=[5, 5, None, None]))).collect()
+    assert sorted(r.n_removed for r in got) == [0, 0, len(texts[0].encode()), len(texts[0].encode())]
+
+
+def test_repeats_in_pieces_of_a_long_text(spark, monkeypatch):
+    text = prose(9, 3000, words=5000)
+    text = text + text[1000:3500] + "x"
+    monkeypatch.setattr(suffix_dedup, "PIECE", 2048)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text.encode()])], names=["row", "text"])
+    low_high = [(r["low"], r["high"]) for b in suffix_dedup._parse(400)(iter([batch])) for r in b.to_pylist()]
+    starts = [x for a, b in low_high for x in range(a, b + 1)]
+    assert sorted(starts) == list(range(len(text.encode()) - 399))
+
+
+def brute_sets(texts):
+    out = []
+    for t in texts:
+        w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        out.append(set(zip(*[w[i:] for i in range(5)])) if len(w) >= 5 else {tuple(w)} if w else set())
+    return out
+
+
+def test_near_duplicates_equal_brute_force(spark, corpus):
+    sets = brute_sets(corpus)
+    root = list(range(len(sets)))
+    for _ in sets:
+        for a in range(len(sets)):
+            for b in range(len(sets)):
+                if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+    got = {r.doc_id: tuple(r)[1:] for r in minhash_dedup.near_duplicates(docs_of(spark, corpus)).collect()}
+    assert got == {i: (len(s), root[i], root[i] == i) for i, s in enumerate(sets)}
+
+
+def test_super_minhash_is_a_permutation_and_estimates():
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(1, 2**63, 400, dtype=np.uint64), rng.integers(1, 2**63, 100, dtype=np.uint64)
+    sig = minhash_dedup.super_minhash(np.concatenate([a, a[100:], b, a[:1]]), np.repeat([0, 1, 2], [400, 400, 1]), 4)
+    assert abs(np.mean(sig[0] == sig[1]) - 300 / 500) < 0.12
+    assert sorted(np.floor(sig[2])) == list(range(minhash_dedup.SLOTS))  # one shingle reaches every slot at its own rank
+    assert np.isinf(sig[3]).all()
+
+
+def test_groups_of_a_long_chain_and_a_star(spark):
+    chain = [(i, i + 1) for i in range(1, 300)]
+    star = [(1000, 1000 + i) for i in range(1, 200)]
+    random.Random(3).shuffle(chain)
+    links = spark.createDataFrame(chain + star, "a long, b long").repartition(7)
+    got = {r.node: r.root for r in groups(links).collect()}
+    assert got == {**{i: 1 for i in range(1, 301)}, **{1000 + i: 1000 for i in range(200)}}
+    assert groups(links.where("a < 0")).count() == 0
+
+
+def test_lines(spark):
+    long = "The tugs could not leave the harbour before noon because of the ice on pier %s and the wind"
+    texts = [f"{long % 1}\nUnique one here.\nok", f"{(long % 2).upper()}!\nok\nAnother unique line", "ok", None, "", f"{long % 1}"]
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(docs_of(spark, texts)).collect()}
+    assert got[0] == (texts[0], 3, 0)
+    assert got[1] == ("ok\nAnother unique line", 3, 1)
+    assert got[2] == ("ok", 1, 0) and got[3] == (None, 0, 0) and got[4] == ("", 1, 0) and got[5] == ("", 1, 1)
+
+
+def test_block_keys_find_all_within_the_radius():
+    rng = random.Random(4)
+    a = [rng.getrandbits(64) for _ in range(300)]
+    b = [x ^ sum(1 << i for i in rng.sample(range(64), 3)) for x in a]
+    left, right = line_dedup.block_keys(np.array(a, np.uint64)), line_dedup.block_keys(np.array(b, np.uint64))
+    assert all(set(x) & set(y) for x, y in zip(left.tolist(), right.tolist()))
+
+
+def test_edit_distance():
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, old = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+        return row[-1]
+
+    rng = random.Random(5)
+    for _ in range(300):
+        a = "".join(rng.choice("abc ") for _ in range(rng.randint(0, 90)))
+        b = "".join(c for c in a if rng.random() > 0.2) + rng.choice(["", "x", "abca"])
+        assert line_dedup.edit_distance(a, b) == plain(a, b)
+
+
+def test_text_counts_equal_brute_force(spark, corpus):
+    texts = [*corpus, "a b c d e f g h " * 4, "x #1 $% <a>\nx #1 $% <a>\n\n \nY", "ü ö\nü ö"]
+    got = {r.doc_id: r for r in quality_rules.text_counts(docs_of(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        t = t or ""
+        w = WORD.findall(t)
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        windows = Counter(tuple(w[j : j + 8]) for j in range(len(w) - 7))
+        covered = {j + k for j in range(len(w) - 7) if windows[tuple(w[j : j + 8])] > 1 for k in range(8)}
+        want = (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered))
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want, t
+
+
+def test_decision_list_learns_and_is_ordered(spark):
+    rng = random.Random(6)
+    good = [prose(100 + i, rng.randint(30, 60)) for i in range(60)]
+    bad = [" ".join(w.upper() + "!!" for w in prose(200 + i, 40).split()) for i in range(40)]
+    docs = docs_of(spark, good + bad + [None, ""])
+    labels = spark.createDataFrame([(i, 1 if i < 60 else 0) for i in range(100)], "doc_id long, quality int")
+    counts = quality_rules.text_counts(docs)
+    rules = quality_rules.fit(counts, labels)
+    kept = {r.doc_id: (r.kept, r.base_failed) for r in quality_rules.judge(counts, rules).collect()}
+    assert rules and all(kept[i][0] for i in range(60)) and not any(kept[i][0] for i in range(60, 100))
+    assert kept[100] == (False, True) and kept[101] == (False, True)
+    assert quality_rules.fit(counts, labels.where("quality = 1")) == []
+    assert quality_rules.fit(counts, labels.where("false")) == []
+
+
+def test_html(spark):
+    page = (
+        "<html><head><title>T</title><style>p{}</style></head><body><nav><a href=1>Home</a></nav><div class='ad'>Buy now</div>"
+        "<article><h1>Head &amp; line</h1><p>First  <b>bold</b>\n text.<p>Second&nbsp;one</p><script>x('</p>')</script><!-- no --></article>"
+        "<div id='comments'><p>Nice</p></div><footer>&copy; me</footer></body></html>"
+    )
+    rows = [(1, "u", page, "c"), (2, None, None, "c"), (3, "u", "", "c"), (4, "u", "<article><p>cut", "c")]
+    got = {r.page_id: (r.text, r.n_chars) for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()}
+    want = "Head & line\n\nFirst bold text.\n\nSecond one"
+    assert got == {1: (want, len(want)), 2: ("", 0), 3: ("", 0), 4: ("cut", 3)}
+    x, y = html_text.labelled_table()
+    tree = html_text.grow(x, y)
+    assert np.mean([html_text.is_main(tree, list(f)) == t for f, t in zip(x, y)]) > 0.9
+
+
+def test_mixing_meets_targets(spark):
+    rng = random.Random(7)
+    pools = {"en": "the of and ice harbour tug".split(), "de": "der und von eis hafen das".split()}
+    langs = ["en" if i % 4 else "de" for i in range(200)]
+    texts = [" ".join(rng.choice(pools[g]) for _ in range(rng.randint(20, 60))) for g in langs]
+    docs = docs_of(spark, [*texts, None, ""], langs=[*langs, None, "en"])
+    labelled = docs.where("doc_id < 80").select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("domain"))
+    _, rates, domains = mixing.mix(docs, labelled, {"en": 0.4, "de": 0.4, "fr": 0.2})
+    rows = rates.collect()
+    assert domains == ["de", "en"] and len(rows) == 202 and all(r.rate >= 0 for r in rows)
+    total = sum(r.tokens for r in rows)
+    for i in (0, 1):
+        assert abs(sum(r.rate * r.tokens * r.p[i] for r in rows) - total / 2) < 0.01 * total
+    _, plain, none = mixing.mix(docs, labelled.where("false"), {"en": 1.0})
+    assert none == [] and {r.rate for r in plain.collect()} == {1.0}
+
+
+def test_rates_never_fall_below_zero(spark):
+    members = spark.createDataFrame([(100, [1.0, 0.0]), (50, [0.5, 0.5]), (10, [0.0, 1.0])], "tokens long, p array<double>")
+    steps = mixing.fit_rates(members, [0.0, 60.0], steps=40)
+    rows = members.withColumn("rate", mixing.rate(steps)).collect()
+    assert min(r.rate for r in rows) == 0.0 and rows[2].rate > 1
+
+
+def test_language(spark):
+    rng = random.Random(8)
+    pools = {g: [prose(k * 1000 + i, 1) for i in range(80)] for k, g in enumerate(("de", "en", "fr"), 30)}
+    langs = [("de", "en", "fr")[i % 3] for i in range(90)]
+    texts = [" ".join(rng.choice(pools[g]) for _ in range(30)) for g in langs]
+    docs = docs_of(spark, [*texts, None, "123 !", ""], langs=[*langs, "en", "en", None])
+    samples = language_id.dictionaries(docs.where("doc_id < 45").select(F.col("doc_id").alias("id"), "text", "lang"))
+    got = {r.doc_id: r for r in language_id.identify(docs, samples).collect()}
+    assert np.mean([got[i].lang_pred == langs[i] for i in range(45, 90)]) > 0.95
+    assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (90, 91, 92)) and all(0 <= r.score <= 1 for r in got.values())
+    assert {r.lang_pred for r in language_id.identify(docs, {}).collect()} == {"und"}
+
+
+def test_toxicity(spark):
+    rng = random.Random(9)
+    texts, toxic = [], []
+    for i in range(400):
+        words = prose(i % 50, 40).split()
+        if i % 4 == 0:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(["vileword", "badterm", "nastyone"]))
+        texts.append(" ".join(words))
+        toxic.append(int(i % 4 == 0))
+    docs = docs_of(spark, [*texts, None, ""])
+    labelled = docs.where("doc_id < 300").join(spark.createDataFrame([(i, t) for i, t in enumerate(toxic)], "doc_id long, toxic int"), "doc_id").select(F.col("doc_id").alias("id"), "text", "toxic")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, *toxicity.fit(labelled)).collect()}
+    assert all(0 <= s <= 1 for s in got.values()) and len(got) == 402
+    assert np.mean([(got[i] >= 0.3) == bool(toxic[i]) for i in range(300, 400)]) > 0.95
+    only = toxicity.score(docs, *toxicity.fit(labelled.where("toxic = 0")))
+    assert {r.score for r in only.collect()} == {0.0}
+    x, y = toxicity.isotonic(np.array([1.0, 2, 3, 3, 4]), np.array([0.0, 1, 0, 1, 1]))
+    assert (np.diff(y) >= 0).all() and (np.diff(x) >= 0).all()
+
+
+def test_warc_round_trip(spark):
+    big = "<p>" + "é" * 700
+    pages = [(1, "http://a\r\nX: y", big, 1), (2, "u", big, 1), (3, None, None, 1), (4, "u", "small", 1), (5, "u", "small", 1), (6, "u", "", 1), (2, "u", big, 1)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, payload int")
+    got = sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.round_trip(spark, df).collect())
+    sha = lambda t: hashlib.sha1((t or "").encode()).hexdigest()
+    want = sorted((str(i), len((t or "").encode()), sha(t), "revisit" if i == 1 else "response", "2" if i == 1 else None) for i, _, t, _ in pages)
+    assert got == want
+    assert warc.round_trip(spark, df.where("false")).count() == 0
+
+
+def test_warc_normal_form(spark):
+    raw, whole = "file://" + scratch_path(spark, "a").removeprefix("file://"), "file://" + scratch_path(spark, "b").removeprefix("file://")
+    df = spark.range(50).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.lit("page "), F.col("id").cast("string")).alias("html")).coalesce(1)
+    manifest = warc.write_archives(df, raw, roll=4000)
+    names = [r.file for r in manifest.collect()]
+    assert len(names) > 1
+    warc.normalise(manifest, raw, whole).collect()
+    for name in names:
+        one, many = open(f"{raw[7:]}/{name}", "rb").read(), open(f"{whole[7:]}/{name}", "rb").read()
+        assert gzip.decompress(one) == gzip.decompress(many)
+        lines = open(f"{whole[7:]}/{name}.index").read().splitlines()
+        assert many.count(b"\x1f\x8b\x08") >= len(lines) > 1
+    with pytest.raises(ValueError):
+        list(warc.split_records(iter([b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc"])))
+
+
+def brute_contaminated(texts, items):
+    out = {}
+    split = lambda t: [w for w in re.split("[ \t\n\x0b\f\r]+", (t or "").lower()) if w]
+    for item, text in items:
+        iw = split(text)
+        if not iw:
+            continue
+        n, k = len(iw), min(5, len(iw))
+        counts = Counter(tuple(iw[i : i + k]) for i in range(n - k + 1))
+        for d, t in enumerate(texts):
+            w = split(t)
+            for s in range(len(w) - n + 1):
+                own = Counter(tuple(w[s + i : s + i + k]) for i in range(n - k + 1))
+                m = sum((own & counts).values())
+                sim = m / (2 * (n - k + 1) - m)
+                if sim >= 0.75 and sim > out.get((d, item), (0, 0))[1]:
+                    out[d, item] = (s, sim)
+    return out
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_contamination_equals_brute_force(spark, limit):
+    long, mid = prose(11, 50, 5000), prose(12, 20, 5000)
+    items = [(1, long), (2, mid), (3, "three little words"), (4, None), (5, ""), (6, "x x x x x x x x")]
+    edited = " ".join("changed" if i in (0, 49) else w for i, w in enumerate(long.split()))
+    texts = [
+        prose(13, 80) + " " + long.upper() + " end", "so " + edited + " so", mid + "\n" + long, long[:150], "the Three  little\twords here", None, "", "x " * 30, mid.rsplit(" ", 1)[0],
+        " ".join("changed" if i == 9 else w for i, w in enumerate(mid.split())),
+    ]
+    benchmark = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, row int")
+    found = decontaminate.contaminated(docs_of(spark, texts), benchmark, broadcast_limit=limit).collect()
+    got = {(r.doc_id, r.item_id): (r.start_word, round(r.similarity, 9)) for r in found}
+    assert got == {k: (s, round(v, 9)) for k, (s, v) in brute_contaminated(texts, items).items()}
+
+
+def test_native_plans_run_no_python(spark, corpus):
+    docs = docs_of(spark, corpus)
+    benchmark = spark.createDataFrame([(1, corpus[0])], "item_id long, text string")
+    frames = [decontaminate.contaminated(docs, benchmark), mixing.posteriors(docs.select(F.col("doc_id").alias("row"), "text"), *mixing.classifier(docs.select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("domain"))))]
+    for df in frames:
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", text)
+
+
+def test_empty_tables(spark):
+    docs = docs_of(spark, ["x"]).where("false")
+    benchmark = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    assert suffix_dedup.remove_repeats(docs).count() == 0
+    assert minhash_dedup.near_duplicates(docs).count() == 0
+    assert line_dedup.dedup_lines(docs).count() == 0
+    assert quality_rules.text_counts(docs).count() == 0
+    assert decontaminate.contaminated(docs, benchmark).count() == 0
+    assert decontaminate.contaminated(docs_of(spark, ["a b c"]), benchmark.where("false")).count() == 0
+    assert language_id.dictionaries(docs.select(F.col("doc_id").alias("id"), "text", "lang")) == {}
