@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliar.session import configure, materialize
@@ -90,41 +90,36 @@ def groups(links: DataFrame, max_rounds: int = 40) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def link_buckets(
-    members: DataFrame,
-    verify: Callable[[DataFrame], DataFrame],
-    star_rounds: int = 2,
-) -> DataFrame:
-    """Groups of the nodes of ``members`` (key, node), where ``verify`` keeps the pairs (a, b) that are true links.
+def link_buckets(facts: DataFrame, alike: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Groups of the nodes of ``facts`` (node, keys, sketch), where ``verify`` keeps the pairs (a, b) that are true links.
 
-    Every two nodes that share a key are either compared or already in one
-    group, and no group is multiplied out: first each node is compared with one
-    head per key only (a different head in each round), which joins copies and
-    near copies; then pairs are made only between nodes of one key that are
-    still in different groups. Returns (node, root) for nodes with links.
+    Every two nodes that share a key and whose sketches are ``alike`` are either
+    verified or already in one group, and no group is multiplied out: first each
+    node is compared with one head per key only, which joins copies and near
+    copies; then pairs are made only between nodes of one key that are still in
+    different groups, each at the smallest key the two share. ``alike`` is part
+    of both joins, so pairs it refuses are never rows. Returns (node, root) for
+    nodes with links.
     """
-    links = None
+    members = facts.select(F.explode(F.array_distinct("keys")).alias("key"), "node")
     shared = members.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
-    members = stored(members.join(shared, "key", "left_semi").distinct(), "members")
-    grouped = members.select("key", "node", F.col("node").alias("root"))
-    for turn in range(star_rounds + 1):
-        open_keys = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-        left = grouped if turn == 0 else stored(grouped.join(open_keys, "key", "left_semi"), "open")
-        if turn and left.isEmpty():
-            break
-        if turn < star_rounds:
-            heads = left.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node", "root")).alias("h"))
-            pairs = left.join(heads, "key").where("root <> h.root").select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b"))
-        else:
-            other = left.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
-            pairs = left.join(other, "key").where("root < root2").select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
-        found = stored(verify(pairs.distinct()).select("a", "b"), "verified")
-        links = found if links is None else links.unionByName(found)
-        if found.isEmpty() and turn:
-            continue
-        roots = groups(links)
-        grouped = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    return groups(links)
+    members = stored(members.join(shared, "key", "left_semi"), "members")
+    # Hashed order: one node is the head of all its keys, whichever keys it shares.
+    order = F.struct(F.xxhash64("node").alias("o"), F.col("node").alias("node"))
+    heads = members.groupBy("key").agg(F.min(order)["node"].alias("head"))
+    sketched = facts.select(F.col("node").alias("head"), F.col("sketch").alias("head_sketch"))
+    stars = members.join(heads, "key").where("node <> head").select("node", "head").distinct()
+    stars = stars.join(facts.select("node", "sketch"), "node").join(sketched, "head").where(alike(F.col("sketch"), F.col("head_sketch")))
+    links = stored(verify(stars.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))).select("a", "b"), "star-links")
+    grouped = members.join(groups(links), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    grouped = stored(grouped, "grouped")
+    open_keys = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    left = stored(grouped.join(open_keys, "key", "left_semi").join(facts, "node"), "open")
+    other = left.select(*[F.col(c).alias(f"{c}2") for c in ("key", "node", "root", "keys", "sketch")])
+    first = F.array_min(F.array_intersect("keys", "keys2"))
+    pairs = left.join(other, (F.col("key") == F.col("key2")) & (F.col("root") < F.col("root2")) & alike(F.col("sketch"), F.col("sketch2")) & (F.col("key") == first))
+    found = stored(verify(pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))).select("a", "b"), "links-between")
+    return groups(links.unionByName(found))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -11,8 +11,10 @@ slots keep their minimum. The ranks of a shingle are correlated over the slots,
 which lowers the variance of the estimate, and a text is done as soon as no
 later rank can lower any slot: one to four ranks for texts of ordinary length.
 
-With 45 bands of 5 slots a pair exactly at the threshold is missed with
-probability (1 - 0.75^5)^45 = 5e-6, at 0.8 with 2e-8.
+With 60 bands of 6 slots a pair exactly at the threshold is missed with
+probability (1 - 0.75^6)^60 = 8e-6, at 0.8 with 1e-8. Pairs whose signatures
+differ in too many slots (4 bits of each are compared) are not confirmed on full
+sets: MAX_DIFFERENT lies 4.5 deviations above what a pair at the threshold has.
 
 Texts with equal sets are one class before anything is compared; the hot group
 of copies is a grouped minimum. Links between classes are found per band by
@@ -24,19 +26,19 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliar.llm._jobs import link_buckets, narrow, stored
 from foliar.llm._text import blocks, mix, shingle_sets
 
-SLOTS = 225
-BAND_SLOTS = 5
+SLOTS = 360
+BAND_SLOTS = 6
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 75
-# Pairs whose signatures agree in fewer slots than this share are not confirmed on full sets: at a similarity
-# of 0.75 the share of equal slots is 0.75 with a deviation below 0.03, so 0.55 lies more than 6 deviations below.
-ESTIMATE_FLOOR = 0.55
+PLANES = 4
+# Slots of a pair at 0.75 differ, as far as 4 bits show it, with probability 0.25 * 15 / 16: 84 of 360, deviation 8.
+MAX_DIFFERENT = 121
 _TRACED_RANKS = 8
 
 
@@ -97,6 +99,32 @@ def bands(sig: np.ndarray, width: int = BAND_SLOTS) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def planes(sig: np.ndarray) -> np.ndarray:
+    """Per text the low PLANES bits of all hashed slots, one run of 64-bit words per bit."""
+    low = mix(sig.view(np.uint64).reshape(-1)).reshape(sig.shape)
+    width = -(-sig.shape[1] // 64) * 8
+    out = np.zeros((len(sig), PLANES, width), dtype=np.uint8)
+    for i in range(PLANES):
+        packed = np.packbits(((low >> np.uint64(i)) & np.uint64(1)).astype(np.uint8), axis=1)
+        out[:, i, : packed.shape[1]] = packed
+    return out.reshape(len(sig), -1).view(np.int64)
+
+
+def alike(x: Column, y: Column) -> Column:
+    """May two texts (n_shingles and planes) reach the threshold?"""
+    words = -(-SLOTS // 64)
+    different = None
+    for w in range(words):
+        bits = None
+        for i in range(PLANES):
+            at = i * words + w
+            other = x["low"][at].bitwiseXOR(y["low"][at])
+            bits = other if bits is None else bits.bitwiseOR(other)
+        different = F.bit_count(bits) if different is None else different + F.bit_count(bits)
+    sized = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * THRESHOLD_PERCENT
+    return sized & (different <= MAX_DIFFERENT)
+
+
 def _signatures(batches):
     for batch in batches:
         ids = batch.column(0)
@@ -105,16 +133,16 @@ def _signatures(batches):
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
             sig = super_minhash(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), len(sets))
             keys = bands(sig)
-            low = (mix(sig.view(np.uint64).reshape(-1)) & np.uint64(0xFF)).astype(np.uint8).reshape(sig.shape)
+            low = planes(sig)
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(block.first, block.rows),
                     pa.array(sizes),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], type=pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)), pa.array(keys.reshape(-1))),
-                    pa.array([x.tobytes() for x in low], type=pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(np.arange(0, low.size + 1, low.shape[1], dtype=np.int32)), pa.array(low.reshape(-1))),
                 ],
-                names=["id", "n_shingles", "digest", "bands", "low"],
+                names=["id", "n_shingles", "digest", "keys", "low"],
             )
 
 
@@ -127,13 +155,6 @@ def _sets(batches):
             )
 
 
-def _close(batches):
-    for batch in batches:
-        left, right = batch.column("low_a").to_pylist(), batch.column("low_b").to_pylist()
-        keep = [np.count_nonzero(np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)) >= ESTIMATE_FLOOR * len(x) for x, y in zip(left, right)]
-        yield batch.select(["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
-
-
 def _confirmed(batches):
     for batch in batches:
         keep = []
@@ -156,27 +177,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     texts = narrow(docs, id=id_col, text=text_col)
     kind = texts.schema["id"].dataType.simpleString()
-    signed = stored(texts.mapInArrow(_signatures, f"id {kind}, n_shingles long, digest binary, bands array<long>, low binary"), "signatures")
+    signed = stored(texts.mapInArrow(_signatures, f"id {kind}, n_shingles long, digest binary, keys array<long>, low array<long>"), "signatures")
     full = signed.where("digest is not null and id is not null")
     classes = full.groupBy("digest").agg(F.min("id").alias("rep"))
     of_class = stored(full.select("id", "digest").join(classes, "digest").select("id", "rep"), "classes")
     reps = of_class.where("id = rep").select("id").distinct()
-    heads = stored(full.join(reps, "id", "left_semi").dropDuplicates(["id"]).select("id", "n_shingles", "low", "bands"), "class-signatures")
-    members = heads.select(F.explode("bands").alias("key"), F.col("id").alias("node"))
-    facts = heads.select("id", "n_shingles", "low")
+    heads = full.join(reps, "id", "left_semi").dropDuplicates(["id"])
+    facts = stored(heads.select(F.col("id").alias("node"), "keys", F.struct(F.col("n_shingles").alias("n"), "low").alias("sketch")), "class-signatures")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        left = facts.select(F.col("id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("low").alias("low_a"))
-        right = facts.select(F.col("id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("low").alias("low_b"))
-        sized = pairs.join(left, "a").join(right, "b").where(f"100 * least(n_a, n_b) >= {THRESHOLD_PERCENT} * greatest(n_a, n_b)")
-        close = stored(sized.select("a", "b", "low_a", "low_b").mapInArrow(_close, f"a {kind}, b {kind}"), "close")
+        close = stored(pairs, "close")
         wanted = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id"))).distinct()
         sets = stored(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_sets, f"id {kind}, members binary"), "sets")
         first = sets.select(F.col("id").alias("a"), F.col("members").alias("set_a"))
         second = sets.select(F.col("id").alias("b"), F.col("members").alias("set_b"))
         return close.join(first, "a").join(second, "b").mapInArrow(_confirmed, f"a {kind}, b {kind}")
 
-    roots = link_buckets(members, verify).select(F.col("node").alias("rep"), "root")
+    roots = link_buckets(facts, alike, verify).select(F.col("node").alias("rep"), "root")
     named = of_class.join(roots, "rep", "left").select("id", F.coalesce("root", "rep").alias("component_id")).distinct()
     return (
         signed.select("id", "n_shingles")
