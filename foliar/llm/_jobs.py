@@ -97,7 +97,7 @@ def link_buckets(facts: DataFrame, alike: Callable[[Column, Column], Column], ve
     verified or already in one group, and no group is multiplied out: first each
     node is compared with one head per key only, which joins copies and near
     copies; then pairs are made only between nodes of one key that are still in
-    different groups, each at the smallest key the two share. ``alike`` is part
+    different groups. ``alike`` is part
     of both joins, so pairs it refuses are never rows. Returns (node, root) for
     nodes with links.
     """
@@ -113,12 +113,15 @@ def link_buckets(facts: DataFrame, alike: Callable[[Column, Column], Column], ve
     links = stored(verify(stars.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))).select("a", "b"), "star-links")
     grouped = members.join(groups(links), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     grouped = stored(grouped, "grouped")
-    open_keys = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    left = stored(grouped.join(open_keys, "key", "left_semi").join(facts, "node"), "open")
-    other = left.select(*[F.col(c).alias(f"{c}2") for c in ("key", "node", "root", "keys", "sketch")])
-    first = F.array_min(F.array_intersect("keys", "keys2"))
-    pairs = left.join(other, (F.col("key") == F.col("key2")) & (F.col("root") < F.col("root2")) & alike(F.col("sketch"), F.col("sketch2")) & (F.col("key") == first))
-    found = stored(verify(pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))).select("a", "b"), "links-between")
+    # The largest group of a key needs no comparing within: of two nodes of different groups one is outside it.
+    sizes = grouped.groupBy("key", "root").agg(F.count("*").alias("n"))
+    mains = sizes.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots")).where("roots > 1").select("key", "main")
+    left = stored(grouped.join(mains, "key").join(facts.select("node", "sketch"), "node"), "open")
+    minor = left.where("root <> main").drop("main")
+    other = left.select(*[F.col(c).alias(f"{c}2") for c in ("key", "node", "root", "sketch", "main")])
+    apart = (F.col("root") != F.col("root2")) & ((F.col("root2") == F.col("main2")) | (F.col("root") < F.col("root2")))
+    pairs = minor.join(other, (F.col("key") == F.col("key2")) & apart & alike(F.col("sketch"), F.col("sketch2")))
+    found = stored(verify(pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()).select("a", "b"), "links-between")
     return groups(links.unionByName(found))
 
 
