@@ -1,7 +1,7 @@
 """Row numbers, fill-down and other operators that depend on row order.
 
-A window sorts each of its groups inside one task. Groups above a size limit
-are therefore cut into ordered segments: rows are range-partitioned by group
+A window sorts each of its groups inside one task, so groups are cut into
+ordered segments: rows are range-partitioned by group
 and order and stored once with their segment and position, each segment is
 worked on by itself, and a small table with one row per group and segment
 carries the running state from one segment to the next.
@@ -9,7 +9,7 @@ carries the running state from one segment to the next.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 from foliar.operators.joins import join
 from foliar.session import materialize, small_table
 
-# Largest group a plain window sorts in one task.
-MAX_GROUP_ROWS = 2_000_000
-
 _LOW33 = (1 << 33) - 1
 
 
@@ -72,71 +69,30 @@ def row_number_any(df: DataFrame, name: str, start: int = 1) -> DataFrame:
     return _offset_rows(_positions(df), name, start)
 
 
-def hot_groups(df: DataFrame, group: Sequence[str], max_rows: int) -> DataFrame | None:
-    """Keys of groups above ``max_rows``, or None. Few by nature: rows / max_rows at most."""
-    hot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_rows).drop("__n")
-    rows = hot.collect()
-    return small_table(df.sparkSession, hot.schema, rows) if rows else None
-
-
-def _by_group_size(
-    df: DataFrame,
-    group: Sequence[str],
-    max_rows: int,
-    plain: Callable[[DataFrame], DataFrame],
-    segmented: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    hot = hot_groups(df, group, max_rows)
-    if hot is None:
-        return plain(df)
-    small = plain(join(df, F.broadcast(hot), list(group), "anti", unique_right=True))
-    large = segmented(join(df, F.broadcast(hot), list(group), "semi", unique_right=True))
-    return small.unionByName(large)
-
-
-def row_number_in_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str, max_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def row_number_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
     """Numbers from 1 within each group, in the given order."""
     group = list(group)
+    seg = segments(df, [*group, *order])
+    state = seg.groupBy(*group, "__seg").agg(F.min("__pos").alias("__min"), F.count(F.lit(1)).alias("__n"))
+    before = W.partitionBy(*group).orderBy("__seg").rowsBetween(W.unboundedPreceding, -1)
+    state = state.withColumn("__carry", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    out = join(seg, state, [*group, "__seg"], "inner")
+    number = F.col("__pos") - F.col("__min") + F.col("__carry") + 1
+    return out.withColumn(name, number).drop("__seg", "__pos", "__min", "__carry")
 
-    def plain(part: DataFrame) -> DataFrame:
-        return part.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(*order)).cast("long"))
 
-    def segmented(part: DataFrame) -> DataFrame:
-        seg = segments(part, [*group, *order])
-        state = seg.groupBy(*group, "__seg").agg(F.min("__pos").alias("__min"), F.count(F.lit(1)).alias("__n"))
-        before = W.partitionBy(*group).orderBy("__seg").rowsBetween(W.unboundedPreceding, -1)
-        state = state.withColumn("__carry", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-        out = join(seg, state, [*group, "__seg"], "inner")
-        number = F.col("__pos") - F.col("__min") + F.col("__carry") + 1
-        return out.withColumn(name, number).drop("__seg", "__pos", "__min", "__carry")
-
-    return _by_group_size(df, group, max_rows, plain, segmented)
-
-
-def fill_down(
-    df: DataFrame, value: str, group: Sequence[str], order: Sequence[Column | str], max_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def fill_down(df: DataFrame, value: str, group: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Carry the last present value forward within each group."""
     group = list(group)
-
-    def plain(part: DataFrame) -> DataFrame:
-        upto = W.partitionBy(*group).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-        return part.withColumn(value, F.last(value, ignorenulls=True).over(upto))
-
-    def segmented(part: DataFrame) -> DataFrame:
-        seg = segments(part, [*group, *order])
-        present = F.when(F.col(value).isNotNull(), F.col("__pos"))
-        state = seg.groupBy(*group, "__seg").agg(F.max_by(value, present).alias("__last"))
-        before = W.partitionBy(*group).orderBy("__seg").rowsBetween(W.unboundedPreceding, -1)
-        state = state.withColumn("__carry", F.last("__last", ignorenulls=True).over(before)).drop("__last")
-        inside = W.partitionBy(*group, "__seg").orderBy("__pos").rowsBetween(W.unboundedPreceding, W.currentRow)
-        local = seg.withColumn(value, F.last(value, ignorenulls=True).over(inside))
-        out = join(local, state, [*group, "__seg"], "left")
-        return out.withColumn(value, F.coalesce(value, "__carry")).drop("__seg", "__pos", "__carry")
-
-    return _by_group_size(df, group, max_rows, plain, segmented).select(*df.columns)
+    seg = segments(df, [*group, *order])
+    present = F.when(F.col(value).isNotNull(), F.col("__pos"))
+    state = seg.groupBy(*group, "__seg").agg(F.max_by(value, present).alias("__last"))
+    before = W.partitionBy(*group).orderBy("__seg").rowsBetween(W.unboundedPreceding, -1)
+    state = state.withColumn("__carry", F.last("__last", ignorenulls=True).over(before)).drop("__last")
+    inside = W.partitionBy(*group, "__seg").orderBy("__pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    local = seg.withColumn(value, F.last(value, ignorenulls=True).over(inside))
+    out = join(local, state, [*group, "__seg"], "left")
+    return out.withColumn(value, F.coalesce(value, "__carry")).drop("__seg", "__pos", "__carry").select(*df.columns)
 
 
 def block_label(number: Column | str, size: int, blocks: int) -> Column:

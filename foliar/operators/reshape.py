@@ -54,8 +54,9 @@ def melt(
 
 
 def pivot(df: DataFrame, keys: Sequence[str], name: str, value: str, values: Sequence) -> DataFrame:
-    """One column per listed name; names not listed are left out."""
-    return df.groupBy(*keys).pivot(name, list(values)).agg(F.first(value, ignorenulls=True))
+    """One column per listed name; names not listed are left out. Two values of one key and name are an error."""
+    repeated = F.raise_error(F.lit(f"{value} repeats within a key and {name}")).cast(df.schema[value].dataType)
+    return df.groupBy(*keys).pivot(name, list(values)).agg(F.when(F.count(value) > 1, repeated).otherwise(F.max(value)))
 
 
 def stack_pairs(df: DataFrame, ids: Sequence[str], pairs: dict[str, str], name: str, value: str) -> DataFrame:

@@ -116,7 +116,7 @@ def load(
     """Fill the reference tables, parents first; rerunning adds nothing."""
     side_by_side(
         lambda: catalog.add("projects", projects, ["projectcode"]),
-        lambda: catalog.add("species", species, ["speciescode"], on_duplicate="first"),
+        lambda: catalog.add("species", species, ["speciescode"]),
         lambda: catalog.replace("species_attributes", attribute_rows(attributes)),
     )
     catalog.add("species_dict", dictionary_rows(dictionary), ["speciesdatacode", "projectcode"])

@@ -72,10 +72,12 @@ _LOCAL_ROOT: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; one temporary folder where none is named."""
+    """The shared folder the cluster names. Only a session on one machine may go without: it gets a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _LOCAL_ROOT:
         _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="foliar-"))
     return _LOCAL_ROOT[0]

@@ -103,10 +103,10 @@ def skewed(spark, n=400):
     return spark.createDataFrame(data, "g string, o int, id int, v string").repartition(5), data
 
 
-@pytest.mark.parametrize("limit", [10_000, 50, 1])
-def test_row_number_in_group(spark, limit):
+@pytest.mark.parametrize("parts", [1, 4, 23])
+def test_row_number_in_group(spark, parts):
     df, data = skewed(spark)
-    out = ordered.row_number_in_group(df, ["g"], ["o", "id"], "n", max_rows=limit)
+    out = ordered.row_number_in_group(df.repartition(parts), ["g"], ["o", "id"], "n")
     seen, want = {}, {}
     for g, o, i, _ in sorted(data, key=lambda r: (r[1], r[2])):
         seen[g] = seen.get(g, 0) + 1
@@ -114,10 +114,10 @@ def test_row_number_in_group(spark, limit):
     assert {r.id: r.n for r in out.collect()} == want
 
 
-@pytest.mark.parametrize("limit", [10_000, 50, 1])
-def test_fill_down(spark, limit):
+@pytest.mark.parametrize("parts", [1, 4, 23])
+def test_fill_down(spark, parts):
     df, data = skewed(spark)
-    out = ordered.fill_down(df, "v", ["g"], ["o", "id"], max_rows=limit)
+    out = ordered.fill_down(df.repartition(parts), "v", ["g"], ["o", "id"])
     last, want = {}, {}
     for g, o, i, v in sorted(data, key=lambda r: (r[1], r[2])):
         last[g] = v if v is not None else last.get(g)
@@ -318,3 +318,12 @@ def test_schema_has_fourteen_tables_and_attributes():
     assert len(TABLES) == 15
     assert TABLES["spectra_data"].unique == (("spectraid", "wavelength"),)
     assert np.all([ref in TABLES for t in TABLES.values() for _, ref in t.refs])
+
+
+def test_pivot_refuses_repeated_values(spark):
+    from foliar.operators.reshape import pivot
+
+    df = spark.createDataFrame([(1, "t", 1.0), (1, "t", 2.0)], "k int, name string, v double")
+    with pytest.raises(Exception, match="repeats within a key"):
+        pivot(df, ["k"], "name", "v", ["t"]).collect()
+    assert [tuple(r) for r in pivot(df.limit(1), ["k"], "name", "v", ["t", "u"]).collect()] == [(1, df.first().v, None)]

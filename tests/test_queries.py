@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, connect
+from foliar.checks.registry import JOBS
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
@@ -16,14 +17,14 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(JOBS))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     assert compare(df, duck, entry.oracle_sql()[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(JOBS) <= set(entry.queries()) and set(JOBS) <= set(entry.oracle_sql())
 
 
 def plan(df):
