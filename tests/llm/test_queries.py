@@ -1,0 +1,33 @@
+"""Registered queries of the package on the small tables, and the pipeline's stages against plain rules."""
+
+import os
+
+import pytest
+
+pytest.importorskip("foliar.llm")
+
+import __spark_entry__ as entry  # noqa: E402
+import corpus_pipeline  # noqa: E402
+from compare import compare, connect  # noqa: E402
+from foliar.llm import queries  # noqa: E402
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL_TEXT))
+def test_query_equals_sql(spark, name):
+    assert compare(entry.queries()[name](spark, SF), connect(SF), entry.oracle_sql()[name]) is None
+
+
+def test_line_stage_with_clashing_columns_and_missing_values(spark):
+    rows = [(2, "A line that is long enough.\nOther words here.", 3, "x"), (1, "A line that is long enough.", 9, "y"), (None, None, None, "z"), (3, "a LINE that is long enough", 1, "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, row_number string")
+    got = sorted(((r.doc_id, r.text, r.row_number) for r in corpus_pipeline.lines(spark, docs, SF).collect()), key=str)
+    assert got == sorted([(1, "A line that is long enough.", "y"), (2, "Other words here.", "x"), (None, None, "z")], key=str)
+
+
+def test_stages_keep_the_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, SF).columns == docs.columns
