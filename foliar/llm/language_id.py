@@ -1,7 +1,7 @@
 """Language identification by compression against one raw-content dictionary per language.
 
 A text is compressed by zstandard once per language, each time with that
-language's dictionary: raw sample text, not a trained one. The smallest size
+language's dictionary: raw sample text, not a trained one, both in lower case. The smallest size
 wins; equal sizes go to the language first in order. With sizes in bits taken as
 code lengths, ``score`` is the winner's share of 2^-bits, and a text is
 ``rejected`` where the runner-up is within ``min_margin`` of the winner's size.
@@ -25,7 +25,8 @@ from foliar.llm._jobs import narrow, stored
 SAMPLE_ROWS = 200
 DICTIONARY_BYTES = 48 << 10
 MAX_LANGUAGES = 100
-LEVEL = 1
+LEVEL = 5
+MIN_MATCH = 4  # short texts have few long matches
 MIN_MARGIN = 0.01
 UNKNOWN = "und"
 
@@ -48,7 +49,7 @@ def dictionaries(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, dictionary
     out: dict[str, list[bytes]] = {}
     room: dict[str, int] = {}
     for r in sorted(chosen, key=lambda r: (r.lang, r.place, r.text)):
-        text = r.text.encode()
+        text = r.text.lower().encode()
         if len(text) <= room.get(r.lang, dictionary_bytes):
             room[r.lang] = room.get(r.lang, dictionary_bytes) - len(text)
             out.setdefault(r.lang, []).append(text)
@@ -58,7 +59,7 @@ def dictionaries(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, dictionary
 def _predict(samples: dict[str, bytes], level: int, min_margin: float):
     def run(batches):
         langs = list(samples)
-        params = zstandard.ZstdCompressionParameters.from_level(level, write_content_size=False, write_checksum=False, write_dict_id=False)
+        params = zstandard.ZstdCompressionParameters.from_level(level, min_match=MIN_MATCH, write_content_size=False, write_checksum=False, write_dict_id=False)
         coders = []
         for text in samples.values():
             d = zstandard.ZstdCompressionDict(text, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -70,7 +71,7 @@ def _predict(samples: dict[str, bytes], level: int, min_margin: float):
                 if not langs or text is None or not any(map(str.isalpha, text)):
                     rows.append((UNKNOWN, 0.0, True))
                     continue
-                data = text.encode()
+                data = text.lower().encode()
                 sizes = [len(c.compress(data)) for c in coders]
                 best = min(range(len(sizes)), key=sizes.__getitem__)
                 share = 1.0 / sum(2.0 ** max(-8 * (s - sizes[best]), -1000) for s in sizes)

@@ -186,8 +186,8 @@ def _normalise(source: str, target: str, level: int):
 
 
 def _spread(files: DataFrame) -> DataFrame:
-    """One task per file, as far as there are tasks: a file is read by the task alone."""
-    return files.repartition(F.col("file"))
+    """About one task per file; a number of tasks that is given is not merged for the few bytes of the names."""
+    return files.repartition(max(1, files.count()), "file")
 
 
 def normalise(manifest: DataFrame, source: str, target: str, level: int = LEVEL) -> DataFrame:
