@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from foliar.session import configure, materialize
 
-__all__ = ["configure", "groups", "link_buckets", "narrow", "read", "stored"]
+__all__ = ["configure", "groups", "keyed", "labelled_sample", "link_buckets", "narrow", "read", "share", "stored"]
 
 stored = materialize
 
@@ -136,3 +136,25 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     if odd.isEmpty():
         return texts.select(F.col("id").alias("row"), "id", "text")
     return stored(texts.select(F.monotonically_increasing_id().alias("row"), "id", "text"), "numbered")
+
+
+def share(rows: Column | str, total: int, wanted: int) -> Column:
+    """Is a row in a sample of at most ``wanted`` of ``total`` rows, chosen by the hash of ``rows``?
+
+    The share lies four deviations below the bound, so more rows come with a
+    chance of 3e-5. No rows are sorted or brought together for it.
+    """
+    if total <= wanted:
+        return F.lit(True)
+    part = max(wanted - 4 * wanted**0.5, wanted / 2) / total
+    return F.pmod(F.xxhash64(rows), F.lit(1 << 31)) < int(part * (1 << 31))
+
+
+def labelled_sample(rows: DataFrame, labels: DataFrame, wanted: int) -> DataFrame:
+    """Rows (id, ...) joined with the labels (id, ...; one row per id) of at most ``wanted`` ids that have rows.
+
+    Ids are chosen on narrow tables; texts are only read, not shuffled.
+    """
+    known = stored(labels.join(rows.select("id").distinct(), "id", "left_semi"), "labelled-ids")
+    chosen = known.where(share("id", known.count(), wanted))
+    return rows.join(F.broadcast(chosen), "id")  # at most ``wanted`` rows
