@@ -9,8 +9,8 @@ the pruning part, and the rows it covers are set aside. Rules that do not hold
 on the pruning part end the list. ``verdict`` is the list as one Spark
 expression: the first rule that fires rejects, everything else is kept.
 
-The labelled sample is bounded: the ``sample_rows`` labelled rows whose hashed
-ids are smallest. A missing text counts as empty; a text without words has
+The labelled sample is bounded: at most ``sample_rows`` labelled ids, chosen by
+their hash. A missing text counts as empty; a text without words has
 zero rates. Without labelled rows of both kinds the list is empty.
 """
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliar.llm._jobs import narrow
+from foliar.llm._jobs import labelled_sample, narrow
 from foliar.llm._text import SPACE, blocks, grams, mix, words
 
 SAMPLE_ROWS = 20_000
@@ -198,15 +198,10 @@ def learn(x: np.ndarray, bad: np.ndarray, max_rules: int = 12, max_conditions: i
 
 def fit(counts: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """Learn from the labelled rows that pass the base rules; label 0 is bad."""
-    known = narrow(labels, doc_id="doc_id", quality="quality").where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    sample = (
-        counts.join(known, "doc_id")
-        .where(~base_failed())
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample_rows)
-        .select("quality", *[F.expr(f"cast({sql} as double)").alias(f"x_{name}") for name, sql in STATISTICS.items()])
-        .toPandas()
-    )
+    known = narrow(labels, id="doc_id", quality="quality").where("quality is not null").groupBy("id").agg(F.min("quality").alias("quality"))
+    rows = counts.where(~base_failed()).select(F.col("doc_id").alias("id"), *[F.expr(f"cast({sql} as double)").alias(f"x_{name}") for name, sql in STATISTICS.items()])
+    sample = labelled_sample(rows, known, sample_rows).withColumn("o", F.xxhash64("id")).toPandas()
+    sample = sample.sort_values(["o", "id", *[f"x_{n}" for n in STATISTICS]])
     bad = (sample["quality"] == 0).to_numpy()
     if not bad.any() or bad.all():
         return []
