@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliar.llm._jobs import keyed, narrow, stored
+from foliar.llm._jobs import keyed, labelled_sample, narrow, stored
 from foliar.session import small_table
 
 SAMPLE_ROWS = 4_000
@@ -39,14 +39,10 @@ def _words(text: str) -> Column:
     return F.explode(F.split(text, SEPARATOR)).alias("word")
 
 
-def classifier(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, feature_words: int = FEATURE_WORDS) -> tuple[list[str], list[float], DataFrame]:
-    """Domains, their log priors, and a table (word, p) with one log probability per domain, from rows (id, text, domain).
-
-    The sample is the ``sample_rows`` labelled rows with the smallest hashed ids.
-    """
+def classifier(labelled: DataFrame, feature_words: int = FEATURE_WORDS) -> tuple[list[str], list[float], DataFrame]:
+    """Domains, their log priors, and a table (word, p) with one log probability per domain, from rows (id, text, domain)."""
     spark = labelled.sparkSession
-    rows = labelled.where("domain is not null").orderBy(F.xxhash64("id"), "id").limit(sample_rows)
-    sample = stored(rows.select("id", "text", F.col("domain").cast("string").alias("domain")), "mix-sample")
+    sample = stored(labelled.where("domain is not null").select("id", "text", F.col("domain").cast("string").alias("domain")), "mix-sample")
     found = sample.groupBy("domain").count().orderBy("domain").limit(MAX_DOMAINS + 1).collect()
     if len(found) > MAX_DOMAINS:
         raise ValueError(f"more than {MAX_DOMAINS} domains")
@@ -121,11 +117,11 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget:
     return texts, members.withColumn("rate", rate(steps)), domains
 
 
-def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, text, domain) of labelled texts: the language where quality is good, ``low`` where it is not."""
+def labelled_domains(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(id, text, domain) of at most ``sample_rows`` labelled texts: the language where quality is good, ``low`` where it is not."""
     known = narrow(labels, id="doc_id", quality="quality").where("quality is not null").groupBy("id").agg(F.min("quality").alias("quality"))
     texts = narrow(docs, id="doc_id", text="text", lang="lang")
-    return texts.join(known, "id").select("id", "text", F.when(F.col("quality") == 0, F.lit("low")).otherwise(F.col("lang")).alias("domain"))
+    return labelled_sample(texts, known, sample_rows).select("id", "text", F.when(F.col("quality") == 0, F.lit("low")).otherwise(F.col("lang")).alias("domain"))
 
 
 def copies(rate_col: str = "rate", row_col: str = "row") -> Column:
