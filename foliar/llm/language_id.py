@@ -6,9 +6,9 @@ wins; equal sizes go to the language first in order. With sizes in bits taken as
 code lengths, ``score`` is the winner's share of 2^-bits, and a text is
 ``rejected`` where the runner-up is within ``min_margin`` of the winner's size.
 
-Dictionaries hold whole texts of the labelled rows with the smallest hashed
-ids, up to ``dictionary_bytes`` per language; a text that does not fit is
-passed over. At most ``sample_rows`` rows per language are looked at. A text
+Dictionaries hold whole texts of at most ``sample_rows`` labelled rows per
+language, chosen by the hash of their ids, up to ``dictionary_bytes``; a text
+that does not fit is passed over. A text
 that is missing or has no letter is ``und`` with score 0; without any labelled
 row every text is ``und``.
 """
@@ -17,10 +17,10 @@ from __future__ import annotations
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliar.llm._jobs import narrow, stored
+from foliar.llm._jobs import narrow, share
 
 SAMPLE_ROWS = 200
 DICTIONARY_BYTES = 48 << 10
@@ -34,21 +34,18 @@ UNKNOWN = "und"
 def dictionaries(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Sample text per language from rows (id, text, lang)."""
     rows = labelled.where("lang is not null and text is not null and length(text) > 0")
-    # Longest texts first would waste the room: take ids in hashed order, and of those only texts that can fit.
-    order = Window.partitionBy("lang").orderBy("o", "id")
-    picked = (
-        rows.where(F.octet_length("text") <= dictionary_bytes // 8)
-        .select("lang", "id", F.xxhash64("id").alias("o"))
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= sample_rows)
-    )
-    langs = picked.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
-    if langs > MAX_LANGUAGES:
+    # Longest texts first would waste the room: take only texts that can fit.
+    rows = rows.where(F.octet_length("text") <= dictionary_bytes // 8)
+    found = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    chosen = rows.select("id", "lang", "text").join(F.broadcast(stored(picked.select("id", "lang", "place"), "sample")), ["id", "lang"]).collect()
+    picked = F.lit(False)
+    for r in found:
+        picked = picked | ((F.col("lang") == r["lang"]) & share("id", r["n"], sample_rows))
+    chosen = rows.where(picked).select(F.xxhash64("id").alias("o"), "id", "lang", "text").collect()
     out: dict[str, list[bytes]] = {}
     room: dict[str, int] = {}
-    for r in sorted(chosen, key=lambda r: (r.lang, r.place, r.text)):
+    for r in sorted(chosen, key=lambda r: (r.lang, r.o, r.text)):
         text = r.text.lower().encode()
         if len(text) <= room.get(r.lang, dictionary_bytes):
             room[r.lang] = room.get(r.lang, dictionary_bytes) - len(text)
