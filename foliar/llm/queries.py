@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliar.llm import decontaminate, html_text, language_id, line_dedup, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, warc
-from foliar.llm._jobs import narrow, read, stored
+from foliar.llm._jobs import labelled_sample, narrow, read, stored
 
 # Target shares of the mixture: languages of good quality, and what the labels call low quality.
 TARGETS = {"en": 0.50, "de": 0.16, "es": 0.14, "fr": 0.16, "low": 0.04}
@@ -63,7 +63,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     labels = narrow(read(spark, sf_dir, "labels"), id="doc_id", toxic="toxic").where("toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
-    labelled = narrow(docs.where(~_fold(4, 2)), id="doc_id", text="text").join(labels, "id")
+    labelled = labelled_sample(narrow(docs.where(~_fold(4, 2)), id="doc_id", text="text"), labels, toxicity.SAMPLE_ROWS)
     scored = toxicity.score(docs, *toxicity.fit(labelled))
     return scored.select("doc_id", _fold(4, 2).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 

@@ -6,8 +6,8 @@ near such words, capitals, punctuation, repeated letters and obfuscated
 spellings (letters replaced by digits or marks, letters set apart). A missing or
 empty text has all features zero and is scored like any other.
 
-Everything is learned from a bounded sample, the ``sample_rows`` labelled rows
-with the smallest hashed ids. Half of it gives the lexicon, of the other half
+Everything is learned from a bounded sample, at most ``SAMPLE_ROWS`` labelled
+ids chosen by their hash. Half of it gives the lexicon, of the other half
 two thirds train the trees and one third calibrates them; then the lexicon is
 learned again from the whole sample. Without both kinds of labels every score
 is the share of toxic rows (0 without rows).
@@ -206,9 +206,10 @@ def boost(f: np.ndarray, y: np.ndarray, fc: np.ndarray, yc: np.ndarray, rounds:
     return model
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Lexicon, Trees]:
-    """Learn from rows (id, text, toxic)."""
-    sample = labelled.where("toxic is not null").orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("text", "toxic").collect()
+def fit(labelled: DataFrame) -> tuple[Lexicon, Trees]:
+    """Learn from a bounded table (id, text, toxic)."""
+    sample = labelled.where("toxic is not null").select(F.xxhash64("id").alias("o"), "id", "text", "toxic").collect()
+    sample.sort(key=lambda r: (r.o, r.id, r.text or ""))
     texts, toxic = [r.text or "" for r in sample], np.array([r.toxic for r in sample], dtype=np.float64)
     nothing = Lexicon(frozenset(), frozenset(), frozenset())
     if len(toxic) < 8 or not 0 < toxic.sum() < len(toxic):
