@@ -7,7 +7,8 @@ or role, in the article container, or in a heading. A decision tree decides.
 It is grown from the small labelled pages below, whose main text is marked, by
 the same features.
 
-Scripts, styles, comments, head and form controls give no blocks. Character
+Scripts, styles, comments, head (up to the body where it is not closed) and
+form controls give no blocks. Character
 references are decoded, white space inside a block becomes one space, blocks
 are joined in page order by an empty line. A missing or empty page has empty
 text; markup that is never closed is read to the end of the page.
@@ -24,9 +25,10 @@ from pyspark.sql import DataFrame
 
 from foliar.llm._jobs import narrow
 
-_SKIPPED = "script|style|noscript|template|svg|head|select|textarea|iframe|object|button"
+_SKIPPED = "script|style|noscript|template|svg|select|textarea|iframe|object|button"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<(?P<skip>{_SKIPPED})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=skip)\s*>|\Z)"
+    r"|<head(?=[\s/>])[^>]*>.*?(?:</head\s*>|(?=<body[\s/>])|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
     re.S | re.I,
 )
@@ -41,6 +43,7 @@ _FURNITURE = re.compile(
 )
 _MAIN = re.compile(r"(?:^|[\s_-])(?:article|content|entry|main|post|story|body)(?=$|[\s_-])", re.I)
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_ITEMS = frozenset("li dt dd tr td th option".split())
 _SPACES = re.compile(r"\s+")
 FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "furniture", "main", "heading", "page_has_main"]
 
@@ -87,6 +90,11 @@ def text_blocks(page: str) -> list[tuple[str, list[float]]]:
             add(" ")
             continue
         end_block()
+        # A paragraph ends where the next block starts, an item where the next item does.
+        while not m["close"] and stack and (stack[-1][0] == "p" or (tag in _ITEMS and stack[-1][0] == tag)):
+            _, f, a = stack.pop()
+            furniture -= f
+            main -= a
         if tag in _HEADINGS:
             heading = 0 if m["close"] else 1
         if tag in _VOID or (m["attrs"].endswith("/") and tag != "p"):
