@@ -14,7 +14,7 @@ pytest.importorskip("foliar.llm")
 from pyspark.sql import functions as F  # noqa: E402
 
 from foliar.llm import decontaminate, html_text, language_id, line_dedup, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, warc  # noqa: E402
-from foliar.llm._jobs import groups  # noqa: E402
+from foliar.llm._jobs import groups, labelled_sample  # noqa: E402
 from foliar.session import scratch_path  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, name int"
@@ -197,6 +197,21 @@ def test_html(spark):
     assert np.mean([html_text.is_main(tree, list(f)) == t for f, t in zip(x, y)]) > 0.9
 
 
+def test_html_with_ends_left_out():
+    page = "<head><title>T</title><body><article><p class=notice>Mind the gap.<p>Some words of the text.<ul><li class=share>Send it<li>First item</ul></article>"
+    assert [(text, f[6]) for text, f in html_text.text_blocks(page)] == [("Mind the gap.", 1.0), ("Some words of the text.", 0.0), ("Send it", 1.0), ("First item", 0.0)]
+
+
+def test_labelled_sample_is_bounded(spark):
+    docs = spark.range(3000).selectExpr("id", "concat('text ', id) text").unionByName(spark.createDataFrame([(None, "x")], "id long, text string"))
+    labels = spark.range(1000, 4000).selectExpr("id", "1 quality")
+    assert labelled_sample(docs, labels, 2000).count() == 2000
+    part = {r.id for r in labelled_sample(docs, labels, 400).collect()}
+    assert 200 <= len(part) <= 400 and part <= set(range(1000, 3000))
+    assert part == {r.id for r in labelled_sample(docs.repartition(7), labels, 400).collect()}
+    assert labelled_sample(docs, labels.where("false"), 400).count() == 0
+
+
 def test_mixing_meets_targets(spark):
     rng = random.Random(7)
     pools = {"en": "the of and ice harbour tug".split(), "de": "der und von eis hafen das".split()}
