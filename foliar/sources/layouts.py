@@ -45,10 +45,13 @@ def bind_columns(
 
     The n-th file in name order belongs to the n-th day; after the wavelength,
     the k-th column of a file belongs to the k-th sample of its day. Rows at
-    wavelength 0 and missing cells are dropped.
+    wavelength 0 and missing cells are dropped. As many files as days are
+    demanded.
     """
     files = ranked(lines, "file", "__rank")
     days = ranked(samples, day, "__rank")
+    if files.count() != days.count():
+        raise ValueError("there are not as many files as days")
     placed = join(lines, join(files, days, ["__rank"], "inner").drop("__rank"), ["file"], "inner")
     parts = F.split(F.trim("value"), sep)
     # Split once per line, below the explode.
@@ -74,14 +77,19 @@ def header_to_long(
     """Long rows from files with one column per sample, each file with its own header.
 
     All files are scanned at once: the first line of a file names its columns
-    and is joined back to the file's other lines.
+    and is joined back to the file's other lines. A header without the key and
+    a line of another width are errors; blank lines are passed over.
     """
-    first = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "row")).alias("__head"))
-    body = join(lines, first, ["file"], "inner").where(F.col("value") != F.col("__head"))
+    first = lines.groupBy("file").agg(F.min(F.struct("block", "row", "value")).alias("__first"))
+    first = first.select("file", F.col("__first.value").alias("__head"), F.struct("__first.block", "__first.row").alias("__place"))
+    body = join(lines, first, ["file"], "inner").where((F.struct("block", "row") != F.col("__place")) & (F.trim("value") != ""))
     names, cells = F.split(F.trim("__head"), sep), F.split(F.trim("value"), sep)
     at = F.array_position(names, key).cast("int") - 1
     # Split once per line, below the explode.
     split = body.select("file", names.alias("__names"), cells.alias("__cells"), at.alias("__at"))
+    unlike = split.where((F.col("__at") < 0) | (F.size("__names") != F.size("__cells"))).select("file").limit(5).collect()
+    if unlike:
+        raise ValueError(f"no column {key!r} or lines of another width in {sorted({r['file'] for r in unlike})}")
     split = split.select("file", F.get("__cells", F.col("__at")).try_cast("double").alias(key), "__names", "__cells")
     cell = split.select("file", key, "__names", F.posexplode("__cells")).select("file", key, F.get("__names", F.col("pos")).alias(name), F.col("col").try_cast("double").alias(value))
     return cell.where(~F.col(name).isin(key, *skip))

@@ -112,3 +112,16 @@ def test_unfinished_batches_are_invisible(spark, tmp_path):
     half.mkdir(parents=True)
     (half / "part-0.parquet").write_bytes(b"half written")
     assert [r.sitecode for r in catalog.table("sites").collect()] == ["a"]
+
+
+def test_files_that_do_not_fit_are_refused(spark, tmp_path):
+    write(tmp_path / "m/a.csv", "350,0.1,0.2,0.3\n")
+    lines = read_lines(spark, str(tmp_path / "m"))
+    with pytest.raises(ValueError, match="as many files"):
+        bind_columns(lines, small_table(spark, "doy int, s string, n int", [(1, "a", 1), (2, "b", 1)]), "doy", "s", ["n"])
+    write(tmp_path / "h/a.dat", "band wl S1\n1 400 0.1\n")
+    with pytest.raises(ValueError, match="no column"):
+        header_to_long(read_lines(spark, str(tmp_path / "h")), "wavelength", "s", "v")
+    write(tmp_path / "w/a.dat", "wavelength S1\n400 0.1 0.2\n")
+    with pytest.raises(ValueError, match="another width"):
+        header_to_long(read_lines(spark, str(tmp_path / "w")), "wavelength", "s", "v")
