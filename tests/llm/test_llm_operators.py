@@ -351,3 +351,36 @@ def test_empty_tables(spark):
     assert decontaminate.contaminated(docs, benchmark).count() == 0
     assert decontaminate.contaminated(docs_of(spark, ["a b c"]), benchmark.where("false")).count() == 0
     assert language_id.dictionaries(docs.select(F.col("doc_id").alias("id"), "text", "lang")) == {}
+
+
+def test_near_lines_of_all_lengths_are_found(spark):
+    """Against brute-force edit similarity: lines of 2 to 80 words with one letter, one word or a tenth of the characters edited."""
+    rng = random.Random(11)
+    for words in (2, 3, 4, 5, 8, 12, 20, 40, 80):
+        missed = pairs = 0
+        for i in range(120):
+            line = prose(1000 * words + i, words)
+            kind, at = i % 3, rng.randrange(len(line))
+            if kind == 0:
+                other = line[:at] + "x" + line[at + 1 :]
+            elif kind == 1:
+                cut = line.split(" ")
+                cut[rng.randrange(words)] = "other"
+                other = " ".join(cut)
+            else:
+                spots = set(rng.sample(range(len(line)), len(line) // 10))
+                other = "".join(rng.choice(["", "x", "y" + c]) if k in spots else c for k, c in enumerate(line))
+            a, b = line_dedup.normal_form(line), line_dedup.normal_form(other)
+            if min(len(a), len(b)) < line_dedup.MIN_CHARS or 10 * line_dedup.edit_distance(a, b) > max(len(a), len(b)):
+                continue
+            keys, owner = line_dedup.gram_keys([a, b])
+            bins = np.abs(np.diff(line_dedup.bags([a, b]).view(np.uint8).astype(int), axis=0)).sum()
+            found = set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+            pairs += 1
+            missed += not (found and bins <= 2 * (max(len(a), len(b)) // 10) and line_dedup.similar(a, b))
+            assert len(a) >= 60 or not missed, (a, b)
+        assert pairs and missed <= 2, (words, missed, pairs)
+    texts = [prose(50 + n, n) + "\n" + prose(90 + n, 30) for n in (3, 6, 10, 25, 60)]
+    texts += ["".join("z" if i == len(t.split("\n")[0]) // 2 else c for i, c in enumerate(t.split("\n")[0])) for t in texts]
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(docs_of(spark, texts)).collect()}
+    assert got == {i: (2, 0) if i < 5 else (1, 1) for i in range(10)}
