@@ -11,10 +11,11 @@ from foliar.functions.nulls import extract
 from foliar.operators.aggregate import count_sorted
 from foliar.operators.columns import drop_unnamed
 from foliar.operators.joins import join
+from foliar.operators.ordered import row_number_in_group
 from foliar.session import scratch_path, small_table
 from foliar.sources.catalog import Catalog
 from foliar.sources.files import read_csv, read_delimited, read_tree, with_file
-from foliar.sources.layouts import bind_columns, sectioned
+from foliar.sources.layouts import bind_columns, ranked, sectioned
 
 
 @check(
@@ -118,13 +119,24 @@ def sectioned_file(v: Views) -> DataFrame:
     "group by c_custkey"
 )
 def positional_header_join(v: Views) -> DataFrame:
-    cells = F.transform("embedding", lambda x: x.cast("double").cast("string"))
-    lines = v.raw("embeddings").select(
-        F.concat(F.lit("matrix_"), F.floor(F.col("label") / 2).cast("string"), F.lit(".csv")).alias("file"),
-        F.concat_ws(",", (F.col("vec_id") + 1).cast("string"), F.array_join(cells, ",")).alias("value"),
+    # Days of as many customers as an embedding has values. The SQL gives values to the first such day of a segment only;
+    # the matrices of the others are blank, so every customer has a column.
+    vectors = v.raw("embeddings").withColumn("f", F.floor(F.col("label") / 2))
+    wide = vectors.agg(F.max(F.size("embedding"))).first()[0]
+    listed = row_number_in_group(v.raw("customer").select("c_mktsegment", "c_custkey"), ["c_mktsegment"], ["c_custkey"], "k")
+    listed = listed.withColumn("block", F.floor((F.col("k") - 1) / wide))
+    sizes = listed.groupBy("c_mktsegment", "block").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    placed = join(sizes, ranked(sizes, "c_mktsegment", "r"), ["c_mktsegment"], "inner")
+    placed = join(placed, ranked(vectors, "f", "r"), ["r"], "inner").select("f", "block", "n")
+    cells = F.transform(F.slice("embedding", 1, F.col("n")), lambda x: x.cast("double").cast("string"))
+    number = F.lpad(F.col("block").cast("string"), 9, "0")
+    file = F.concat(F.lit("matrix_"), F.col("f").cast("string"), F.lit("_"), number, F.lit(".csv")).alias("file")
+    lines = join(vectors, placed.where("block = 0"), ["f"], "inner").select(
+        file, F.concat_ws(",", (F.col("vec_id") + 1).cast("string"), F.array_join(cells, ",")).alias("value")
     )
-    samples = v.raw("customer").select("c_mktsegment", "c_custkey")
-    long = bind_columns(lines, samples, "c_mktsegment", "c_custkey", ["c_custkey"])
+    lines = lines.unionByName(placed.where("block > 0").select(file, F.concat(F.lit("1"), F.repeat(F.lit(","), F.col("n"))).alias("value")))
+    samples = listed.select(F.concat_ws("_", "c_mktsegment", number).alias("day"), "c_custkey")
+    long = bind_columns(lines, samples, "day", "c_custkey", ["c_custkey"])
     return long.groupBy("c_custkey").agg(
         F.count(F.lit(1)).alias("n_points"),
         F.sum("wavelength").alias("wl_sum"),

@@ -45,8 +45,8 @@ def bind_columns(
 
     The n-th file in name order belongs to the n-th day; after the wavelength,
     the k-th column of a file belongs to the k-th sample of its day. Rows at
-    wavelength 0 and missing cells are dropped. As many files as days are
-    demanded.
+    wavelength 0 and missing cells are dropped, blank lines passed over. As many
+    files as days are demanded, and on every line one cell per sample of the day.
     """
     files = ranked(lines, "file", "__rank")
     days = ranked(samples, day, "__rank")
@@ -55,7 +55,13 @@ def bind_columns(
     placed = join(lines, join(files, days, ["__rank"], "inner").drop("__rank"), ["file"], "inner")
     parts = F.split(F.trim("value"), sep)
     # Split once per line, below the explode.
-    split = placed.select(day, parts.alias("__cells"))
+    split = placed.where(F.trim("value") != "").select(day, parts.alias("__cells"))
+    width, missing = (F.size("__cells") - 1).cast("long"), F.lit(None).cast("long")
+    sizes = split.select(day, width.alias("__w"), missing.alias("__n")).unionByName(samples.groupBy(day).agg(missing.alias("__w"), F.count(F.lit(1)).alias("__n")))
+    sizes = sizes.groupBy(day).agg(F.min("__w").alias("__low"), F.max("__w").alias("__high"), F.sum("__n").alias("__n"))
+    unlike = sizes.where(~(F.col("__low").eqNullSafe(F.col("__n")) & F.col("__high").eqNullSafe(F.col("__n")))).select(day).limit(5).collect()
+    if unlike:
+        raise ValueError(f"not as many cells as samples on days {sorted(str(r[day]) for r in unlike)}")
     split = split.select(day, F.get("__cells", F.lit(0)).try_cast("double").alias("wavelength"), "__cells")
     cells = (
         split.select(day, "wavelength", F.posexplode("__cells"))

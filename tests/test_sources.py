@@ -125,3 +125,15 @@ def test_files_that_do_not_fit_are_refused(spark, tmp_path):
     write(tmp_path / "w/a.dat", "wavelength S1\n400 0.1 0.2\n")
     with pytest.raises(ValueError, match="another width"):
         header_to_long(read_lines(spark, str(tmp_path / "w")), "wavelength", "s", "v")
+
+
+def test_matrices_of_another_width_than_their_day_are_refused(spark, tmp_path):
+    samples = small_table(spark, "doy int, s string, n int", [(1, "a", 1), (1, "b", 2), (2, "c", 1)])
+    for name, first in (("short", "350,0.1\n"), ("long", "350,0.1,0.2,0.3\n"), ("ragged", "350,0.1,0.2\n351,0.1\n")):
+        write(tmp_path / name / "a.csv", first)
+        write(tmp_path / name / "b.csv", "350,0.4\n\n")
+        with pytest.raises(ValueError, match="as many cells"):
+            bind_columns(read_lines(spark, str(tmp_path / name)), samples, "doy", "s", ["n"])
+    write(tmp_path / "fit/a.csv", "350,0.1,\n")
+    write(tmp_path / "fit/b.csv", "350,0.4\n\n")
+    assert rows(bind_columns(read_lines(spark, str(tmp_path / "fit")), samples, "doy", "s", ["n"])) == [("a", 350.0, 0.1), ("c", 350.0, 0.4)]
