@@ -48,20 +48,25 @@ def shingles(w: Column, size: int) -> Column:
     return F.when(n >= 0, F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(F.slice(w, i + 1, size)))).otherwise(F.array().cast("array<bigint>"))
 
 
-def fingerprint(features: DataFrame, *keys: str) -> DataFrame:
+def fingerprint(features: DataFrame, *keys: str, lanes: int = 4) -> DataFrame:
     """64-bit SimHash per key of rows (keys, h, weight): bit i says whether most of the weight has bit i of h set.
 
-    Each of 16 sums counts 4 bits in lanes of 15 bits, which hold a weight of up to 32,767.
+    Each sum counts ``lanes`` bits side by side: 4 lanes of 15 bits hold a weight of up to 32,767, 2 lanes of 31 bits
+    more than any text has words.
     """
-    lanes = []
-    for k in range(16):
-        bits = [F.shiftleft(F.shiftrightunsigned("h", k + 16 * lane).bitwiseAND(1), 15 * lane) for lane in range(4)]
-        lanes.append(F.sum((bits[0] + bits[1] + bits[2] + bits[3]) * F.col("weight")).alias(f"s{k}"))
-    sums = features.groupBy(*keys).agg(F.sum("weight").alias("total"), *lanes)
+    width, words = {4: 15, 2: 31}[lanes], 64 // lanes
+    sums = []
+    for k in range(words):
+        bits = None
+        for lane in range(lanes):
+            bit = F.shiftleft(F.shiftrightunsigned("h", k + words * lane).bitwiseAND(1), width * lane)
+            bits = bit if bits is None else bits + bit
+        sums.append(F.sum(bits * F.col("weight")).alias(f"s{k}"))
+    sums = features.groupBy(*keys).agg(F.sum("weight").alias("total"), *sums)
     bit = [
-        F.when(F.shiftrightunsigned(f"s{k}", 15 * lane).bitwiseAND(32767) * 2 > F.col("total"), F.shiftleft(F.lit(1).cast("long"), k + 16 * lane)).otherwise(F.lit(0).cast("long"))
-        for k in range(16)
-        for lane in range(4)
+        F.when(F.shiftrightunsigned(f"s{k}", width * lane).bitwiseAND((1 << width) - 1) * 2 > F.col("total"), F.shiftleft(F.lit(1).cast("long"), k + words * lane)).otherwise(F.lit(0).cast("long"))
+        for k in range(words)
+        for lane in range(lanes)
     ]
     while len(bit) > 1:
         bit = [bit[i].bitwiseOR(bit[i + 1]) for i in range(0, len(bit), 2)]
@@ -93,7 +98,8 @@ def contaminated(
     texts = keyed(docs, id_col, text_col)
     items = narrow(benchmark, item_id=item_col, text=item_text_col).withColumn("w", words(F.col("text"))).withColumn("n", F.size("w")).where("n > 0")
     items = stored(items.select(F.xxhash64("item_id", "text").alias("item"), "item_id", "w", "n", F.least("n", F.lit(SHINGLE_WORDS)).alias("k")).dropDuplicates(["item"]), "items")
-    sizes = sorted(r.k for r in items.select("k").distinct().collect())  # at most SHINGLE_WORDS values
+    longest_of = {r.k: r.n for r in items.groupBy("k").agg(F.max("n").alias("n")).collect()}  # at most SHINGLE_WORDS values
+    sizes, lanes = sorted(longest_of), 4 if max(longest_of.values(), default=0) <= 32_767 else 2
 
     def by_size(df: DataFrame, make) -> DataFrame:
         parts = [make(df.where(F.col("k") == k), k) for k in sizes] or [make(df.where("false"), SHINGLE_WORDS)]
@@ -175,9 +181,9 @@ def contaminated(
     )
     windows = stored(windows, "windows")
     key = ["row", "n", "k", "s"]
-    prints = fingerprint(windows, *key).join(covered, ["row", "n", "k"])
+    prints = fingerprint(windows, *key, lanes=lanes).join(covered, ["row", "n", "k"])
     indexed = prints.select(*key, "item", "fp", F.posexplode(bit_blocks("fp", radius)).alias("block", "value"))
-    item_prints = fingerprint(item_features, "item").select("item", F.col("fp").alias("item_fp"), F.posexplode(bit_blocks("fp", radius)).alias("block", "value"))
+    item_prints = fingerprint(item_features, "item", lanes=lanes).select("item", F.col("fp").alias("item_fp"), F.posexplode(bit_blocks("fp", radius)).alias("block", "value"))
     candidates = (
         indexed.join(item_prints, ["item", "block", "value"])
         .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)

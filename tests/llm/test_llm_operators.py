@@ -384,3 +384,12 @@ def test_near_lines_of_all_lengths_are_found(spark):
     texts += ["".join("z" if i == len(t.split("\n")[0]) // 2 else c for i, c in enumerate(t.split("\n")[0])) for t in texts]
     got = {r.doc_id: (r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(docs_of(spark, texts)).collect()}
     assert got == {i: (2, 0) if i < 5 else (1, 1) for i in range(10)}
+
+
+def test_benchmark_item_of_more_words_than_a_lane_holds(spark):
+    rare = prose(71, 7000, words=5000).split()
+    item = ["a"] * 29_420 + rare
+    text = ["a"] * 28_900 + prose(72, 520).split() + rare
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = decontaminate.contaminated(docs_of(spark, [" ".join(text), prose(73, 50)]), items).collect()
+    assert [(r.doc_id, r.item_id, r.start_word, r.n_words) for r in got] == [(0, 1, 0, 36_420)] and got[0].similarity > 0.97
