@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from foliar.session import configure, materialize
 
-__all__ = ["configure", "groups", "keyed", "labelled_sample", "link_buckets", "narrow", "read", "share", "stored"]
+__all__ = ["configure", "groups", "keyed", "labelled_sample", "link_buckets", "narrow", "odd_ids", "read", "share", "stored"]
 
 stored = materialize
 
@@ -125,6 +125,11 @@ def link_buckets(facts: DataFrame, alike: Callable[[Column, Column], Column], ve
     return groups(links.unionByName(found))
 
 
+def odd_ids(texts: DataFrame) -> bool:
+    """Does an id repeat, or a row lack one?"""
+    return not texts.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 or id is null").isEmpty()
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(row, id, text) with one ``row`` key per row of the table.
 
@@ -132,8 +137,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     stored once with a number each, so rows that repeat an id stay apart.
     """
     texts = narrow(docs, id=id_col, text=text_col)
-    odd = texts.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 or id is null")
-    if odd.isEmpty():
+    if not odd_ids(texts):
         return texts.select(F.col("id").alias("row"), "id", "text")
     return stored(texts.select(F.monotonically_increasing_id().alias("row"), "id", "text"), "numbered")
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliar.llm._jobs import link_buckets, narrow, stored
+from foliar.llm._jobs import groups, link_buckets, narrow, odd_ids, stored
 from foliar.llm._text import blocks, mix, shingle_sets
 
 SLOTS = 360
@@ -173,28 +173,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Missing and empty texts have no shingles and are linked with nothing. Rows
     without an id come back with a missing component and are kept; rows that
-    repeat an id count as copies of one id.
+    repeat an id count as copies of one id, each with its own text's links.
     """
     texts = narrow(docs, id=id_col, text=text_col)
+    if not odd_ids(texts):
+        return _components(texts)
+    rows = stored(texts.select(F.monotonically_increasing_id().alias("row"), "id", "text"), "numbered")
+    found = _components(rows.where("id is not null").select(F.col("row").alias("id"), "text")).select(F.col("doc_id").alias("row"), "n_shingles", "component_id")
+    found = stored(found.join(rows.select("row", "id"), "row"), "row-components")
+    # The rows of one id are a star of components; a component is named by its smallest id.
+    of_id = found.where("n_shingles > 0").select("id", "component_id").distinct()
+    stars = of_id.join(of_id.groupBy("id").agg(F.min("component_id").alias("low")), "id")
+    roots = groups(stars.select("component_id", "low")).select(F.col("node").alias("component_id"), "root")
+    rooted = of_id.join(roots, "component_id", "left").select("id", F.coalesce("root", "component_id").alias("root")).distinct()
+    named = rooted.join(rooted.groupBy("root").agg(F.min("id").alias("name")), "root").select("id", "name")
+    out = found.join(named, "id", "left").select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("name", "id").alias("component_id"))
+    kind = texts.schema["id"].dataType.simpleString()
+    nameless = rows.where("id is null").select("id", "text").mapInArrow(_signatures, f"id {kind}, n_shingles long, digest binary, keys array<long>, low array<long>")
+    out = out.unionByName(nameless.select(F.col("id").alias("doc_id"), "n_shingles", F.col("id").alias("component_id")))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _components(texts: DataFrame) -> DataFrame:
+    """The same for texts (id, text) with an id of its own on every row."""
     kind = texts.schema["id"].dataType.simpleString()
     signed = stored(texts.mapInArrow(_signatures, f"id {kind}, n_shingles long, digest binary, keys array<long>, low array<long>"), "signatures")
-    full = signed.where("digest is not null and id is not null")
+    full = signed.where("digest is not null")
     classes = full.groupBy("digest").agg(F.min("id").alias("rep"))
     of_class = stored(full.select("id", "digest").join(classes, "digest").select("id", "rep"), "classes")
-    reps = of_class.where("id = rep").select("id").distinct()
-    heads = full.join(reps, "id", "left_semi").dropDuplicates(["id"])
+    heads = full.join(of_class.where("id = rep").select("id"), "id", "left_semi")
     facts = stored(heads.select(F.col("id").alias("node"), "keys", F.struct(F.col("n_shingles").alias("n"), "low").alias("sketch")), "class-signatures")
 
     def verify(pairs: DataFrame) -> DataFrame:
         close = stored(pairs, "close")
         wanted = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id"))).distinct()
-        sets = stored(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_sets, f"id {kind}, members binary"), "sets")
+        sets = stored(texts.join(wanted, "id", "left_semi").mapInArrow(_sets, f"id {kind}, members binary"), "sets")
         first = sets.select(F.col("id").alias("a"), F.col("members").alias("set_a"))
         second = sets.select(F.col("id").alias("b"), F.col("members").alias("set_b"))
         return close.join(first, "a").join(second, "b").mapInArrow(_confirmed, f"a {kind}, b {kind}")
 
     roots = link_buckets(facts, alike, verify).select(F.col("node").alias("rep"), "root")
-    named = of_class.join(roots, "rep", "left").select("id", F.coalesce("root", "rep").alias("component_id")).distinct()
+    named = of_class.join(roots, "rep", "left").select("id", F.coalesce("root", "rep").alias("component_id"))
     return (
         signed.select("id", "n_shingles")
         .join(named, "id", "left")

@@ -393,3 +393,11 @@ def test_benchmark_item_of_more_words_than_a_lane_holds(spark):
     items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
     got = decontaminate.contaminated(docs_of(spark, [" ".join(text), prose(73, 50)]), items).collect()
     assert [(r.doc_id, r.item_id, r.start_word, r.n_words) for r in got] == [(0, 1, 0, 36_420)] and got[0].similarity > 0.97
+
+
+def test_near_duplicates_of_every_text_of_a_repeated_id(spark):
+    first, second, third = prose(81, 120), prose(82, 120), prose(83, 120)
+    texts = [first, second, first + " end", second + " end", third, third + " end", first]
+    ids = [5, 5, 7, 3, 9, None, None]
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(docs_of(spark, texts, ids)).collect()), key=str)
+    assert got == sorted([(5, 3, False), (5, 3, False), (7, 3, False), (3, 3, True), (9, 9, True), (None, None, True), (None, None, True)], key=str)
