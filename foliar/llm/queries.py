@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliar.llm import decontaminate, html_text, language_id, line_dedup, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, warc
+from foliar.llm import decontaminate, divergence, html_text, language_id, line_dedup, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, warc
 from foliar.llm._jobs import labelled_sample, narrow, read, stored
 
 # Target shares of the mixture: languages of good quality, and what the labels call low quality.
@@ -80,11 +80,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "start_word", "n_words", F.round("similarity", 6).alias("similarity"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_array_dedup, op2_line_dedup, op3_quality_rules, op4_html_extraction, op5_source_mixing,
-        op6_minhash_near_dedup, op7_language_id, op8_toxicity, op9_warc, op10_decontamination,
+        op6_minhash_near_dedup, op7_language_id, op8_toxicity, op9_warc, op10_decontamination, op13_source_divergence,
     )
 }
 
@@ -132,4 +136,40 @@ SQL_TEXT: dict[str, str] = {
         )
         SELECT doc_id, item_id, s AS start_word, n AS n_words, round(sim, 6) AS similarity FROM best WHERE place = 1
     """,
+    "op13_source_divergence": """
+        WITH d AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+        ), t AS (
+            SELECT r, lang, source, translate(unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d
+        ), kept AS (
+            SELECT lang, term, count(*) AS nl FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+        ), lt AS (
+            SELECT lang, count(*) AS v, sum(nl) AS total FROM kept GROUP BY lang
+        ), g AS (
+            SELECT DISTINCT lang, source FROM d
+        ), c AS (
+            SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL
+        ), gt AS (
+            SELECT lang, source, sum(n) AS total FROM c JOIN kept USING (lang, term) GROUP BY ALL
+        ), p AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                   1 + (1000000000 * (coalesce(c.n, 0) + 1)::HUGEINT) // (coalesce(gt.total, 0) + lt.v)::HUGEINT AS p,
+                   1 + (1000000000 * (k.nl + 1)::HUGEINT) // (lt.total + lt.v)::HUGEINT AS q
+            FROM g JOIN kept k ON g.lang = k.lang JOIN lt ON g.lang = lt.lang
+            LEFT JOIN gt ON g.lang = gt.lang AND g.source = gt.source
+            LEFT JOIN c ON g.lang = c.lang AND g.source = c.source AND k.term = c.term
+        ), pair AS (
+            SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pair x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM parts
+        )
+        SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+    """,
 }
