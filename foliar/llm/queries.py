@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliar.llm import decontaminate, divergence, html_text, language_id, line_dedup, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, warc
+from foliar.llm import decontaminate, divergence, hard_negatives, html_text, language_id, line_dedup, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, warc
 from foliar.llm._jobs import labelled_sample, narrow, read, stored
 
 # Target shares of the mixture: languages of good quality, and what the labels call low quality.
@@ -80,6 +80,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "start_word", "n_words", F.round("similarity", 6).alias("similarity"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
@@ -88,7 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_array_dedup, op2_line_dedup, op3_quality_rules, op4_html_extraction, op5_source_mixing,
-        op6_minhash_near_dedup, op7_language_id, op8_toxicity, op9_warc, op10_decontamination, op13_source_divergence,
+        op6_minhash_near_dedup, op7_language_id, op8_toxicity, op9_warc, op10_decontamination, op12_hard_negatives, op13_source_divergence,
     )
 }
 
@@ -136,6 +142,27 @@ SQL_TEXT: dict[str, str] = {
         )
         SELECT doc_id, item_id, s AS start_word, n AS n_words, round(sim, 6) AS similarity FROM best WHERE place = 1
     """,
+    "op12_hard_negatives": """
+        WITH e AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike, list_dot_product(a.v, b.v)::BIGINT AS score
+            FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+        ), pos AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+        ), neg AS (
+            SELECT p.anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS rank
+            FROM pos p JOIN s ON s.anchor_id = p.anchor_id
+            WHERE NOT alike AND 80 * positive_score <= 100 * score AND score <= positive_score
+        )
+        SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 5
+    """,
     "op13_source_divergence": """
         WITH d AS (
             SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
