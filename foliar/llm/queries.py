@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliar.llm import decontaminate, divergence, hard_negatives, html_text, language_id, line_dedup, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, warc
+from foliar.llm import decontaminate, divergence, hard_negatives, html_text, language_id, line_dedup, minhash_dedup, mixing, pii, quality_rules, suffix_dedup, toxicity, warc
 from foliar.llm._jobs import labelled_sample, narrow, read, stored
 
 # Target shares of the mixture: languages of good quality, and what the labels call low quality.
@@ -80,6 +80,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "start_word", "n_words", F.round("similarity", 6).alias("similarity"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(read(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
@@ -94,7 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_array_dedup, op2_line_dedup, op3_quality_rules, op4_html_extraction, op5_source_mixing,
-        op6_minhash_near_dedup, op7_language_id, op8_toxicity, op9_warc, op10_decontamination, op12_hard_negatives, op13_source_divergence,
+        op6_minhash_near_dedup, op7_language_id, op8_toxicity, op9_warc, op10_decontamination, op11_personal_data, op12_hard_negatives, op13_source_divergence,
     )
 }
 
