@@ -140,14 +140,18 @@ class Views:
             F.col("l_discount").alias("spectravalue"),
         )
 
-    def spectra_data(self) -> DataFrame:
-        """Long spectra from the vectors."""
-        packed = self.raw("embeddings").select(
+    def spectra_packed(self) -> DataFrame:
+        """One spectrum per vector, with its label."""
+        return self.raw("embeddings").select(
             F.col("vec_id").alias("spectraid"),
+            "label",
             F.transform("embedding", lambda v, i: (F.lit(FIRST_BAND) + i * BAND_STEP).cast("double")).alias("wavelengths"),
             F.transform("embedding", lambda v: v.cast("double")).alias("spectravalues"),
         )
-        return unpack(packed, ["spectraid"])
+
+    def spectra_data(self) -> DataFrame:
+        """Long spectra from the vectors."""
+        return unpack(self.spectra_packed(), ["spectraid"])
 
     def spectra_wide(self) -> DataFrame:
         bands = [

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from foliar.checks.analog import Views
 from foliar.checks.registry import check
-from foliar.operators.merge import absent_rows, assign_ids, cascade_delete, insert_if_absent, tee, with_ids
+from foliar.operators.merge import assign_ids, insert_if_absent, tee, with_ids
 from foliar.operators.ordered import row_number_global
 from foliar.schema import TABLES
-from foliar.session import scratch_path, side_by_side, small_table
+from foliar.session import materialize, scratch_path, side_by_side, small_table
 from foliar.sources.catalog import Catalog
 
 _MERGED = (
@@ -71,11 +71,37 @@ def merge_composite_key(v: Views) -> DataFrame:
     "spectra_data",
 )
 def append_spectra(v: Views) -> DataFrame:
-    points = v.spectra_data()
-    low = v.raw("embeddings").where("label < 5").select(F.col("vec_id").alias("spectraid"))
-    target = points.join(low, "spectraid", "left_semi").where("wavelength < 600")
-    batch = points.withColumn("spectravalue", F.col("spectravalue") + 1)
-    return target.unionByName(absent_rows(target, batch, ["spectraid"]))
+    catalog = Catalog(v.spark, scratch_path(v.spark, "catalog"))
+    # The vector's number is the sample's name, so it can be told from the id that the catalog gives.
+    named = v.spectra_packed().select(
+        F.concat(F.lit("vectors|"), "spectraid").alias("samplecode"), F.lit("reflectance").alias("spectratype"),
+        *[F.lit(None).cast("string").alias(c) for c in ("sampleprep", "spectracomment")],
+        "label", "wavelengths", "spectravalues",
+    )
+    short = F.filter("wavelengths", lambda w: w < 600)
+    low = named.where("label < 5").withColumn("wavelengths", short).withColumn("spectravalues", F.slice("spectravalues", 1, F.size(short)))
+    shifted = named.withColumn("spectravalues", F.transform("spectravalues", lambda x: x + 1))
+    for batch in (low, shifted):
+        catalog.add_packed(batch, batch.drop("label", "wavelengths", "spectravalues"))
+    owner = catalog.table("spectra_info").select("spectraid", F.split_part("samplecode", F.lit("|"), F.lit(2)).cast("long").alias("vector"))
+    points = catalog.table("spectra_data").join(owner, "spectraid")
+    return points.select(F.col("vector").alias("spectraid"), "wavelength", "spectravalue")
+
+
+@check(
+    "select t.samplecode, trait, case when o_orderstatus = 'F' then traitvalue else 2 * traitvalue end traitvalue "
+    "from trait_data t join samples using (samplecode) join orders on o_orderkey = sampleid",
+    "trait_data",
+)
+def merge_facts(v: Views) -> DataFrame:
+    """Finished orders first, then all with other values: a merge adds absent (sample, trait) rows, project by project."""
+    catalog = Catalog(v.spark, scratch_path(v.spark, "catalog"))
+    status = v.samples().join(v.raw("orders").select(F.col("o_orderkey").alias("sampleid"), "o_orderstatus"), "sampleid").select("samplecode", "o_orderstatus")
+    traits = v.trait_data().join(status, "samplecode")
+    by = ["samplecode", "trait"]
+    catalog.add("trait_data", traits.where("o_orderstatus = 'F'").drop("o_orderstatus"), by)
+    catalog.add("trait_data", traits.drop("o_orderstatus").withColumn("traitvalue", 2 * F.col("traitvalue")), by)
+    return catalog.table("trait_data").select("samplecode", "trait", "traitvalue")
 
 
 @check("select speciescode, upper(scientificname) scientificname from species", "species")
@@ -105,18 +131,23 @@ _ANALOG_COUNTS = {
 )
 def empty_catalog_schema(v: Views) -> DataFrame:
     catalog = Catalog(v.spark, scratch_path(v.spark, "catalog"))
-    side_by_side(*[partial(catalog.replace, name, df) for name, df in v.catalog().items()])
+    tables = v.catalog()
+    points = tables.pop("spectra_data")
+    side_by_side(*[partial(catalog.replace, name, df) for name, df in tables.items()])
+    catalog.replace("spectra_data", points)  # after its spectra, whose projects it takes
 
     def count(df: DataFrame, name: str, column: str) -> DataFrame:
         n = df.agg(F.count(F.lit(1)).alias("n"))
         return n.select(F.lit(name).alias("table_name"), F.lit(column).alias("phase"), "n")
 
-    before = [count(df, name, "before") for name, df in catalog.tables().items()]
+    def counts(phase: str) -> DataFrame:
+        one = [count(df, name, phase) for name, df in catalog.tables().items()]
+        return materialize(reduce(lambda a, b: a.unionByName(b), one), "counts")
+
+    before = counts("before")
     catalog.reset()
-    after = [count(df, name, "after") for name, df in catalog.tables().items()]
     columns = small_table(v.spark, "table_name string, n_columns int", [(n, len(catalog.table(n).columns)) for n in TABLES])
-    counts = reduce(lambda a, b: a.unionByName(b), before + after)
-    by_table = counts.groupBy("table_name").agg(
+    by_table = before.unionByName(counts("after")).groupBy("table_name").agg(
         F.sum(F.when(F.col("phase") == "before", F.col("n"))).alias("rows_before"),
         F.sum(F.when(F.col("phase") == "after", F.col("n"))).alias("rows_after").cast("int"),
     )
@@ -153,15 +184,20 @@ def row_number_global_check(v: Views) -> DataFrame:
     "species_dict", "spectra_info", "spectra_points", "trait_data", name="cascade_delete",
 )
 def cascade_delete_check(v: Views) -> DataFrame:
-    left, removed = cascade_delete(v.catalog(*_CASCADE), "projects", F.col("projectcode") == "asia")
-    parts = []
-    for name in sorted(removed):
-        a = left[name].agg(F.count(F.lit(1)).alias("n_left"))
-        b = removed[name].agg(F.count(F.lit(1)).alias("n_removed"))
-        row = a.withColumn("n_removed", F.lit(0).cast("long")).unionByName(b.withColumn("n_left", F.lit(0).cast("long")))
-        parts.append(row.withColumn("table_name", F.lit(name)))
-    both = reduce(lambda x, y: x.unionByName(y), parts)
-    return both.groupBy("table_name").agg(F.sum("n_left").alias("n_left"), F.sum("n_removed").alias("n_removed"))
+    catalog = Catalog(v.spark, scratch_path(v.spark, "catalog"))
+    tables = v.catalog(*_CASCADE)
+    points = tables.pop("spectra_data")
+    side_by_side(*[partial(catalog.replace, name, df) for name, df in tables.items()])
+    catalog.replace("spectra_data", points)  # after its spectra, whose projects it takes
+
+    def counts(phase: str) -> DataFrame:
+        one = [catalog.table(n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table_name"), F.lit(phase).alias("phase"), "n") for n in _CASCADE]
+        return materialize(reduce(lambda x, y: x.unionByName(y), one), "counts")
+
+    before = counts("before")
+    catalog.delete("projects", F.col("projectcode") == "asia")
+    both = before.unionByName(counts("after")).groupBy("table_name").pivot("phase", ["before", "after"]).agg(F.first("n"))
+    return both.select("table_name", F.col("after").alias("n_left"), (F.col("before") - F.col("after")).alias("n_removed"))
 
 
 @check("select distinct c_mktsegment, cast(c_nationkey as bigint) c_nationkey from customer")

@@ -12,6 +12,7 @@ from foliar.operators.aggregate import duplicate_keys, require_unique
 from foliar.operators.joins import join
 from foliar.operators.ordered import row_number_any, row_number_global
 from foliar.schema import children_of
+from foliar.session import materialize
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,7 @@ def insert_if_absent(
     on_duplicate: str = "keep_all",
     order: Sequence[str] | None = None,
     unique: bool = False,
+    last_id: int | None = None,
 ) -> Merge:
     """Add the rows of ``values`` whose key is not in ``target``.
 
@@ -64,7 +66,8 @@ def insert_if_absent(
     or refused, by ``on_duplicate`` (keep_all, first, error). With ``id_col``
     new rows get contiguous ids above the largest present one, in ``order``
     where one is given; without it they are numbered in one pass. ``unique``
-    says that the target holds each key once.
+    says that the target holds each key once; ``last_id`` is the largest id
+    where ``target`` is only a part of the table.
     """
     by = list(by)
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -76,7 +79,7 @@ def insert_if_absent(
     if on_duplicate == "first":
         new = one_per_key(new, by, F.struct(*known))
     if id_col is not None:
-        start = max_id(target, id_col) + 1
+        start = (max_id(target, id_col) if last_id is None else last_id) + 1
         new = row_number_global(new, order, id_col, start) if order else row_number_any(new, id_col, start)
     # Numbered rows are stored by now, so the check does not run the batch again.
     if on_duplicate == "error" and not duplicate_keys(new, by).isEmpty():
@@ -111,7 +114,8 @@ def cascade_delete(
     """Surviving and removed rows of each table after a delete that cascades.
 
     Rows of ``table`` that meet the condition go, and level by level every row
-    that references a removed key. Rows without a reference stay.
+    that references a removed key. Rows without a reference stay. The removed
+    keys of a level are stored once, so no level runs those above it again.
     """
     hit = F.coalesce(condition, F.lit(False))
     removed = {table: tables[table].where(hit)}
@@ -122,7 +126,7 @@ def cascade_delete(
         for child, column in children_of(parent):
             if child not in tables or column not in removed[parent].columns:
                 continue
-            keys = removed[parent].select(column).where(F.col(column).isNotNull()).distinct()
+            keys = removed_keys(removed[parent], column)
             base = left.get(child, tables[child])
             gone = join(base, keys, [column], "semi", null_safe=False, unique_right=True)
             removed[child] = removed[child].unionByName(gone) if child in removed else gone
@@ -130,3 +134,8 @@ def cascade_delete(
             if child not in queue:
                 queue.append(child)
     return {**tables, **left}, removed
+
+
+def removed_keys(removed: DataFrame, column: str) -> DataFrame:
+    """Distinct present keys of removed rows, stored."""
+    return materialize(removed.select(column).where(F.col(column).isNotNull()).distinct(), "removed-keys")

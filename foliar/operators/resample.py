@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliar.operators.reshape import pack
+from foliar.operators.reshape import pack, unpack
 
 _GRID = T.StructType(
     [T.StructField("first", T.LongType()), T.StructField("values", T.ArrayType(T.DoubleType()))]
 )
 
+# One corrupt wavelength must not make a grid that fills a task's memory.
+MAX_GRID = 1_000_000
+
 
 def spline_coefficients(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slopes at the left ends and sixths of the second derivatives, row by row.
@@ -79,14 +82,16 @@ def _on_grid(wavelengths: pd.Series, values: pd.Series) -> pd.DataFrame:
         b, s = spline_coefficients(x, y) if n > 1 else (None, None)
         for j, i in enumerate(rows):
             low, high = int(np.ceil(x[j, 0])), int(np.floor(x[j, -1]))
+            if high - low >= MAX_GRID:
+                raise ValueError(f"wavelengths from {x[j, 0]} to {x[j, -1]} span more than {MAX_GRID} grid points")
             grid = np.arange(low, high + 1, dtype=float)
             firsts[i] = low
             out[i] = np.full(len(grid), y[j, 0]) if n == 1 else _evaluate(x[j], y[j], b[j], s[j], grid)
     return pd.DataFrame({"first": firsts, "values": out})
 
 
-def resample_packed(df: DataFrame, spectrum: Sequence[str], value_columns: dict[str, str]) -> DataFrame:
-    """Long rows on the whole-number grid from packed, sorted spectra.
+def resample_to_packed(df: DataFrame, spectrum: Sequence[str], value_columns: dict[str, str]) -> DataFrame:
+    """Spectra on the whole-number grid, one row each, from packed, sorted spectra.
 
     ``value_columns`` maps a spectrum kind to its array column; all kinds share
     ``wavelengths``. There is no shuffle: each spectrum is one row and passes
@@ -99,12 +104,14 @@ def resample_packed(df: DataFrame, spectrum: Sequence[str], value_columns: dict[
     grid = one.where(F.size("wavelengths") > 0).select(
         *spectrum, "spectratype", _on_grid("wavelengths", "values").alias("g")
     )
-    return grid.select(*spectrum, "spectratype", F.col("g.first").alias("__first"), F.posexplode("g.values")).select(
-        *spectrum,
-        "spectratype",
-        (F.col("__first") + F.col("pos")).cast("double").alias("wavelength"),
-        F.col("col").alias("spectravalue"),
-    )
+    first = F.col("g.first")
+    wavelengths = F.transform("g.values", lambda _, i: (first + i).cast("double"))
+    return grid.select(*spectrum, "spectratype", wavelengths.alias("wavelengths"), F.col("g.values").alias("spectravalues"))
+
+
+def resample_packed(df: DataFrame, spectrum: Sequence[str], value_columns: dict[str, str]) -> DataFrame:
+    """Long rows on the whole-number grid from packed, sorted spectra."""
+    return unpack(resample_to_packed(df, spectrum, value_columns), [*spectrum, "spectratype"])
 
 
 def resample_long(df: DataFrame, spectrum: Sequence[str], spectratype: str) -> DataFrame:

@@ -33,6 +33,16 @@ def wide_to_long(
     )
 
 
+def wide_to_packed(df: DataFrame, ids: Sequence[str], pattern: str = r"^Wave_(\d+(?:\.\d+)?)$") -> DataFrame:
+    """One row per spectrum with its wavelengths and values as arrays, from one column per wavelength; no shuffle."""
+    bands = band_columns(df, pattern)
+    return df.select(
+        *ids,
+        F.array(*[F.lit(w) for _, w in bands]).alias("wavelengths"),
+        F.array(*[F.col(f"`{c}`").cast("double") for c, _ in bands]).alias("spectravalues"),
+    )
+
+
 def names_to_long(
     df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str, value: str, drop_null: bool = False
 ) -> DataFrame:

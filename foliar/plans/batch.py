@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from foliar.functions.units import label
 from foliar.operators.joins import attach_row, join
+from foliar.operators.reshape import pack, unpack
 from foliar.session import materialize, side_by_side, small_table
-from foliar.sources.catalog import Catalog
+from foliar.sources.catalog import PACKED, SPECTRUM_KEY, Catalog
 
-SPECTRUM_KEY = ["samplecode", "spectratype", "sampleprep", "spectracomment"]
 METHOD_KEY = ["instrumentid", "apparatus", "calibration", "specmethodcomment"]
 INSTRUMENT = ["instrumentname", "minwavelength", "maxwavelength", "instrumentcomment"]
 
@@ -25,7 +25,9 @@ INSTRUMENT = ["instrumentname", "minwavelength", "maxwavelength", "instrumentcom
 class Batch:
     """Catalog rows of one project, without ids.
 
-    ``spectra`` is long and carries the key columns of its spectrum.
+    ``spectra`` is long and carries the key columns of its spectrum; a project
+    whose rows are whole spectra gives them as ``packed`` instead (wavelengths
+    and values as arrays), and ``spectra`` is read off that.
     ``methods`` has one row per instrument set-up; its ``match`` columns say
     which spectra used it (none: all of them).
     """
@@ -34,7 +36,7 @@ class Batch:
     plots: DataFrame
     samples: DataFrame
     spectra_info: DataFrame
-    spectra: DataFrame
+    spectra: DataFrame | None = None
     traits: DataFrame | None = None
     trait_info: DataFrame | None = None
     conditions: DataFrame | None = None
@@ -42,9 +44,20 @@ class Batch:
     methods: DataFrame | None = None
     match: tuple[str, ...] = ()
     projects: DataFrame | None = None
+    packed: DataFrame | None = None
+
+    def __post_init__(self) -> None:
+        if self.spectra is None and self.packed is not None:
+            self.spectra = unpack(self.packed, [c for c in self.packed.columns if c not in PACKED])
 
     def tables(self) -> dict[str, DataFrame]:
-        return {k: v for k, v in vars(self).items() if isinstance(v, DataFrame)}
+        return {k: v for k, v in vars(self).items() if isinstance(v, DataFrame) and k != "packed"}
+
+    def packed_spectra(self) -> DataFrame:
+        """One row per spectrum with its whole key."""
+        if self.packed is not None:
+            return filled(self.packed, SPECTRUM_KEY)
+        return pack(filled(self.spectra, SPECTRUM_KEY), SPECTRUM_KEY)
 
 
 def rows(spark: SparkSession, schema: str, *values: tuple) -> DataFrame:
@@ -117,12 +130,7 @@ def load(catalog: Catalog, b: Batch) -> None:
         return lambda: None if df is None else catalog.add(name, df, by, on_duplicate)
 
     def spectra() -> None:
-        info = filled(_with_method(catalog, b), SPECTRUM_KEY)
-        catalog.add("spectra_info", info, SPECTRUM_KEY)
-        ids = catalog.table("spectra_info").select(*SPECTRUM_KEY, "spectraid")
-        keyed = join(ids, info, SPECTRUM_KEY, "semi")
-        points = join(filled(b.spectra, SPECTRUM_KEY), keyed, SPECTRUM_KEY, "inner")
-        catalog.add_spectra(points, keyed)
+        catalog.add_packed(b.packed_spectra(), filled(_with_method(catalog, b), SPECTRUM_KEY))
 
     side_by_side(
         add("projects", b.projects, ["projectcode"]),

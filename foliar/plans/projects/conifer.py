@@ -11,7 +11,7 @@ from foliar.operators import columns
 from foliar.operators.joins import join
 from foliar.operators.ordered import block_label, row_number_in_group
 from foliar.operators.reshape import melt, pack, stack_pairs
-from foliar.operators.resample import resample_packed
+from foliar.operators.resample import resample_to_packed
 from foliar.plans.batch import Batch, rows, stored
 from foliar.sources.files import drop_header_lines
 from foliar.sources.layouts import sectioned
@@ -151,8 +151,8 @@ def build(points: DataFrame, pigment_lines: DataFrame) -> Batch:
     long = stack_pairs(used, ["specfile", "wavelength"], kinds, "kind", "spectravalue")
     long = long.where(F.col("wavelength").isNotNull() & F.col("spectravalue").isNotNull())
     packed = pack(long, ["specfile", "kind"])
-    grid = resample_packed(packed, ["specfile", "kind"], {"": "spectravalues"}).select(
-        "specfile", F.col("kind").alias("spectratype"), "wavelength", "spectravalue"
+    grid = resample_to_packed(packed, ["specfile", "kind"], {"": "spectravalues"}).select(
+        "specfile", F.col("kind").alias("spectratype"), "wavelengths", "spectravalues"
     )
     spectra = stored(
         join(grid, samples.where(F.col("specfile").isNotNull()).select("specfile", "samplecode"), ["specfile"], "inner"),
@@ -163,7 +163,7 @@ def build(points: DataFrame, pigment_lines: DataFrame) -> Batch:
         plots=plots,
         samples=samples.select("samplecode", "speciescode", "plotcode", "projectcode", "year"),
         spectra_info=spectra.select("samplecode", "spectratype").distinct(),
-        spectra=spectra.drop("specfile"),
+        packed=spectra.drop("specfile"),
         traits=traits,
         trait_info=traits.select("trait").distinct().withColumn("unit", F.lit("kg m-2")),
         conditions=conditions,

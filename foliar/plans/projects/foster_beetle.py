@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliar.functions import clean, parse
 from foliar.functions.nulls import paste_na, recode_keep
-from foliar.operators.reshape import melt, wide_to_long
+from foliar.operators.reshape import melt, wide_to_packed
 from foliar.plans.batch import Batch, Contact, one_site, project_row, rows
 
 PROJECT, SITE = "foster_beetle", "foster_beetle.MP"
@@ -70,5 +70,5 @@ def build(raw: DataFrame, contact: Contact = Contact()) -> Batch:
         condition_info=described.unionByName(others, allowMissingColumns=True),
         methods=rows(spark, "instrumentname string, apparatus string, specmethodcomment string", METHOD),
         spectra_info=wide.select("samplecode", kind),
-        spectra=wide_to_long(wide, ["samplecode"], r"^(\d+)$").select("samplecode", kind, "wavelength", "spectravalue"),
+        packed=wide_to_packed(wide, ["samplecode"], r"^(\d+)$").select("*", kind),
     )

@@ -10,7 +10,7 @@ from foliar.functions.nulls import extract
 from foliar.operators import columns, filters
 from foliar.operators.aggregate import collapse_duplicates, require_unique
 from foliar.operators.joins import full_join_unique, join, resolve_species
-from foliar.operators.reshape import melt, wide_to_long
+from foliar.operators.reshape import melt, wide_to_packed
 from foliar.plans.batch import Batch, rows, stored, units_of, when_missing
 
 PROJECT = "nasa_fft"
@@ -142,7 +142,7 @@ def build(
         by_sample, ["samplecode"], columns.with_prefix(by_sample, "leaf"), "trait", "traitvalue", drop_null=True
     )
     kinds = [
-        wide_to_long(df, ["samplecode"]).withColumn("spectratype", F.lit(kind))
+        wide_to_packed(df, ["samplecode"]).withColumn("spectratype", F.lit(kind))
         for kind, df in (("reflectance", refl), ("transmittance", trans))
     ]
     info = [
@@ -161,7 +161,7 @@ def build(
         methods=rows(spark, "instrumentname string, spectratype string, apparatus string, calibration string", *METHODS),
         match=("spectratype",),
         spectra_info=info[0].unionByName(info[1]),
-        spectra=kinds[0].unionByName(kinds[1]),
+        packed=kinds[0].unionByName(kinds[1]),
         traits=traits,
         trait_info=units_of(traits, UNIT_RULES),
     )

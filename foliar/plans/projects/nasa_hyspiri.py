@@ -11,7 +11,7 @@ from foliar.operators import columns, filters
 from foliar.operators.aggregate import group_mean_by_rows
 from foliar.operators.joins import join
 from foliar.operators.ordered import row_number_global
-from foliar.operators.reshape import melt, wide_to_long
+from foliar.operators.reshape import melt, wide_to_packed
 from foliar.plans.batch import Batch, Contact, project_row, rows, stored
 
 PROJECT = "nasa_hyspiri"
@@ -92,7 +92,7 @@ def build(
         *order, "samplecode", "spectratype", F.concat_ws(" ", "specnum", "Spectra").alias("spectracomment")
     )
     keyed = join(columns.select_prefix(leaves, order, "Wave_"), info, order, "inner")
-    spectra = wide_to_long(keyed, ["samplecode", "spectratype", "spectracomment"])
+    packed = wide_to_packed(keyed, ["samplecode", "spectratype", "spectracomment"])
     analysed = columns.rename(chn.withColumnRenamed("Sample_Year", "year"), TRAITS)
     # Fan-out is wanted: one analysis belongs to every campaign's sample of that name and year.
     coded = join(
@@ -107,7 +107,7 @@ def build(
         conditions=conditions,
         condition_info=rows(spark, "condition string", ("CanopyPosition",), ("sunshade",)),
         spectra_info=info.drop(*order),
-        spectra=spectra,
+        packed=packed,
         traits=traits,
         trait_info=traits.select("trait").distinct(),
     )

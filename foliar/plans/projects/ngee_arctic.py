@@ -14,7 +14,7 @@ from foliar.operators import columns
 from foliar.operators.aggregate import require_unique
 from foliar.operators.joins import full_join_unique, join, resolve_species, update_join
 from foliar.operators.ordered import row_number_in_group
-from foliar.operators.reshape import melt, scale_bands, wide_to_long
+from foliar.operators.reshape import melt, scale_bands, wide_to_packed
 from foliar.plans.batch import Batch, stored, units_of, when_missing
 
 PROJECT, BARROW, SEWARD = "ngee_arctic", "ngee_arctic.Barrow", "ngee_arctic.Seward_Kougarok"
@@ -179,7 +179,7 @@ def build(raw: Mapping[str, DataFrame], species_dict: DataFrame) -> Batch:
         plots=plots,
         samples=samples.select("samplecode", "projectcode", "year", "collectiondate", "plotcode", "speciescode"),
         spectra_info=spectra_wide.select("samplecode", kind).distinct(),
-        spectra=wide_to_long(spectra_wide, ["samplecode"]).select("samplecode", kind, "wavelength", "spectravalue"),
+        packed=wide_to_packed(spectra_wide, ["samplecode"]).select("*", kind),
         traits=traits,
         trait_info=units_of(traits, UNIT_RULES),
     )

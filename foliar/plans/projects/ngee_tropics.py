@@ -9,7 +9,7 @@ from foliar.functions import clean, parse, units
 from foliar.functions.nulls import recode_keep
 from foliar.operators import columns, filters
 from foliar.operators.joins import join, resolve_species
-from foliar.operators.reshape import melt, wide_to_long
+from foliar.operators.reshape import melt, wide_to_packed
 from foliar.plans.batch import Batch, rows, stored, units_of, when_missing
 
 PROJECT, YEAR = "ngee_tropics", 2016
@@ -80,9 +80,7 @@ def build(chem_raw: DataFrame, spectra_raw: DataFrame, species_dict: DataFrame)
         methods=instruments.withColumn("specmethodcomment", F.lit("NGEE Tropics")),
         match=("instrumentname",),
         spectra_info=wide.select(code, F.col("Instrument").alias("instrumentname"), kind),
-        spectra=wide_to_long(wide.withColumn("samplecode", code), ["samplecode"]).select(
-            "samplecode", kind, "wavelength", "spectravalue"
-        ),
+        packed=wide_to_packed(wide.withColumn("samplecode", code), ["samplecode"]).select("*", kind),
         traits=traits,
         trait_info=units_of(traits, [("^leaf_water_potential$", "Pa")]),
     )

@@ -32,6 +32,7 @@ class Table:
     refs: tuple[tuple[str, str], ...] = ()  # (column, parent table); same column name in both
     not_null: tuple[str, ...] = ()
     positive: tuple[str, ...] = ()
+    by_project: bool = False  # a fact: stored in one folder per project
 
     @property
     def schema(self) -> T.StructType:
@@ -91,6 +92,7 @@ TABLES: dict[str, Table] = {
             key="sampleid",
             unique=(("samplecode",),),
             refs=(("projectcode", "projects"), ("plotcode", "plots"), ("speciescode", "species")),
+            by_project=True,
         ),
         Table(
             "sample_condition_info",
@@ -104,6 +106,7 @@ TABLES: dict[str, Table] = {
             "conditionvaluecomment string",
             key="conditiondataid",
             refs=(("samplecode", "samples"), ("condition", "sample_condition_info")),
+            by_project=True,
         ),
         Table(
             "instruments",
@@ -126,6 +129,7 @@ TABLES: dict[str, Table] = {
             key="spectraid",
             refs=(("samplecode", "samples"), ("specmethodid", "specmethods")),
             not_null=("samplecode",),
+            by_project=True,
         ),
         Table(
             "spectra_data",
@@ -135,6 +139,7 @@ TABLES: dict[str, Table] = {
             refs=(("spectraid", "spectra_info"),),
             not_null=("spectraid",),
             positive=("wavelength",),
+            by_project=True,
         ),
         Table(
             "trait_info",
@@ -148,6 +153,7 @@ TABLES: dict[str, Table] = {
             key="traitdataid",
             refs=(("samplecode", "samples"), ("trait", "trait_info")),
             not_null=("samplecode",),
+            by_project=True,
         ),
         Table(
             "species_attributes",

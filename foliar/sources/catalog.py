@@ -1,8 +1,15 @@
-"""The catalog as Parquet folders: append batches, replace, reset and merge.
+"""The catalog as Parquet folders: append batches, replace, reset, merge and delete.
 
-A table is ``root/<table>/v<version>/b<batch>``. A batch counts once Spark has
-written its ``_SUCCESS`` marker, so a job that dies leaves nothing visible and
-can simply be run again. One writer per table is assumed.
+Facts (``Table.by_project``) lie in one folder per project,
+``root/<table>/project=<p>``, p the part of the samplecode before the first
+``|``. A merge and a delete read and write the folders of their own projects
+only, by partition filters, appends and dynamic partition overwrite; folders of
+other projects are not touched. Last ids of facts are kept in a small table, so
+no merge looks for the largest id.
+
+Other tables are small and replaced as a whole: ``root/<table>/v<version>/b<batch>``,
+where a batch counts once Spark has written its ``_SUCCESS`` marker. One writer
+per table and project is assumed.
 """
 
 from __future__ import annotations
@@ -11,12 +18,28 @@ import re
 from collections.abc import Sequence
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from foliar.operators.joins import join
+from foliar.operators.merge import insert_if_absent, removed_keys, with_ids
+from foliar.operators.ordered import row_number_any
+from foliar.operators.reshape import pack
+from foliar.schema import TABLES, children_of
+from foliar.session import empty_table, materialize, side_by_side, small_table
+
+PROJECT = "project"
+SPECTRUM_KEY = ["samplecode", "spectratype", "sampleprep", "spectracomment"]
+PACKED = ["wavelengths", "spectravalues"]
+# Ids of points: the spectrum's id and the place in the spectrum.
+POINTS_PER_SPECTRUM = 1 << 20
+
 
-from foliar.operators.merge import absent_rows, cascade_delete, insert_if_absent, with_ids
-from foliar.schema import TABLES
-from foliar.session import empty_table, side_by_side
+def project_of(samplecode: Column | str) -> Column:
+    """The folder of a sample's facts; codes without a project part share one."""
+    return F.when(F.contains(samplecode, F.lit("|")), F.substring_index(samplecode, "|", 1))
 
 
 class Catalog:
@@ -26,7 +49,7 @@ class Catalog:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # --- layout ---------------------------------------------------------------
+    # --- layout of the small tables ---------------------------------------------
     def _batches(self, name: str) -> tuple[int, list[str]]:
         jvm = self.spark.sparkContext._jvm
         pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/v*/b*/_SUCCESS")
@@ -39,8 +62,44 @@ class Catalog:
     def _write(self, name: str, df: DataFrame, version: int, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/v{version:06d}/b{batch:06d}")
 
+    # --- layout of the facts ------------------------------------------------------
+    def _read(self, folder: str, schema: T.StructType) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return empty_table(self.spark, schema)
+
+    def facts(self, name: str, projects: Sequence[str | None] | None = None) -> DataFrame:
+        """A fact table with the column ``project``, of the given projects or of all."""
+        df = self._read(name, T.StructType([*TABLES[name].schema.fields, T.StructField(PROJECT, T.StringType())]))
+        if projects is None:
+            return df
+        named = [p for p in projects if p is not None]
+        known = F.col(PROJECT).isin(named) if named else F.lit(False)
+        return df.where(known | F.col(PROJECT).isNull() if None in projects else known)
+
+    def _put(self, name: str, df: DataFrame, mode: str, overwrite: str = "static") -> None:
+        writer = df.select(*TABLES[name].columns, PROJECT).write.mode(mode).option("partitionOverwriteMode", overwrite)
+        writer.partitionBy(PROJECT).parquet(f"{self.root}/{name}")
+
+    def _last_id(self, name: str) -> int:
+        marks = self._read(f"{name}-ids", T.StructType([T.StructField("last", T.LongType())]))
+        return marks.agg(F.max("last").alias("m")).first().m or 0
+
+    def _mark(self, name: str, last: int, mode: str = "append") -> None:
+        """Ids up to ``last`` are taken. Written before the rows, so a job that dies leaves a gap and no repeated id."""
+        small_table(self.spark, "last bigint", [(last,)]).coalesce(1).write.mode(mode).parquet(f"{self.root}/{name}-ids")
+
+    def _top(self, df: DataFrame, name: str) -> int:
+        key = TABLES[name].key
+        return df.agg(F.max(key).alias("m")).first().m or 0
+
     # --- reads and writes --------------------------------------------------------
     def table(self, name: str) -> DataFrame:
+        if TABLES[name].by_project:
+            return self.facts(name).drop(PROJECT)
         _, batches = self._batches(name)
         schema = TABLES[name].schema
         if not batches:
@@ -55,28 +114,96 @@ class Catalog:
         self._write(name, df.select(*TABLES[name].columns), version, len(batches))
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Drop the table's rows and write new ones; the old version stays readable until then."""
-        version, _ = self._batches(name)
+        """Drop the table's rows and write new ones; what they are made from may be the table itself."""
         types = {f.name: f.dataType for f in TABLES[name].schema.fields}
         columns = [
             F.col(c).cast(t).alias(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in types.items()
         ]
+        if TABLES[name].by_project:
+            rows = materialize(self._placed(name, df.select(*columns)), "replaced")
+            self._mark(name, self._top(rows, name), "overwrite")
+            return self._put(name, rows, "overwrite")
+        version, _ = self._batches(name)
         self._write(name, df.select(*columns), version + 1, 0)
 
+    def _placed(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows of a fact with their project."""
+        if "samplecode" in rows.columns:
+            return rows.withColumn(PROJECT, project_of("samplecode"))
+        owner = self.facts("spectra_info").select("spectraid", PROJECT)
+        return join(rows, owner, ["spectraid"], "left", null_safe=False)
+
     def reset(self) -> None:
         """Empty tables with the declared columns."""
-        side_by_side(
-            *[partial(self.replace, name, empty_table(self.spark, table.schema)) for name, table in TABLES.items()]
-        )
+        side_by_side(*[partial(self._clear, name) for name in TABLES])
 
+    def _clear(self, name: str) -> None:
+        empty = empty_table(self.spark, TABLES[name].schema)
+        if not TABLES[name].by_project:
+            return self.replace(name, empty)
+        self._mark(name, 0, "overwrite")
+        self._put(name, empty.withColumn(PROJECT, F.lit(None).cast("string")), "overwrite")
+
+    # --- deletes ----------------------------------------------------------------------
     def delete(self, name: str, condition: Column) -> None:
         """Delete rows and, down the references, everything that depends on them.
 
-        Survivors are written as new versions, children first.
+        The removed keys of each level are stored, then the survivors of every
+        table, and only then are new folders published, children first. Facts
+        are rewritten in the projects that lose rows; other projects keep their
+        files.
         """
-        left, removed = cascade_delete(self.tables(), name, condition)
-        for table in reversed(removed):
-            self.replace(table, left[table])
+        removed = {name: self._hit(name, F.coalesce(condition, F.lit(False)))}
+        gone: dict[str, list[DataFrame]] = {}
+        queue = [name]
+        while queue:
+            parent = queue.pop(0)
+            for child, column in children_of(parent):
+                keys = removed_keys(removed[parent], column)
+                gone.setdefault(child, []).append(keys)
+                rows = self._lost(child, keys, removed[parent])
+                removed[child] = removed[child].unionByName(rows) if child in removed else rows
+                if child not in queue:
+                    queue.append(child)
+        survivors = [(table, *self._left(table, name, condition, gone.get(table, []), removed[table])) for table in removed]
+        for table, left, projects in reversed(survivors):
+            if not TABLES[table].by_project:
+                self.replace(table, left)
+            elif projects:
+                self._publish(table, left, projects)
+
+    def _hit(self, name: str, hit: Column) -> DataFrame:
+        return (self.facts(name) if TABLES[name].by_project else self.table(name)).where(hit)
+
+    def _lost(self, child: str, keys: DataFrame, parent: DataFrame) -> DataFrame:
+        """Rows of ``child`` that hold one of the keys; of facts below facts only the same projects are read."""
+        if not TABLES[child].by_project:
+            rows = self.table(child)
+        else:
+            rows = self.facts(child, self._projects(parent) if PROJECT in parent.columns else None)
+        return join(rows, keys, keys.columns, "semi", null_safe=False, unique_right=True)
+
+    def _projects(self, rows: DataFrame) -> list[str | None]:
+        """Distinct projects, a handful in any batch."""
+        return [r[PROJECT] for r in rows.select(PROJECT).distinct().collect()]
+
+    def _left(self, table: str, first: str, condition: Column, keys: list[DataFrame], removed: DataFrame):
+        """Stored survivors of a table, and its projects that lose rows."""
+        projects = self._projects(removed) if TABLES[table].by_project else []
+        rows = self.facts(table, projects) if TABLES[table].by_project else self.table(table)
+        if table == first:
+            rows = rows.where(~F.coalesce(condition, F.lit(False)))
+        for k in keys:
+            rows = join(rows, k, k.columns, "anti", null_safe=False, unique_right=True)
+        return materialize(rows, "survivors"), projects
+
+    def _publish(self, table: str, left: DataFrame, projects: list[str | None]) -> None:
+        kept = self._projects(left)
+        self._put(table, left, "overwrite", "dynamic")
+        for project in set(projects) - set(kept):
+            # A project without survivors: an empty file in place of its rows.
+            folder = "__HIVE_DEFAULT_PARTITION__" if project is None else _escaped(project)
+            left.where("false").select(*TABLES[table].columns).write.mode("overwrite").parquet(f"{self.root}/{table}/{PROJECT}={folder}")
 
     # --- merges ----------------------------------------------------------------------
     def merge(self, name: str, values: DataFrame, by: Sequence[str], on_duplicate: str = "error") -> DataFrame:
@@ -84,32 +211,99 @@ class Catalog:
         key = TABLES[name].key
         values = values.drop(key)
         self.add(name, values, by, on_duplicate)
-        return with_ids(values, self.table(name), by, key, unique=on_duplicate == "error")
+        table = self.table(name)
+        if TABLES[name].by_project:
+            table = self.facts(name, self._projects(values.select(project_of("samplecode").alias(PROJECT))))
+        return with_ids(values, table, by, key, unique=on_duplicate == "error")
 
     def add(self, name: str, values: DataFrame, by: Sequence[str], on_duplicate: str = "error") -> None:
-        """Insert absent rows without returning ids."""
+        """Insert absent rows without returning ids. Of a fact only the batch's projects are read."""
         key = TABLES[name].key
         # Refusing repeats keeps the key unique in the table.
         unique = on_duplicate == "error"
-        merged = insert_if_absent(self.table(name), values.drop(key), by, key, on_duplicate, unique=unique)
-        self.append(name, merged.inserted)
+        if not TABLES[name].by_project:
+            merged = insert_if_absent(self.table(name), values.drop(key), by, key, on_duplicate, unique=unique)
+            return self.append(name, merged.inserted)
+        if "samplecode" not in by:
+            raise ValueError(f"{name} is merged by keys with a samplecode")
+        values = values.drop(key).withColumn(PROJECT, project_of("samplecode"))
+        last = self._last_id(name)
+        present = self.facts(name, self._projects(values))
+        merged = insert_if_absent(present, values, by, key, on_duplicate, unique=unique, last_id=last)
+        self._mark(name, max(last, self._top(merged.inserted, name)))
+        self._put(name, merged.inserted, "append")
+
+    def add_packed(self, packed: DataFrame, info: DataFrame) -> None:
+        """Append spectra, one row each: ``packed`` has the spectrum's key, its wavelengths and values, ``info`` all of ``spectra_info``.
+
+        Which spectra are new is decided on their keys alone. A new spectrum's
+        id is the first free id plus its number among the stored rows, so ids
+        meet the points without a join; only a batch that holds both new and
+        known spectra joins its rows, one per spectrum, with the known ids. The
+        points are unpacked last, within the task that writes them. Spectra that have
+        points already, also from a load that did not end, are passed over.
+        """
+        last = self._last_id("spectra_info")
+        packed = packed.select(*SPECTRUM_KEY, *PACKED)
+        numbered = row_number_any(packed, "__n", last + 1)
+        keys = numbered.select(*SPECTRUM_KEY, "__n")
+        placed = info.select(*[c for c in TABLES["spectra_info"].columns if c in info.columns and c != "spectraid"]).withColumn(PROJECT, project_of("samplecode"))
+        projects = self._projects(placed)
+        present = self.facts("spectra_info", projects).select(*SPECTRUM_KEY, "spectraid")
+        known = materialize(join(keys, present, SPECTRUM_KEY, "inner").select("__n", "spectraid"), "known-spectra")
+        free = last + numbered.count()
+
+        new = join(join(placed, present, SPECTRUM_KEY, "anti"), keys, SPECTRUM_KEY, "left")
+        if not join(join(keys, placed, SPECTRUM_KEY, "anti"), present, SPECTRUM_KEY, "anti").isEmpty():
+            raise ValueError("spectra without a row of spectra_info")
+        repeated = new.groupBy(*SPECTRUM_KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if not repeated.isEmpty():
+            raise ValueError(f"the batch repeats keys of {SPECTRUM_KEY}")
+        bare = row_number_any(new.where("__n is null").drop("__n"), "spectraid", free + 1)
+        rows = new.where("__n is not null").withColumnRenamed("__n", "spectraid").unionByName(bare)
+        columns = [F.col(c) if c in rows.columns else F.lit(None).cast(t.dataType).alias(c) for c, t in ((f.name, f) for f in TABLES["spectra_info"].schema.fields)]
+        rows = materialize(rows.select(*columns, PROJECT), "new-spectra")
+        self._mark("spectra_info", max(last, self._top(rows, "spectra_info")))
+        self._put("spectra_info", rows, "append")
+        self._put("spectra_data", self.points(self._with_ids(numbered, known, projects)), "append")
+
+    def _with_ids(self, numbered: DataFrame, known: DataFrame, projects: list[str | None]) -> DataFrame:
+        """Packed spectra without points in the catalog, with id and project."""
+        spectra = numbered.withColumn(PROJECT, project_of("samplecode"))
+        if known.isEmpty():
+            return spectra.withColumnRenamed("__n", "spectraid")
+        stored = self.facts("spectra_data", projects).select("spectraid").distinct()
+        done = materialize(join(known, stored, ["spectraid"], "semi", null_safe=False, unique_right=True), "known-points")
+        if done.count() == numbered.count():
+            return spectra.where("false").withColumnRenamed("__n", "spectraid")
+        spectra = join(spectra, done.select("__n"), ["__n"], "anti", null_safe=False, unique_right=True)
+        spectra = join(spectra, known, ["__n"], "left", null_safe=False)
+        return spectra.withColumn("spectraid", F.coalesce("spectraid", "__n")).drop("__n")
+
+    def points(self, packed: DataFrame) -> DataFrame:
+        """Rows of ``spectra_data`` from packed spectra with spectraid and project; no shuffle."""
+        size = F.size("wavelengths")
+        room = F.when(size > POINTS_PER_SPECTRUM, F.raise_error(F.lit("a spectrum has too many points")).cast("long")).otherwise(F.col("spectraid") * POINTS_PER_SPECTRUM)
+        at = F.posexplode(F.arrays_zip(F.col("wavelengths").alias("wavelength"), F.col("spectravalues").alias("spectravalue")))
+        long = packed.select("spectraid", PROJECT, room.alias("__first"), at)
+        return long.select((F.col("__first") + F.col("pos")).alias("spectradataid"), "spectraid", F.col("col.wavelength").alias("wavelength"), F.col("col.spectravalue").alias("spectravalue"), PROJECT)
 
     def add_spectra(self, values: DataFrame, ids: DataFrame | None = None) -> None:
-        """Append the points of spectra that have none yet.
+        """Append long points (spectraid, wavelength, spectravalue) of spectra that have none yet.
 
-        Point ids are unique and rise with the batch but are not contiguous:
-        numbering the largest table without gaps would sort it as a whole.
-        ``ids`` lists the batch's spectra; their range lets Parquet statistics
-        skip the stored points of all other projects.
+        They are packed first, one row per spectrum. ``ids`` may list the spectra of the batch: of those
+        with a row in ``spectra_info`` only the projects are read.
         """
-        version, batches = self._batches("spectra_data")
-        types = {f.name: f.dataType for f in TABLES["spectra_data"].schema.fields}
-        points = values.select(*[F.col(c).cast(types[c]).alias(c) for c in ("spectraid", "wavelength", "spectravalue")])
-        present = self.table("spectra_data")
+        typed = values.select(F.col("spectraid").cast("long").alias("spectraid"), *[F.col(c).cast("double").alias(c) for c in ("wavelength", "spectravalue")])
+        owner = self.facts("spectra_info").select("spectraid", PROJECT)
         if ids is not None:
-            low, high = ids.agg(F.min("spectraid"), F.max("spectraid")).first()
-            present = present.where(F.col("spectraid").between(low, high))
-        new = absent_rows(present, points, ["spectraid"])
-        batch_start = F.lit(len(batches)).cast("long") * F.lit(1 << 52)
-        numbered = new.withColumn("spectradataid", batch_start + F.monotonically_increasing_id())
-        self._write("spectra_data", numbered.select(*TABLES["spectra_data"].columns), version, len(batches))
+            owner = join(owner, ids.select("spectraid"), ["spectraid"], "semi", null_safe=False)
+        spectra = materialize(join(pack(typed, ["spectraid"]), owner, ["spectraid"], "left", null_safe=False), "packed")
+        stored = self.facts("spectra_data", self._projects(spectra)).select("spectraid")
+        self._put("spectra_data", self.points(join(spectra, stored, ["spectraid"], "anti", null_safe=False)), "append")
+
+
+def _escaped(value: str) -> str:
+    """A partition value as Spark writes it in a folder's name."""
+    special = set("\"#%'*/:=?\\{[]^") | {chr(c) for c in range(1, 32)} | {"\x7f"}
+    return "".join(f"%{ord(c):02X}" if c in special else c for c in value)
