@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from foliar.checks.analog import Views
 from foliar.checks.registry import check
-from foliar.operators.merge import assign_ids, insert_if_absent, tee, with_ids
+from foliar.operators.merge import absent_rows, assign_ids, insert_if_absent, tee, with_ids
 from foliar.operators.ordered import row_number_global
+from foliar.operators.reshape import unpack
 from foliar.schema import TABLES
 from foliar.session import materialize, scratch_path, side_by_side, small_table
 from foliar.sources.catalog import Catalog
@@ -63,14 +64,30 @@ def merge_composite_key(v: Views) -> DataFrame:
     return merged.table
 
 
-@check(
+_APPENDED = (
     "with lab as (select vec_id spectraid, label from embeddings), "
     "t as (select s.* from spectra_data s join lab using (spectraid) where label < 5 and wavelength < 600) "
     "select * from t union all select spectraid, wavelength, spectravalue + 1 from spectra_data "
-    "where spectraid not in (select spectraid from t)",
-    "spectra_data",
+    "where spectraid not in (select spectraid from t)"
 )
+
+
+def _batches(packed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Spectra of the lower labels cut short, and all of them with other values."""
+    short = F.filter("wavelengths", lambda w: w < 600)
+    low = packed.where("label < 5").withColumn("wavelengths", short).withColumn("spectravalues", F.slice("spectravalues", 1, F.size(short)))
+    return low, packed.withColumn("spectravalues", F.transform("spectravalues", lambda x: x + 1))
+
+
+@check(_APPENDED, "spectra_data")
 def append_spectra(v: Views) -> DataFrame:
+    """Decided on one row per spectrum; the points are unpacked last."""
+    target, batch = _batches(v.spectra_packed())
+    return unpack(target.unionByName(absent_rows(target, batch, ["spectraid"])), ["spectraid"])
+
+
+@check(_APPENDED, "spectra_data")
+def append_spectra_to_catalog(v: Views) -> DataFrame:
     catalog = Catalog(v.spark, scratch_path(v.spark, "catalog"))
     # The vector's number is the sample's name, so it can be told from the id that the catalog gives.
     named = v.spectra_packed().select(
@@ -78,10 +95,7 @@ def append_spectra(v: Views) -> DataFrame:
         *[F.lit(None).cast("string").alias(c) for c in ("sampleprep", "spectracomment")],
         "label", "wavelengths", "spectravalues",
     )
-    short = F.filter("wavelengths", lambda w: w < 600)
-    low = named.where("label < 5").withColumn("wavelengths", short).withColumn("spectravalues", F.slice("spectravalues", 1, F.size(short)))
-    shifted = named.withColumn("spectravalues", F.transform("spectravalues", lambda x: x + 1))
-    for batch in (low, shifted):
+    for batch in _batches(named):
         catalog.add_packed(batch, batch.drop("label", "wavelengths", "spectravalues"))
     owner = catalog.table("spectra_info").select("spectraid", F.split_part("samplecode", F.lit("|"), F.lit(2)).cast("long").alias("vector"))
     points = catalog.table("spectra_data").join(owner, "spectraid")

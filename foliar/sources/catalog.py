@@ -4,7 +4,8 @@ Facts (``Table.by_project``) lie in one folder per project,
 ``root/<table>/project=<p>``, p the part of the samplecode before the first
 ``|``. A merge and a delete read and write the folders of their own projects
 only, by partition filters, appends and dynamic partition overwrite; folders of
-other projects are not touched. Last ids of facts are kept in a small table, so
+other projects are not touched. What was read from a folder before must be used
+before it is rewritten. Last ids of facts are kept in a small table, so
 no merge looks for the largest id.
 
 Other tables are small and replaced as a whole: ``root/<table>/v<version>/b<batch>``,
