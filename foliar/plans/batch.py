@@ -45,13 +45,14 @@ class Batch:
     match: tuple[str, ...] = ()
     projects: DataFrame | None = None
     packed: DataFrame | None = None
+    ledger: DataFrame | None = None  # what was read of each file, for batches from folders
 
     def __post_init__(self) -> None:
         if self.spectra is None and self.packed is not None:
             self.spectra = unpack(self.packed, [c for c in self.packed.columns if c not in PACKED])
 
     def tables(self) -> dict[str, DataFrame]:
-        return {k: v for k, v in vars(self).items() if isinstance(v, DataFrame) and k != "packed"}
+        return {k: v for k, v in vars(self).items() if isinstance(v, DataFrame) and k not in ("packed", "ledger")}
 
     def packed_spectra(self) -> DataFrame:
         """One row per spectrum with its whole key."""

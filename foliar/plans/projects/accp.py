@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliar.functions import clean, parse, units
@@ -14,6 +14,7 @@ from foliar.operators import columns, filters
 from foliar.operators.joins import join
 from foliar.operators.reshape import melt
 from foliar.plans.batch import Batch, rows, stored, units_of
+from foliar.sources.folder import file_name, read_folder
 from foliar.sources.layouts import header_to_long
 
 PROJECT = "accp"
@@ -69,7 +70,11 @@ def chemistry(files: Sequence[DataFrame]) -> DataFrame:
 def spectra(lines: DataFrame) -> DataFrame:
     """Long spectra of all known files; -1 stands for a missing value."""
     long = header_to_long(lines, key="wavelength", skip=("band",), name="samplename", value="spectravalue")
-    long = long.withColumn("fname", F.element_at(F.split("file", "/"), -1)).drop("file")
+    return described(long.withColumn("fname", file_name()).drop("file"))
+
+
+def described(long: DataFrame) -> DataFrame:
+    """Points (fname, wavelength, samplename, spectravalue) of known files, with kind and preparation."""
     kind = F.when(matches("fname", "jr_f_sp.dat"), "reflectance").otherwise("pseudo-absorbance")
     long = long.withColumns({"sampleprep": filters.route("fname", PREPARATIONS), "spectratype": kind})
     kept = long.where(F.col("sampleprep").isNotNull() & (F.col("spectravalue") > -0.5))
@@ -106,9 +111,26 @@ def all_samples(points: DataFrame, chem: DataFrame) -> DataFrame:
     return both.withColumns({"plotcode": parse.dotted("sitecode", "plot_id"), "method_tag": tag})
 
 
+def from_folder(spark: SparkSession, root: str, name_of: Callable[[str], Column] = file_name) -> Batch:
+    """Chemistry files below ``leafchem``, spectra files below ``leafspec``, each with a header of its own."""
+    numbers = [c for c in NAMES if c not in ("sampleid", "species")]
+    chem_files = read_folder(spark, f"{root.rstrip('/')}/leafchem", "chem[.]dat$", name_of=name_of).require(["sampleid"])
+    texts = dict.fromkeys(("sampleid", "species", "site_id", "plot_id", "colldate"), "string")
+    chem = chem_files.table({**texts, **dict.fromkeys([*numbers, "leaf_wgt"], "double")})
+    files = read_folder(spark, f"{root.rstrip('/')}/leafspec", "sp[.]dat$", name_of=name_of)
+    points = files.long("wavelength", "samplename", "spectravalue", ["band"]).withColumn("fname", name_of("file")).drop("file")
+    batch = _build([chem], described(points))
+    batch.ledger = chem_files.ledger("chemistry", numbers).unionByName(files.ledger("spectra"))
+    return batch
+
+
 def build(chem_files: Sequence[DataFrame], spectra_lines: DataFrame) -> Batch:
-    spark = spectra_lines.sparkSession
-    points = stored(spectra(spectra_lines), "accp-spectra")
+    return _build(chem_files, spectra(spectra_lines))
+
+
+def _build(chem_files: Sequence[DataFrame], known: DataFrame) -> Batch:
+    spark = known.sparkSession
+    points = stored(known, "accp-spectra")
     samples = stored(all_samples(points, chemistry(chem_files)), "accp-samples")
     places = rows(spark, "sitecode string, sitedescription string, latitude double, longitude double", *SITES)
     traits = melt(

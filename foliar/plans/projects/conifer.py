@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliar.functions import parse, units
@@ -13,7 +13,8 @@ from foliar.operators.ordered import block_label, row_number_in_group
 from foliar.operators.reshape import melt, pack, stack_pairs
 from foliar.operators.resample import resample_to_packed
 from foliar.plans.batch import Batch, rows, stored
-from foliar.sources.files import drop_header_lines
+from foliar.sources.files import drop_header_lines, read_lines
+from foliar.sources.folder import read_folder
 from foliar.sources.layouts import sectioned
 
 PROJECT, YEAR = "divittorio_conifer", 2009
@@ -112,6 +113,16 @@ def pigment_samples(lines: DataFrame) -> DataFrame:
     return df.drop("__random", "__k", "file", *order)
 
 
+def from_folder(spark: SparkSession, root: str, pigments: str = "all_pig.txt") -> Batch:
+    """Three-column files without header in the listed folders, and the sectioned pigment file."""
+    columns_ = ["wavelength", "reflectance", "transmittance"]
+    files = read_folder(spark, root, FILE_PATTERN, REPEATS, names=columns_)
+    points = files.table(dict.fromkeys(columns_, "double"), keep=["file"]).withColumnRenamed("file", "specfile")
+    batch = build(points, read_lines(spark, root, pigments))
+    batch.ledger = files.ledger("spectra")
+    return batch
+
+
 def build(points: DataFrame, pigment_lines: DataFrame) -> Batch:
     """``points`` has specfile, wavelength, reflectance and transmittance."""
     spark = points.sparkSession

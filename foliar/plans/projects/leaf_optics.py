@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliar.functions import clean, parse, units
@@ -12,6 +15,7 @@ from foliar.operators.joins import join, resolve_species
 from foliar.operators.ordered import fill_down, row_number_global
 from foliar.operators.reshape import melt, stack_pairs
 from foliar.plans.batch import Batch, one_site, rows, stored, units_of
+from foliar.sources.folder import file_name, read_folder, require_files
 
 # Unit labels by trait name; later rules overwrite earlier ones.
 UNIT_RULES = [("_pct", "%"), ("_area|_thickness", "kg m-2"), ("ratio", "unitless")]
@@ -23,6 +27,13 @@ PIGMENTS = {
 }
 STRUCTURE = {"EWT": "leaf_water_thickness", "LMA": "leaf_mass_per_area"}
 
+# Columns of the chemistry files.
+OPTICS_TEXTS = {"Latin Name": "string", "Refl_file": "string", "Trans_file": "string"}
+OPTICS_NUMBERS = ["C_a", "C_b", "C_ab", "C_car", "C_anth", "EWT", "LMA"]
+LOPEX_NUMBERS = [
+    "C_C", "C_H", "C_O", "C_N", "C_prot1", "C_prot2", "C_cell1", "C_cell2", "C_lign1", "C_lign2", "C_star1", "C_star2",
+]
+
 
 def file_spectra(points: DataFrame, chem: DataFrame) -> DataFrame:
     """Points of every listed file, labelled with its sample and kind."""
@@ -57,6 +68,37 @@ def _batch(chem: DataFrame, points: DataFrame, species_dict: DataFrame, place, m
     )
 
 
+def _optics_folder(
+    spark: SparkSession, root: str, chem_file: str, columns_: dict[str, str], name_of: Callable[[str], Column]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Chemistry rows in file order, points of the spectrum files, and the ledger. Every listed file must be there."""
+    table = read_folder(spark, root, f"^{re.escape(chem_file)}$", sep=",", name_of=name_of).require(["Latin Name", "Refl_file", "Trans_file"])
+    chem = stored(table.table(columns_, keep=["block", "row"]), "optics-chem")
+    files = read_folder(spark, f"{root.rstrip('/')}/spec", names=["wavelength", "spectravalue"], name_of=name_of)
+    listed = chem.select(F.explode(F.array("Refl_file", "Trans_file")).alias("fname"))
+    require_files(listed, "fname", files)
+    points = files.table({"wavelength": "double", "spectravalue": "double"}, keep=["file"]).withColumn("fname", name_of("file")).drop("file")
+    numbers = [c for c, kind in columns_.items() if kind == "double"]
+    return chem, points, table.ledger("chemistry", numbers).unionByName(files.ledger("spectra"))
+
+
+def angers_from_folder(spark: SparkSession, root: str, species_dict: DataFrame, chem_file: str = "LDB_angers2003.csv", name_of: Callable[[str], Column] = file_name) -> Batch:
+    """The chemistry file and, below ``spec``, one two-column file per spectrum."""
+    chem, points, ledger = _optics_folder(spark, root, chem_file, {**OPTICS_TEXTS, **dict.fromkeys(OPTICS_NUMBERS, "double")}, name_of)
+    batch = angers(chem.drop("block", "row"), points, species_dict)
+    batch.ledger = ledger
+    return batch
+
+
+def lopex_from_folder(spark: SparkSession, root: str, species_dict: DataFrame, chem_file: str = "LDB_lopex1993.csv", name_of: Callable[[str], Column] = file_name) -> Batch:
+    """As angers; the order of the chemistry file's lines names the samples."""
+    numbers = dict.fromkeys([*OPTICS_NUMBERS, *LOPEX_NUMBERS], "double")
+    chem, points, ledger = _optics_folder(spark, root, chem_file, {**OPTICS_TEXTS, "Plant Type": "string", "English Name": "string", **numbers}, name_of)
+    batch = lopex(row_number_global(chem, ["block", "row"], "line").drop("block", "row"), points, species_dict)
+    batch.ledger = ledger
+    return batch
+
+
 def angers(chem_raw: DataFrame, points: DataFrame, species_dict: DataFrame) -> Batch:
     """``points`` has fname, wavelength and spectravalue of all spectrum files."""
     spark = chem_raw.sparkSession

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliar.functions import parse
@@ -13,6 +16,8 @@ from foliar.operators.joins import join
 from foliar.operators.ordered import row_number_global
 from foliar.operators.reshape import melt, wide_to_packed
 from foliar.plans.batch import Batch, Contact, project_row, rows, stored
+from foliar.sources.catalog import PACKED
+from foliar.sources.folder import PLACE, file_name, read_folder
 
 PROJECT = "nasa_hyspiri"
 
@@ -67,17 +72,31 @@ def describe(spectra: DataFrame) -> DataFrame:
     return group_mean_by_rows(df, ["samplecode"], "collectiondate")
 
 
+def from_folder(
+    spark: SparkSession, root: str, gps: DataFrame, chn: DataFrame, contact: Contact = Contact(), name_of: Callable[[str], Column] = file_name
+) -> Batch:
+    """Every file of the one name below ``root``, whatever its campaign's columns, but those of canopies."""
+    files = read_folder(spark, root, f"^{re.escape(FILE_NAME)}$", EXCLUDED_PATH, sep=",", name_of=name_of).require(["Spectra"])
+    lines = files.packed("Wave_", {"Spectra": "string"})
+    paths = files.files.select("file", F.col("path").alias("file_path"))
+    batch = build(join(lines, paths, ["file"], "inner", null_safe=False), gps, chn, PLACE, contact)
+    batch.ledger = files.ledger("spectra", "^Wave_")
+    return batch
+
+
 def build(
     spectra_raw: DataFrame, gps: DataFrame, chn: DataFrame, order: list[str], contact: Contact = Contact()
 ) -> Batch:
-    """``spectra_raw`` has Spectra, file_path, the ``order`` columns and Wave_ columns.
+    """``spectra_raw`` has Spectra, file_path, the ``order`` columns and Wave_ columns or packed spectra.
 
     The order columns (file and line) identify a row. Only the narrow columns
     are sorted and numbered; the wavelength columns meet them once, by row.
     """
     spark = spectra_raw.sparkSession
     leaves = filters.leaf_only(spectra_raw, "Spectra")
-    numbered = row_number_global(columns.drop_prefix(leaves, "Wave_"), order, "specnum")
+    if "wavelengths" not in leaves.columns:
+        leaves = wide_to_packed(leaves, [c for c in leaves.columns if not c.startswith("Wave_")])
+    numbered = row_number_global(leaves.drop(*PACKED), order, "specnum")
     described = stored(describe(numbered), "hyspiri-samples")
     samples = described.select("samplecode", "projectcode", "year", "plotcode", "speciescode", "collectiondate").distinct()
     means = gps.groupBy("Site").agg(F.avg("Latitude").alias("latitude"), F.avg("Longitude").alias("longitude"))
@@ -91,8 +110,7 @@ def build(
     info = described.select(
         *order, "samplecode", "spectratype", F.concat_ws(" ", "specnum", "Spectra").alias("spectracomment")
     )
-    keyed = join(columns.select_prefix(leaves, order, "Wave_"), info, order, "inner")
-    packed = wide_to_packed(keyed, ["samplecode", "spectratype", "spectracomment"])
+    packed = join(leaves.select(*order, *PACKED), info, order, "inner").drop(*order)
     analysed = columns.rename(chn.withColumnRenamed("Sample_Year", "year"), TRAITS)
     # Fan-out is wanted: one analysis belongs to every campaign's sample of that name and year.
     coded = join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliar.functions import clean, parse, units
@@ -15,6 +15,7 @@ from foliar.operators.joins import resolve_species
 from foliar.operators.quality import require_counts_match
 from foliar.operators.reshape import melt, names_to_long, pivot
 from foliar.plans.batch import Batch, rows, stored, units_of
+from foliar.sources.folder import read_folder
 from foliar.sources.layouts import bind_columns
 
 PROJECT = "yang_pheno"
@@ -35,6 +36,10 @@ SITES = [
     ("yang_pheno.HF", "Harvard Forest, Petersham, MA, USA", 42.531, -72.190),
 ]
 SPECIES = {"RO": "Quercus rubra", "RM": "Acer rubrum", "YB": "Betula alleghaniensis"}
+FOLDERS = {
+    (2011, "MV"): {"reflectance": "2011-MV"},
+    (2012, "HF"): {"reflectance": "2012_HF/ref", "transmittance": "2012_HF/tra"},
+}
 ONE_SPECIES = {"MV": "Quercus rubra"}
 UNIT_RULES = [("_pct_mass", "%"), ("_per_area", "kg m-2")]
 
@@ -87,6 +92,17 @@ def spectra(lines: DataFrame, samples: DataFrame, kind: str) -> DataFrame:
     return bind_columns(lines, listed, "DOY", "samplecode", ["leaf_no"]).withColumn("spectratype", F.lit(kind))
 
 
+def from_folder(
+    spark: SparkSession, root: str, sheets: Mapping[str, DataFrame], species_dict: DataFrame, site: str, year: int
+) -> Batch:
+    """Matrices below ``2011-MV``, or ``2012_HF/ref`` and ``2012_HF/tra``; the sheets come as tables."""
+    kinds = {k: read_folder(spark, f"{root.rstrip('/')}/{p}", sep=",", names=[]) for k, p in FOLDERS[year, site].items()}
+    lines = {k: f.lines.select("file", F.array_join("cells", ",").alias("value")) for k, f in kinds.items()}
+    batch = build(sheets, lines, species_dict, site, year)
+    batch.ledger = reduce(lambda a, b: a.unionByName(b), [f.ledger(k) for k, f in kinds.items()])
+    return batch
+
+
 def build(
     sheets: Mapping[str, DataFrame],
     matrices: Mapping[str, DataFrame],
