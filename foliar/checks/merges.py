@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from foliar.checks.analog import Views
 from foliar.checks.registry import check
-from foliar.operators.merge import absent_rows, assign_ids, insert_if_absent, tee, with_ids
+from foliar.operators.merge import Tee, absent_rows, assign_ids, insert_if_absent, tee, with_ids
 from foliar.operators.ordered import row_number_global
 from foliar.operators.reshape import unpack
 from foliar.schema import TABLES
@@ -214,13 +214,26 @@ def cascade_delete_check(v: Views) -> DataFrame:
     return both.select("table_name", F.col("after").alias("n_left"), (F.col("before") - F.col("after")).alias("n_removed"))
 
 
+def _tee_customers(v: Views) -> Tee:
+    def pairs(df: DataFrame) -> DataFrame:
+        return df.select("c_mktsegment", F.col("c_nationkey").cast("long").alias("c_nationkey")).distinct()
+
+    return tee(v.raw("customer"), pairs, scratch_path(v.spark, "side"))
+
+
 @check("select distinct c_mktsegment, cast(c_nationkey as bigint) c_nationkey from customer")
 def tee_distinct(v: Views) -> DataFrame:
-    path = scratch_path(v.spark, "side")
+    return _tee_customers(v).side
 
-    def side(df: DataFrame) -> None:
-        pairs = df.select("c_mktsegment", F.col("c_nationkey").cast("long").alias("c_nationkey")).distinct()
-        pairs.write.parquet(path)
 
-    tee(v.raw("customer"), side)
-    return v.spark.read.parquet(path)
+@check(
+    "with side as (select distinct c_mktsegment, c_nationkey from customer) "
+    "select 'main' output, c_mktsegment, count(*) n, (select count(*) from customer) n_output from customer group by 2 union all "
+    "select 'side', c_mktsegment, count(*), (select count(*) from side) from side group by 2"
+)
+def tee_outputs(v: Views) -> DataFrame:
+    """Both outputs by segment, with the counts taken on the way."""
+    t = _tee_customers(v)
+    parts = [(t.main, "main", t.n_main), (t.side, "side", t.n_side)]
+    shown = [df.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("output"), "c_mktsegment", "n", F.lit(n).cast("long").alias("n_output")) for df, name, n in parts]
+    return shown[0].unionByName(shown[1])

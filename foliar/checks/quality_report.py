@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliar.checks.analog import Views
-from foliar.checks.registry import check
+from foliar.checks.registry import SQL_TEXT, check
 from foliar.functions.nulls import update_where
 from foliar.operators import quality
 from foliar.operators.resample import resample_packed
 from foliar.plans import report
+from foliar.plans.build import export_together, read_export
+from foliar.session import scratch_path
 
 _CATALOG_VIEWS = ("species", "species_dict", "spectra_info", "spectra_points", "trait_data")
 
@@ -248,6 +252,46 @@ def report_site_sanity(v: Views) -> DataFrame:
     return report.site_sanity(v.catalog("samples", "plots"))
 
 
+# Report -> its check, its key columns and its count.
+_EXPORTED = {
+    "spectra_by_project": ("report_spectra_by_project", ("projectcode", "spectratype"), "n"),
+    "samples_by_project": ("report_samples_by_project", ("projectcode",), "n"),
+    "pairs_by_project": ("report_pairs_by_project", ("projectcode",), "n"),
+    "pairs_by_trait": ("report_pairs_by_trait", ("trait",), "n"),
+    "by_location": ("report_by_location", ("sitecode", "projectcode"), "nsamp"),
+    "top_species": ("top20_species", ("speciescode", "scientificname"), "n"),
+    "attribute_distribution": ("report_attribute_distribution", ("attribute", "value"), "n"),
+    "missing_coordinates": ("report_missing_coords", ("sitecode",), "n"),
+    "missing_species": ("report_missing_species", ("projectcode",), "n"),
+    "without_spectra": ("report_no_spectra", ("projectcode",), "n"),
+    "site_sanity": ("report_site_sanity", ("sitecode", "year"), "n"),
+}
+
+
+def _export_sql() -> str:
+    def one(name: str) -> str:
+        query, keys, n = _EXPORTED[name]
+        k = [f"cast({c} as varchar)" for c in keys] + ["null"] * (2 - len(keys))
+        return f"select '{name}' report, {k[0]} k1, {k[1]} k2, cast({n} as bigint) n from ({SQL_TEXT[query]})"
+
+    return " union all ".join(map(one, _EXPORTED))
+
+
+@check(_export_sql())
+def report_export(v: Views) -> DataFrame:
+    """All reports written in one job and read back."""
+    tables = v.catalog()
+    made = {name: fn(tables) for name, fn in report.REPORTS.items()}
+    folder = scratch_path(v.spark, "reports")
+    export_together(made, folder)
+    parts = []
+    for name, df in read_export(v.spark, folder, {n: df.schema for n, df in made.items()}).items():
+        _, keys, n = _EXPORTED[name]
+        k = [F.col(c).cast("string") for c in keys] + [F.lit(None).cast("string")] * (2 - len(keys))
+        parts.append(df.select(F.lit(name).alias("report"), k[0].alias("k1"), k[1].alias("k2"), F.col(n).cast("long").alias("n")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 # --- resampling --------------------------------------------------------------------------
 @check(
     "with pts as (select vec_id, label, unnest(range(1, len(embedding) + 1)) i, embedding from embeddings), "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from foliar.operators.aggregate import duplicate_keys, require_unique
@@ -102,10 +102,24 @@ def with_ids(
     return join(values, keys, list(by), "left")
 
 
-def tee(df: DataFrame, side: Callable[[DataFrame], None]) -> DataFrame:
-    """Hand ``df`` to a side output, then go on with it."""
-    side(df)
-    return df
+@dataclass(frozen=True)
+class Tee:
+    """The input, stored; the side output, written; and the rows of both, counted as they were written."""
+
+    main: DataFrame
+    side: DataFrame
+    n_main: int
+    n_side: int
+
+
+def tee(df: DataFrame, side: Callable[[DataFrame], DataFrame], path: str) -> Tee:
+    """Write ``side(df)`` to ``path`` and go on with ``df``; the plan of ``df`` runs once."""
+    counted, beside = Observation(), Observation()
+    rows = F.count(F.lit(1)).alias("n")
+    main = materialize(df.observe(counted, rows), "tee")
+    out = side(main)
+    out.observe(beside, rows).write.parquet(path)
+    return Tee(main, df.sparkSession.read.schema(out.schema).parquet(path), counted.get["n"], beside.get["n"])
 
 
 def cascade_delete(

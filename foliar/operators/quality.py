@@ -33,28 +33,39 @@ def audit_unique(tables: dict[str, DataFrame]) -> DataFrame:
     return _stack(parts)
 
 
-def audit_orphans(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows whose reference has no parent, per table and column."""
+def key_ledger(tables: dict[str, DataFrame]) -> tuple[DataFrame, list[tuple[str, str, str]]]:
+    """One row (parent, key, known, n_0, n_1, ...) per key value of all references, and the references.
+
+    Every table is read once and gives its own keys and those it refers to;
+    all of them meet in one grouping. ``known`` says that the parent has the
+    key, ``n_i`` how many rows refer to it through the i-th reference. Counts
+    are combined before the shuffle, so a hot key is a few rows.
+    """
+    refs = [(name, column, parent) for name in tables for column, parent in TABLES[name].refs if parent in tables]
     parts = []
     for name, df in tables.items():
-        for column, parent in TABLES[name].refs:
-            if parent not in tables:
-                continue
-            # Count per key before the join: a hot key becomes one row.
-            per_key = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-            orphans = join(per_key, tables[parent].select(column), [column], "anti", null_safe=False)
-            parts.append(
-                orphans.agg(
-                    F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_keys")
-                ).select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(column).alias("column_name"),
-                    F.lit(parent).alias("parent"),
-                    "n_rows",
-                    "n_keys",
-                )
-            )
-    return _stack(parts)
+        uses = [(i, column, parent) for i, (child, column, parent) in enumerate(refs) if child == name]
+        owned = sorted({column for _, column, parent in refs if parent == name})
+        entries = [F.struct(F.lit(f"{parent}.{column}").alias("parent"), F.col(column).cast("string").alias("key"), F.lit(i).alias("ref")) for i, column, parent in uses]
+        entries += [F.struct(F.lit(f"{name}.{column}").alias("parent"), F.col(column).cast("string").alias("key"), F.lit(-1).alias("ref")) for column in owned]
+        if entries:
+            parts.append(df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where("key is not null"))
+    counts = [F.count_if(F.col("ref") == i).alias(f"n_{i}") for i in range(len(refs))]
+    return _stack(parts).groupBy("parent", "key").agg(F.bool_or(F.col("ref") < 0).alias("known"), *counts), refs
+
+
+def audit_orphans(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows whose reference has no parent, per table and column; each table is read once."""
+    ledger, refs = key_ledger(tables)
+    sums = [c for i in range(len(refs)) for c in (F.coalesce(F.sum(f"n_{i}"), F.lit(0)).alias(f"rows_{i}"), F.count_if(F.col(f"n_{i}") > 0).alias(f"keys_{i}"))]
+    lines = [
+        F.struct(
+            F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), F.lit(parent).alias("parent"),
+            F.col(f"rows_{i}").alias("n_rows"), F.col(f"keys_{i}").alias("n_keys"),
+        )
+        for i, (name, column, parent) in enumerate(refs)
+    ]
+    return ledger.where("not known").agg(*sums).select(F.inline(F.array(*lines)))
 
 
 def audit_not_null(tables: dict[str, DataFrame]) -> DataFrame:

@@ -6,13 +6,17 @@ loader merges any batch, parents before children.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliar.functions.units import label
+from foliar.operators.aggregate import duplicate_keys
 from foliar.operators.joins import attach_row, join
+from foliar.operators.merge import one_per_key, with_ids
 from foliar.operators.reshape import pack, unpack
 from foliar.session import materialize, side_by_side, small_table
 from foliar.sources.catalog import PACKED, SPECTRUM_KEY, Catalog
@@ -105,49 +109,84 @@ def one_site(spark: SparkSession, code: str, description: str | None, lat: float
     return sites, plots
 
 
+# Dimension tables that projects share: catalog table, field of the batch, key.
+SHARED = [
+    ("projects", "projects", "projectcode"),
+    ("sites", "sites", "sitecode"),
+    ("plots", "plots", "plotcode"),
+    ("sample_condition_info", "condition_info", "condition"),
+    ("trait_info", "trait_info", "trait"),
+]
+
+
+def first_of(parts: Sequence[DataFrame], by: list[str]) -> DataFrame:
+    """One row per key of several tables, from the first table that has it; a key that repeats within one is an error."""
+    tagged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.withColumn("__from", F.lit(i)) for i, p in enumerate(parts)])
+    tagged = materialize(tagged, "candidates")
+    if not duplicate_keys(tagged, [*by, "__from"]).isEmpty():
+        raise ValueError(f"a batch repeats keys of {by}")
+    columns = [c for c in tagged.columns if c != "__from"]
+    return one_per_key(tagged, by, F.col("__from")).select(*columns)
+
+
+def _merge_methods(catalog: Catalog, batches: Sequence[Batch]) -> None:
+    """Instruments of all batches in one merge, then all set-ups in one."""
+    with_methods = [b.methods for b in batches if b.methods is not None]
+    if not with_methods:
+        return
+    names = [m.select(*[c for c in INSTRUMENT if c in m.columns]).distinct() for m in with_methods]
+    catalog.add("instruments", first_of(names, ["instrumentname"]), ["instrumentname"])
+    ids = catalog.table("instruments").select("instrumentname", "instrumentid")
+    methods = [filled(join(m.drop("instrumentid"), ids, ["instrumentname"], "left"), METHOD_KEY[1:]).select(*METHOD_KEY) for m in with_methods]
+    catalog.add("specmethods", first_of(methods, METHOD_KEY), METHOD_KEY)
+
+
 def _with_method(catalog: Catalog, b: Batch) -> DataFrame:
     info = b.spectra_info
     if b.methods is None:
         return info
-    by_name = b.methods.select(*[c for c in INSTRUMENT if c in b.methods.columns]).distinct()
-    ids = catalog.merge("instruments", by_name, ["instrumentname"]).select("instrumentname", "instrumentid")
+    ids = catalog.table("instruments").select("instrumentname", "instrumentid")
     methods = filled(join(b.methods, ids, ["instrumentname"], "left"), METHOD_KEY[1:])
-    merged = catalog.merge("specmethods", methods.select(*METHOD_KEY, *b.match), METHOD_KEY)
     # A handful of set-ups: joined by their match columns, or attached if there is only one.
-    wanted = merged.select(*b.match, "specmethodid")
+    wanted = with_ids(methods.select(*METHOD_KEY, *b.match), catalog.table("specmethods"), METHOD_KEY, "specmethodid").select(*b.match, "specmethodid")
     if b.match:
         return join(info, wanted, list(b.match), "left")
     return attach_row(info, wanted)
 
 
-def load(catalog: Catalog, b: Batch) -> None:
-    """Merge a batch into the catalog, parents first; loading it again adds nothing.
-
-    Tables that do not refer to each other are merged side by side, so their
-    small jobs do not leave the cluster idle.
-    """
-
-    def add(name: str, df: DataFrame | None, by: list[str], on_duplicate: str = "error"):
-        return lambda: None if df is None else catalog.add(name, df, by, on_duplicate)
-
-    def spectra() -> None:
-        catalog.add_packed(b.packed_spectra(), filled(_with_method(catalog, b), SPECTRUM_KEY))
+def _load_facts(catalog: Catalog, b: Batch) -> None:
+    def add(name: str, df: DataFrame | None, by: list[str]):
+        return lambda: None if df is None else catalog.add(name, df, by, "keep_all")
 
-    side_by_side(
-        add("projects", b.projects, ["projectcode"]),
-        add("sites", b.sites, ["sitecode"]),
-        add("plots", b.plots, ["plotcode"]),
-        add("sample_condition_info", b.condition_info, ["condition"]),
-        add("trait_info", b.trait_info, ["trait"]),
-    )
     catalog.add("samples", b.samples, ["samplecode"])
     side_by_side(
-        spectra,
-        add("sample_condition", b.conditions, ["samplecode", "condition"], "keep_all"),
-        add("trait_data", b.traits, ["samplecode", "trait"], "keep_all"),
+        lambda: catalog.add_packed(b.packed_spectra(), filled(_with_method(catalog, b), SPECTRUM_KEY)),
+        add("sample_condition", b.conditions, ["samplecode", "condition"]),
+        add("trait_data", b.traits, ["samplecode", "trait"]),
     )
 
 
+def load_all(catalog: Catalog, batches: Sequence[Batch]) -> None:
+    """Merge batches into the catalog, parents first; loading them again adds nothing.
+
+    The dimension rows of all batches are merged at once, one merge per table;
+    of a row that several projects give, the first project's is kept. Facts lie
+    by project and are loaded side by side, each project by itself.
+    """
+    merges = []
+    for table, field, key in SHARED:
+        parts = [df for b in batches if (df := getattr(b, field)) is not None]
+        if parts:
+            merges.append(partial(lambda table, parts, key: catalog.add(table, first_of(parts, [key]), [key]), table, parts, key))
+    side_by_side(*merges, partial(_merge_methods, catalog, batches))
+    side_by_side(*[partial(_load_facts, catalog, b) for b in batches])
+
+
+def load(catalog: Catalog, b: Batch) -> None:
+    """Merge one batch."""
+    load_all(catalog, [b])
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a shared intermediate once; several tables are read from it."""
     return materialize(df, label)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliar.operators import quality
 from foliar.plans import reference_data
-from foliar.plans.batch import Batch, load
+from foliar.plans.batch import Batch, load_all
 from foliar.plans.report import REPORTS
 from foliar.sources.catalog import Catalog
 
@@ -21,14 +24,13 @@ def build_catalog(
     """Fill an empty catalog.
 
     ``reference`` has projects, species, dictionary and attributes. Each
-    project is a function of the loaded species dictionary. Projects share
-    dimension tables, so they are merged one after the other; each merge is a
-    distributed job.
+    project is a function of the loaded species dictionary. All projects'
+    dimension rows go into one merge per table, their facts side by side.
     """
     catalog.reset()
     reference_data.load(catalog, **reference)
-    for project in projects:
-        load(catalog, project(catalog.table("species_dict")))
+    dictionary = catalog.table("species_dict")
+    load_all(catalog, [project(dictionary) for project in projects])
     return catalog
 
 
@@ -48,6 +50,18 @@ def export(tables: dict[str, DataFrame], folder: str) -> None:
         df.write.mode("overwrite").option("header", True).csv(f"{folder.rstrip('/')}/{name}")
 
 
+def export_together(tables: dict[str, DataFrame], folder: str) -> None:
+    """Write all report tables in one job: JSON lines, one folder ``report=<name>`` each with the report's own columns."""
+    lines = [df.select(F.lit(name).alias("report"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")) for name, df in tables.items()]
+    reduce(lambda a, b: a.unionByName(b), lines).write.mode("overwrite").partitionBy("report").text(folder)
+
+
+def read_export(spark: SparkSession, folder: str, schemas: dict[str, T.StructType]) -> dict[str, DataFrame]:
+    """The exported reports under their schemas."""
+    lines = spark.read.schema("value string, report string").text(folder)
+    return {name: lines.where(F.col("report") == name).select(F.from_json("value", schema).alias("r")).select("r.*") for name, schema in schemas.items()}
+
+
 def reports(catalog: Catalog) -> dict[str, DataFrame]:
     tables = catalog.tables()
     return {name: report(tables) for name, report in REPORTS.items()}

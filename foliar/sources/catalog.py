@@ -16,6 +16,7 @@ per table and project is assumed.
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Sequence
 from functools import partial
 
@@ -49,6 +50,7 @@ class Catalog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._ids = threading.Lock()
 
     # --- layout of the small tables ---------------------------------------------
     def _batches(self, name: str) -> tuple[int, list[str]]:
@@ -93,6 +95,14 @@ class Catalog:
         """Ids up to ``last`` are taken. Written before the rows, so a job that dies leaves a gap and no repeated id."""
         small_table(self.spark, "last bigint", [(last,)]).coalesce(1).write.mode(mode).parquet(f"{self.root}/{name}-ids")
 
+    def _reserve(self, name: str, n: int) -> int:
+        """Take ``n`` ids for loads that may run side by side in this driver; the id before the first of them."""
+        with self._ids:
+            last = self._last_id(name)
+            if n:
+                self._mark(name, last + n)
+            return last
+
     def _top(self, df: DataFrame, name: str) -> int:
         key = TABLES[name].key
         return df.agg(F.max(key).alias("m")).first().m or 0
@@ -228,31 +238,27 @@ class Catalog:
         if "samplecode" not in by:
             raise ValueError(f"{name} is merged by keys with a samplecode")
         values = values.drop(key).withColumn(PROJECT, project_of("samplecode"))
-        last = self._last_id(name)
         present = self.facts(name, self._projects(values))
-        merged = insert_if_absent(present, values, by, key, on_duplicate, unique=unique, last_id=last)
-        self._mark(name, max(last, self._top(merged.inserted, name)))
-        self._put(name, merged.inserted, "append")
+        merged = insert_if_absent(present, values, by, key, on_duplicate, unique=unique, last_id=0)
+        before = self._reserve(name, self._top(merged.inserted, name))
+        self._put(name, merged.inserted.withColumn(key, F.col(key) + F.lit(before)), "append")
 
     def add_packed(self, packed: DataFrame, info: DataFrame) -> None:
         """Append spectra, one row each: ``packed`` has the spectrum's key, its wavelengths and values, ``info`` all of ``spectra_info``.
 
         Which spectra are new is decided on their keys alone. A new spectrum's
-        id is the first free id plus its number among the stored rows, so ids
+        id is a reserved first id plus its number among the stored rows, so ids
         meet the points without a join; only a batch that holds both new and
         known spectra joins its rows, one per spectrum, with the known ids. The
         points are unpacked last, within the task that writes them. Spectra that have
         points already, also from a load that did not end, are passed over.
         """
-        last = self._last_id("spectra_info")
-        packed = packed.select(*SPECTRUM_KEY, *PACKED)
-        numbered = row_number_any(packed, "__n", last + 1)
+        numbered = row_number_any(packed.select(*SPECTRUM_KEY, *PACKED), "__n")
         keys = numbered.select(*SPECTRUM_KEY, "__n")
         placed = info.select(*[c for c in TABLES["spectra_info"].columns if c in info.columns and c != "spectraid"]).withColumn(PROJECT, project_of("samplecode"))
         projects = self._projects(placed)
         present = self.facts("spectra_info", projects).select(*SPECTRUM_KEY, "spectraid")
         known = materialize(join(keys, present, SPECTRUM_KEY, "inner").select("__n", "spectraid"), "known-spectra")
-        free = last + numbered.count()
 
         new = join(join(placed, present, SPECTRUM_KEY, "anti"), keys, SPECTRUM_KEY, "left")
         if not join(join(keys, placed, SPECTRUM_KEY, "anti"), present, SPECTRUM_KEY, "anti").isEmpty():
@@ -260,12 +266,16 @@ class Catalog:
         repeated = new.groupBy(*SPECTRUM_KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         if not repeated.isEmpty():
             raise ValueError(f"the batch repeats keys of {SPECTRUM_KEY}")
-        bare = row_number_any(new.where("__n is null").drop("__n"), "spectraid", free + 1)
+        count = numbered.count()
+        bare = row_number_any(new.where("__n is null").drop("__n"), "spectraid", count + 1)
         rows = new.where("__n is not null").withColumnRenamed("__n", "spectraid").unionByName(bare)
         columns = [F.col(c) if c in rows.columns else F.lit(None).cast(t.dataType).alias(c) for c, t in ((f.name, f) for f in TABLES["spectra_info"].schema.fields)]
         rows = materialize(rows.select(*columns, PROJECT), "new-spectra")
-        self._mark("spectra_info", max(last, self._top(rows, "spectra_info")))
-        self._put("spectra_info", rows, "append")
+        top = self._top(rows, "spectra_info")
+        before = F.lit(self._reserve("spectra_info", max(top, count) if top else 0))
+        self._put("spectra_info", rows.withColumn("spectraid", F.col("spectraid") + before), "append")
+        numbered = numbered.withColumn("__n", F.col("__n") + before)
+        known = known.withColumn("__n", F.col("__n") + before)
         self._put("spectra_data", self.points(self._with_ids(numbered, known, projects)), "append")
 
     def _with_ids(self, numbered: DataFrame, known: DataFrame, projects: list[str | None]) -> DataFrame:

@@ -6,9 +6,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from foliar.operators.merge import insert_if_absent
+from foliar.operators.merge import insert_if_absent, tee
 from foliar.operators.ordered import row_number_any
-from foliar.session import small_table
+from foliar.operators.quality import audit_orphans
+from foliar.plans.batch import first_of
+from foliar.plans.build import export_together, read_export
+from foliar.session import side_by_side, small_table
 from foliar.sources.catalog import PACKED, SPECTRUM_KEY, Catalog, project_of
 
 SAMPLES = [("a|1|2000", "a", "X"), ("a|2|2000", "a", "Y"), ("b|1|2001", "b", "X"), ("c d/e|1|NA", "c d/e", "Y"), ("loose", None, None)]
@@ -173,6 +176,50 @@ def test_batches_that_do_not_fit_are_refused(spark, catalog):
         catalog.add("trait_data", small_table(spark, "trait string", [("t",)]), ["trait"])
 
 
+def test_dimension_rows_of_several_batches(spark):
+    a = small_table(spark, "k string, v int", [("x", 1), ("y", 2)])
+    b = small_table(spark, "k string, w int", [("y", 7), ("z", 8), (None, 9)])
+    got = {r.k: (r.v, r.w) for r in first_of([a, b], ["k"]).collect()}
+    assert got == {"x": (1, None), "y": (2, None), "z": (None, 8), None: (None, 9)}
+    with pytest.raises(ValueError, match="repeats"):
+        first_of([a, b.unionByName(b)], ["k"])
+
+
+def test_facts_of_several_projects_load_side_by_side(spark, catalog):
+    more = [small_table(spark, "samplecode string, trait string, traitvalue double", [(f"{p}|{i}|1", "t", 1.0) for i in range(50)]) for p in "pqrs"]
+    side_by_side(*[lambda df=df: catalog.add("trait_data", df, ["samplecode", "trait"]) for df in more])
+    ids = sorted(r.traitdataid for r in catalog.table("trait_data").collect())
+    assert ids == list(range(1, 211))
+
+
+def test_audit_reads_each_table_once(spark, catalog):
+    tables = {n: catalog.table(n) for n in ("projects", "species", "samples", "spectra_info", "spectra_data", "trait_data")}
+    ledger = audit_orphans(tables)
+    text = plan(ledger)
+    assert text.count("FileScan parquet") == len(tables) and text.count("Exchange hashpartitioning") == 1
+    bad = {(r.table_name, r.column_name): (r.n_rows, r.n_keys) for r in ledger.collect()}
+    assert set(bad.values()) == {(0, 0)} and len(bad) == 5
+    tables["species"] = tables["species"].where("speciescode <> 'X'")
+    bad = {(r.table_name, r.column_name): (r.n_rows, r.n_keys) for r in audit_orphans(tables).collect()}
+    assert bad["samples", "speciescode"] == (2, 1) and bad["trait_data", "samplecode"] == (0, 0)
+
+
+def test_tee_counts_on_the_way(spark, tmp_path):
+    df = spark.range(10).withColumn("k", F.col("id") % 3)
+    t = tee(df, lambda d: d.select("k").distinct(), str(tmp_path / "side"))
+    assert (t.n_main, t.n_side, t.main.count(), sorted(r.k for r in t.side.collect())) == (10, 3, 10, [0, 1, 2])
+    empty = tee(df.where("false"), lambda d: d.select("k"), str(tmp_path / "none"))
+    assert (empty.n_main, empty.n_side) == (0, 0)
+
+
+def test_reports_are_exported_in_one_job(spark, tmp_path):
+    a = small_table(spark, "k string, n bigint", [("x", 1), (None, 2)])
+    b = small_table(spark, "y int, m double", [(2001, 0.25)])
+    export_together({"a": a, "b": b}, str(tmp_path / "out"))
+    back = read_export(spark, str(tmp_path / "out"), {"a": a.schema, "b": b.schema})
+    assert sorted(map(tuple, back["a"].collect()), key=str) == [("x", 1), (None, 2)] and back["b"].first()[:] == (2001, 0.25)
+
+
 def test_replaced_facts_may_come_from_themselves(catalog):
     catalog.replace("trait_data", catalog.table("trait_data").where("trait = 't1'"))
     assert catalog.table("trait_data").count() == 5 and catalog.facts("trait_data", ["a"]).count() == 2
