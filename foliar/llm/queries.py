@@ -20,7 +20,7 @@ def _fold(by: int, fold: int):
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.digest(suffix_dedup.remove_repeats(read(spark, sf_dir, "documents")))
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(read(spark, sf_dir, "documents")), detail=True)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

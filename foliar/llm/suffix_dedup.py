@@ -237,12 +237,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-def digest(cleaned: DataFrame) -> DataFrame:
-    """The report of ``remove_repeats``: sizes and the hash of what is left."""
+def digest(cleaned: DataFrame, detail: bool = False) -> DataFrame:
+    """The report of ``remove_repeats``: sizes and the hash of what is left; with ``detail`` also the text left and the spans removed.
+
+    A cut may fall inside a character; its bytes stand as U+FFFD in ``kept_text``, while the hash is over the bytes.
+    """
+    more = [
+        F.call_function("make_valid_utf8", F.col("kept").cast("string")).alias("kept_text"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("removed_spans"),
+    ]
     return cleaned.select(
         "doc_id",
         "n_bytes",
         (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        *(more if detail else []),
     )

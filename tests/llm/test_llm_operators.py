@@ -63,6 +63,15 @@ def test_repeats_equal_brute_force(spark, corpus):
     assert {r.doc_id: tuple(r)[1:] for r in got} == dict(enumerate(brute_repeats(corpus, 400)))
 
 
+def test_repeats_show_what_is_left_and_what_went(spark):
+    text = prose(1, 120)
+    texts = [text, "ä" + text + "é", "short", None]
+    got = {r.doc_id: r for r in suffix_dedup.digest(suffix_dedup.remove_repeats(docs_of(spark, texts)), detail=True).collect()}
+    n = len(text.encode())
+    assert (got[0].kept_text, got[0].removed_spans) == ("", f"0:{n}") and (got[1].kept_text, got[1].removed_spans) == ("äé", f"2:{n + 2}")
+    assert (got[2].kept_text, got[2].removed_spans) == ("short", "") and (got[3].kept_text, got[3].removed_spans) == ("", "")
+
+
 def test_repeats_with_ids_missing_or_repeated(spark):
     texts = [prose(1, 120), prose(1, 120), "short", None]
     got = suffix_dedup.digest(suffix_dedup.remove_repeats(docs_of(spark, texts, ids=[5, 5, None, None]))).collect()
