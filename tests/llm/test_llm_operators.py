@@ -410,3 +410,32 @@ def test_near_duplicates_of_every_text_of_a_repeated_id(spark):
     ids = [5, 5, 7, 3, 9, None, None]
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(docs_of(spark, texts, ids)).collect()), key=str)
     assert got == sorted([(5, 3, False), (5, 3, False), (7, 3, False), (3, 3, True), (9, 9, True), (None, None, True), (None, None, True)], key=str)
+
+
+def test_edit_distance_with_a_bound():
+    rng = random.Random(8)
+    for _ in range(300):
+        a = "".join(rng.choices("abc ", k=rng.randint(0, 40)))
+        b = "".join(c for c in a if rng.random() < 0.9) + "".join(rng.choices("abc ", k=rng.randint(0, 4)))
+        true = line_dedup.edit_distance(a, b)
+        for most in (0, 2, 5, 50):
+            got = line_dedup.edit_distance(a, b, most)
+            assert got == true if true <= most else got > most
+
+
+def test_recall_of_line_keys():
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnoprstu", k=rng.randint(2, 9))) for _ in range(4000)]
+    for chars in (70, 150, 400):
+        found = total = 0
+        for _ in range(300):
+            line = " ".join(rng.choices(words, k=chars // 4))[:chars].strip()
+            other = list(line)
+            for i in rng.sample(range(len(line)), len(line) // 10):
+                other[i] = rng.choice("abcdefghijklmnoprstu")
+            other = "".join(other)
+            if line_dedup.similar(line, other):
+                keys, owner = line_dedup.gram_keys([line, other])
+                total += 1
+                found += bool(set(keys[owner == 0]) & set(keys[owner == 1]))
+        assert total > 250 and found >= 0.9 * total
