@@ -72,10 +72,10 @@ def catalog_scan(v: Views) -> DataFrame:
 
 @check(
     "select habitat, count(*) n from customer join (values ('BUILDING', 'urban'), ('MACHINERY', 'urban'), "
-    "('FURNITURE', 'forest'), ('HOUSEHOLD', 'garden')) t(c_mktsegment, habitat) using (c_mktsegment) group by habitat"
+    "('FURNITURE', 'forest'), ('HOUSEHOLD', 'garden'), ('AUTOMOBILE', 'road')) t(c_mktsegment, habitat) using (c_mktsegment) group by habitat"
 )
 def inline_table_join(v: Views) -> DataFrame:
-    rows = [("BUILDING", "urban"), ("MACHINERY", "urban"), ("FURNITURE", "forest"), ("HOUSEHOLD", "garden")]
+    rows = [("BUILDING", "urban"), ("MACHINERY", "urban"), ("FURNITURE", "forest"), ("HOUSEHOLD", "garden"), ("AUTOMOBILE", "road")]
     table = small_table(v.spark, "c_mktsegment string, habitat string", rows)
     return count_sorted(join(v.raw("customer"), table, ["c_mktsegment"], "inner"), "habitat")
 

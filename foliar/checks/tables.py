@@ -165,42 +165,52 @@ def inner_join_samples_spectra(v: Views) -> DataFrame:
 
 
 @check(
-    "with a as (select nullif(c_nationkey, 0) k, count(*) n_cust from customer where c_nationkey < 15 group by 1), "
-    "b as (select nullif(s_nationkey, 0) k, count(*) n_supp from supplier where s_nationkey < 5 or s_nationkey > 12 "
-    "group by 1) select coalesce(a.k, b.k) k, n_cust, n_supp from a full join b on a.k is not distinct from b.k"
+    "with a as (select case when c_nationkey < 15 then nullif(c_nationkey, 0) else 100 + c_nationkey end k, count(*) n_cust "
+    "from customer group by 1), b as (select case when s_nationkey between 5 and 12 then 200 + s_nationkey else "
+    "nullif(s_nationkey, 0) end k, count(*) n_supp from supplier group by 1) select coalesce(a.k, b.k) k, n_cust, n_supp from a full join b on a.k is not distinct from b.k"
 )
 def full_outer_natural(v: Views) -> DataFrame:
-    a = v.raw("customer").where("c_nationkey < 15").select(F.nullif("c_nationkey", F.lit(0)).alias("k"))
-    b = v.raw("supplier").where("s_nationkey < 5 or s_nationkey > 12").select(F.nullif("s_nationkey", F.lit(0)).alias("k"))
+    # Keys of one side only: some nations have other numbers on each side.
+    c, s = F.col("c_nationkey"), F.col("s_nationkey")
+    a = v.raw("customer").select(F.when(c < 15, F.nullif(c, F.lit(0))).otherwise(100 + c).alias("k"))
+    b = v.raw("supplier").select(F.when(s.between(5, 12), 200 + s).otherwise(F.nullif(s, F.lit(0))).alias("k"))
     left = a.groupBy("k").agg(F.count(F.lit(1)).alias("n_cust"))
     right = b.groupBy("k").agg(F.count(F.lit(1)).alias("n_supp"))
     return joins.join(left, right, how="full")
 
 
 @check(
-    "with a as (select o_custkey k, count(*) n_f from orders where o_orderstatus = 'F' group by 1), "
-    "b as (select o_custkey k, max(o_totalprice) max_p from orders where o_orderpriority = '1-URGENT' group by 1), "
-    "c as (select o_custkey k, min(o_totalprice) min_o from orders where o_orderstatus = 'O' group by 1), "
-    "d as (select c_custkey k, c_acctbal bal from customer where c_acctbal < 0) "
+    "with a as (select case when o_orderstatus = 'F' then o_custkey else o_custkey + 1000000000 end k, count(*) n_f from orders group by 1), "
+    "b as (select case when o_orderpriority = '1-URGENT' then o_custkey else o_custkey + 2000000000 end k, max(o_totalprice) max_p "
+    "from orders group by 1), c as (select case when o_orderstatus = 'O' then o_custkey else o_custkey + 3000000000 end k, "
+    "min(o_totalprice) min_o from orders group by 1), "
+    "d as (select case when c_acctbal < 0 then c_custkey else c_custkey + 4000000000 end k, c_acctbal bal from customer) "
     "select coalesce(a.k, b.k, c.k, d.k) k, n_f, max_p, min_o, bal from a full join b on a.k = b.k "
     "full join c on c.k = coalesce(a.k, b.k) full join d on d.k = coalesce(a.k, b.k, c.k)"
 )
 def multiway_full_join(v: Views) -> DataFrame:
-    o = v.raw("orders").withColumnRenamed("o_custkey", "k")
-    a = o.where("o_orderstatus = 'F'").groupBy("k").agg(F.count(F.lit(1)).alias("n_f"))
-    b = o.where("o_orderpriority = '1-URGENT'").groupBy("k").agg(F.max("o_totalprice").alias("max_p"))
-    c = o.where("o_orderstatus = 'O'").groupBy("k").agg(F.min("o_totalprice").alias("min_o"))
-    d = v.raw("customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("bal"))
+    o = v.raw("orders")
+
+    def key(shared, name: str, side: int):
+        """Rows that are not shared have keys of their side only."""
+        return F.when(shared, F.col(name)).otherwise(F.col(name) + F.lit(side * 1_000_000_000)).alias("k")
+
+    a = o.groupBy(key(F.col("o_orderstatus") == "F", "o_custkey", 1)).agg(F.count(F.lit(1)).alias("n_f"))
+    b = o.groupBy(key(F.col("o_orderpriority") == "1-URGENT", "o_custkey", 2)).agg(F.max("o_totalprice").alias("max_p"))
+    c = o.groupBy(key(F.col("o_orderstatus") == "O", "o_custkey", 3)).agg(F.min("o_totalprice").alias("min_o"))
+    d = v.raw("customer").select(key(F.col("c_acctbal") < 0, "c_custkey", 4), F.col("c_acctbal").alias("bal"))
     return joins.full_join_unique([a, b, c, d], ["k"])
 
 
 @check(
-    "select w.plotcode, w.projectcode, latitude, longitude from (select plotcode, latitude, longitude from plots "
-    "where latitude > 40) p right join (select distinct plotcode, projectcode from samples) w on w.plotcode = p.plotcode",
+    "select w.plotcode, w.projectcode, latitude, longitude from (select plotcode || case when latitude > 40 then '' else "
+    "'.low' end plotcode, latitude, longitude from plots) p right join (select distinct plotcode, projectcode from samples) w on w.plotcode = p.plotcode",
     "samples",
 )
 def right_join_plots(v: Views) -> DataFrame:
-    located = v.plots().where("latitude > 40").select("plotcode", "latitude", "longitude")
+    # Other plots have codes that no sample names.
+    code = F.concat("plotcode", F.when(F.col("latitude") > 40, "").otherwise(".low"))
+    located = v.plots().select(code.alias("plotcode"), "latitude", "longitude")
     wanted = v.samples().select("plotcode", "projectcode").distinct()
     return joins.join(located, wanted, ["plotcode"], "right")
 
@@ -243,7 +253,7 @@ _LABEL_MEANS = (
 
 
 @check(
-    f"with {_LABEL_MEANS}, kept as (select * from m where a > -0.05), "
+    f"with {_LABEL_MEANS}, kept as (select label, wavelength + case when a > -0.05 then 0 else 0.1 * (label + 1) end wavelength, a from m), "
     "w as (select wavelength from kept group by 1 having count(*) = (select count(distinct label) from kept)) "
     "select wavelength, " + ", ".join(f"round(max(case when label = {i} then a end), 6) spec_{i}" for i in range(10))
     + " from kept where wavelength in (select wavelength from w) group by wavelength",
@@ -254,7 +264,9 @@ def fold_merge_wavelength(v: Views) -> DataFrame:
     means = joins.join(v.spectra_data(), labels, ["spectraid"], "inner").groupBy("label", "wavelength").agg(
         F.avg("spectravalue").alias("a")
     )
-    kept = joins.keep_common_wavelengths(means.where("a > -0.05"), "label", "wavelength")
+    # Low means move to wavelengths that their label alone has.
+    moved = F.col("wavelength") + F.when(F.col("a") > -0.05, 0.0).otherwise(0.1 * (F.col("label") + 1))
+    kept = joins.keep_common_wavelengths(means.withColumn("wavelength", moved), "label", "wavelength")
     wide = reshape.pivot(kept, ["wavelength"], "label", "a", range(10))
     return wide.select("wavelength", *[F.round(F.col(str(i)), 6).alias(f"spec_{i}") for i in range(10)])
 
@@ -302,8 +314,8 @@ def species_match_rate(v: Views) -> DataFrame:
 
 
 @check(
-    "with r as (select o_custkey, nullif(max(o_totalprice), null) top, case when count(*) >= 12 then null else "
-    "max(o_totalprice) end newval from orders group by 1 having count(*) >= 8) "
+    "with r as (select case when count(*) >= 8 then o_custkey else -o_custkey end o_custkey, case when count(*) >= 12 then null else "
+    "max(o_totalprice) end newval from orders group by orders.o_custkey) "
     "select c_custkey, case when o_custkey is not null then newval else c_acctbal end c_acctbal, c_mktsegment "
     "from customer left join r on o_custkey = c_custkey"
 )
@@ -311,7 +323,9 @@ def update_join(v: Views) -> DataFrame:
     per = v.raw("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top")
     )
-    source = per.where("n >= 8").select("c_custkey", F.when(F.col("n") < 12, F.col("top")).alias("c_acctbal"))
+    # Customers with fewer orders have numbers that the base lacks.
+    key = F.when(F.col("n") >= 8, F.col("c_custkey")).otherwise(-F.col("c_custkey")).alias("c_custkey")
+    source = per.select(key, F.when(F.col("n") < 12, F.col("top")).alias("c_acctbal"))
     base = v.raw("customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     return joins.update_join(base, source, ["c_custkey"], ["c_acctbal"])
 
@@ -523,14 +537,13 @@ def wide_to_long_spectra(v: Views) -> DataFrame:
 
 
 @check(
-    "select spectraid wavelength, 'Wave_' || cast(wavelength as integer) samplename, spectravalue from spectra_data "
-    "where spectravalue > -0.1",
+    "select spectraid wavelength, 'Wave_' || cast(wavelength as integer) samplename, spectravalue from spectra_data",
     "spectra_data",
 )
 def transposed_to_long(v: Views) -> DataFrame:
     wide = v.spectra_wide().withColumnRenamed("spectraid", "wavelength")
     names = columns.with_prefix(wide, "Wave_")
-    return reshape.names_to_long(wide, ["wavelength"], names, "samplename", "spectravalue").where("spectravalue > -0.1")
+    return reshape.names_to_long(wide, ["wavelength"], names, "samplename", "spectravalue")
 
 
 @check("select samplecode, trait, traitvalue from trait_data", "trait_data")

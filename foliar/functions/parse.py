@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from foliar.functions.nulls import col, extract, if_else, matches, paste_na, recode_lookup
+from foliar.functions.nulls import col, extract, if_else, matches, paste_na
 
 
 # --- keys -----------------------------------------------------------------
@@ -30,9 +30,9 @@ def leaf_name(stem: Column | str, number: Column | str) -> Column:
 # First three letters of genus and epithet, with or without a hybrid mark.
 BINOMIAL = r"(^\p{Alpha}{3})\p{Alpha}* (\p{Alpha}{3})\p{Alpha}* *.*"
 HYBRID_BINOMIAL = r"(\p{Alpha}{3})\p{Alpha}* x? ?(\p{Alpha}{3})\p{Alpha}* *.*"
-# Genus, epithet, optional variety and subspecies, then the authority.
+# Genus, epithet, optional variety and subspecies; the authority follows.
 SCIENTIFIC = (
-    r"^(\p{Alpha}+)\b +(\p{Alpha}+)\b +(?:(?:var\. )(\p{Alpha}+) +)?(?:(?:subsp\. )(\p{Alpha}+) +)?(.*?)$"
+    r"^(\p{Alpha}+)\b +(\p{Alpha}+)\b +(?:(?:var\. )(\p{Alpha}+) +)?(?:(?:subsp\. )(\p{Alpha}+) +)?"
 )
 
 
@@ -196,8 +196,3 @@ def campaign_date(path: Column | str) -> Column:
 def year_of(date: Column | str, path: Column | str) -> Column:
     """Year of the date, else the year written in the path."""
     return F.coalesce(F.year(col(date)), extract(path, "201[0-8]").try_cast("int"))
-
-
-def lookup_parts(c: Column | str, tables: Sequence[Mapping]) -> Column:
-    """First dictionary that knows the value decides."""
-    return F.coalesce(*[recode_lookup(c, t) for t in tables])
