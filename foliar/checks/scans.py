@@ -107,34 +107,35 @@ def sectioned_file(v: Views) -> DataFrame:
 
 
 @check(
-    "with files as (select floor(label / 2) f, vec_id, embedding from embeddings), "
-    "cells as (select f, vec_id + 1 wavelength, i, cast(embedding[i] as double) val "
-    "from (select *, unnest(range(1, len(embedding) + 1)) i from files)), "
+    "with files as (select floor(label / 2) f, vec_id, embedding, row_number() over (partition by floor(label / 2) order by vec_id) rn "
+    "from embeddings), wide as (select max(len(embedding)) w from embeddings), "
     "fr as (select f, row_number() over (order by f) r from (select distinct f from files)), "
-    "dr as (select d, row_number() over (order by d) r from (select distinct c_mktsegment d from customer)), "
-    "listed as (select c_custkey, c_mktsegment d, row_number() over (partition by c_mktsegment order by c_custkey) k "
-    "from customer) "
+    "dr as (select d, n, row_number() over (order by d) r from (select c_mktsegment d, count(*) n from customer group by 1)), "
+    "placed as (select d, vec_id + 1 wavelength, embedding, rn % ((n - 1) // w + 1) b from files join fr using (f) join dr using (r), wide), "
+    "cells as (select d, b, wavelength, i, cast(embedding[i] as double) val from (select *, unnest(range(1, len(embedding) + 1)) i from placed)), "
+    "listed as (select c_custkey, c_mktsegment d, row_number() over (partition by c_mktsegment order by c_custkey) - 1 k from customer), "
+    "cols as (select c_custkey, d, k // w b, k % w + 1 i from listed, wide) "
     "select c_custkey, count(*) n_points, cast(sum(wavelength) as double) wl_sum, round(sum(val), 4) value_sum "
-    "from cells join fr using (f) join dr using (r) join listed on listed.d = dr.d and listed.k = cells.i "
-    "group by c_custkey"
+    "from cells join cols using (d, b, i) group by c_custkey"
 )
 def positional_header_join(v: Views) -> DataFrame:
-    # Days of as many customers as an embedding has values. The SQL gives values to the first such day of a segment only;
-    # the matrices of the others are blank, so every customer has a column.
+    # Days of as many customers as an embedding has values; a segment's vectors are dealt to its days, so each customer
+    # has a column of one matrix and each vector is a line of one.
     vectors = v.raw("embeddings").withColumn("f", F.floor(F.col("label") / 2))
     wide = vectors.agg(F.max(F.size("embedding"))).first()[0]
     listed = row_number_in_group(v.raw("customer").select("c_mktsegment", "c_custkey"), ["c_mktsegment"], ["c_custkey"], "k")
     listed = listed.withColumn("block", F.floor((F.col("k") - 1) / wide))
     sizes = listed.groupBy("c_mktsegment", "block").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    placed = join(sizes, ranked(sizes, "c_mktsegment", "r"), ["c_mktsegment"], "inner")
-    placed = join(placed, ranked(vectors, "f", "r"), ["r"], "inner").select("f", "block", "n")
+    segments = sizes.groupBy("c_mktsegment").agg(F.max("block").alias("last"))
+    segments = join(ranked(segments, "c_mktsegment", "r"), segments, ["c_mktsegment"], "inner")
+    dealt = row_number_in_group(vectors.select("f", "vec_id"), ["f"], ["vec_id"], "rn")
+    dealt = join(join(dealt, ranked(vectors, "f", "r"), ["f"], "inner"), segments, ["r"], "inner")
+    dealt = dealt.withColumn("block", F.col("rn") % (F.col("last") + 1)).select("vec_id", "f", "c_mktsegment", "block")
+    placed = join(join(dealt, sizes, ["c_mktsegment", "block"], "inner"), vectors.select("vec_id", "embedding"), ["vec_id"], "inner")
     cells = F.transform(F.slice("embedding", 1, F.col("n")), lambda x: x.cast("double").cast("string"))
     number = F.lpad(F.col("block").cast("string"), 9, "0")
     file = F.concat(F.lit("matrix_"), F.col("f").cast("string"), F.lit("_"), number, F.lit(".csv")).alias("file")
-    lines = join(vectors, placed.where("block = 0"), ["f"], "inner").select(
-        file, F.concat_ws(",", (F.col("vec_id") + 1).cast("string"), F.array_join(cells, ",")).alias("value")
-    )
-    lines = lines.unionByName(placed.where("block > 0").select(file, F.concat(F.lit("1"), F.repeat(F.lit(","), F.col("n"))).alias("value")))
+    lines = placed.select(file, F.concat_ws(",", (F.col("vec_id") + 1).cast("string"), F.array_join(cells, ",")).alias("value"))
     samples = listed.select(F.concat_ws("_", "c_mktsegment", number).alias("day"), "c_custkey")
     long = bind_columns(lines, samples, "day", "c_custkey", ["c_custkey"])
     return long.groupBy("c_custkey").agg(
