@@ -45,8 +45,8 @@ def join(
 
     Left columns come first and keys appear once. ``how`` is inner, left,
     right, full, semi or anti. Right is a left join read the other way round;
-    full is built from an inner join and two anti joins, which adaptive
-    execution can all split on a hot key, unlike an outer join on both sides.
+    full is one inner join (see ``_full``), which adaptive execution can split
+    on a hot key of either side, unlike an outer join on both sides.
     Semi and anti joins reduce the right side to distinct keys before it is
     shuffled, so its hot keys weigh nothing; ``unique_right`` says that the keys
     are distinct already.
@@ -69,17 +69,31 @@ def join(
     if how == "right":
         return join(right, left, on, "left", null_safe).select(*order)
     if how == "full":
-        matched = left.join(other, cond, "inner").drop(*r_keys)
-        only_left = join(left, right, on, "anti", null_safe)
-        only_right = join(right, left, on, "anti", null_safe)
-        return (
-            matched.unionByName(only_left, allowMissingColumns=True)
-            .unionByName(only_right, allowMissingColumns=True)
-            .select(*order)
-        )
+        return _full(left, right, on, null_safe).select(*order)
     raise ValueError(f"unknown join type {how}")
 
 
+def _full(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool) -> DataFrame:
+    """Full join as one inner join: each side first gets a blank row per key that only the other side has.
+
+    The keys of both sides are grouped once, with map-side combine; a blank row
+    meets just the rows that would stay without a partner. Every input is read
+    twice, once for its keys only. Where missing keys do not match, rows with
+    one are told apart by their side.
+    """
+    sides = ((left, 1), (right, 2))
+    if not null_safe:
+        missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+        sides = tuple((df.withColumn("__apart", F.when(missing, side).otherwise(0)), side) for df, side in sides)
+        on = [*on, "__apart"]
+    (left, _), (right, _) = sides
+    keys = reduce(lambda a, b: a.unionByName(b), [df.select(*on, F.lit(side).alias("__sides")) for df, side in sides])
+    held = keys.groupBy(*on).agg(F.bit_or("__sides").alias("__sides"))
+    blank = [held.where(F.col("__sides") == side).select(*on) for side in (2, 1)]
+    left, right = (df.unionByName(rows, allowMissingColumns=True) for df, rows in zip((left, right), blank))
+    return join(left, right, on, "inner")
+
+
 def full_join_unique(tables: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
     """Full join of any number of tables that are unique on ``on``.
 

@@ -327,3 +327,28 @@ def test_pivot_refuses_repeated_values(spark):
     with pytest.raises(Exception, match="repeats within a key"):
         pivot(df, ["k"], "name", "v", ["t"]).collect()
     assert [tuple(r) for r in pivot(df.limit(1), ["k"], "name", "v", ["t", "u"]).collect()] == [(1, df.first().v, None)]
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_full_join_reads_each_side_twice_and_keeps_all_rows(spark, tmp_path, null_safe):
+    left = [*LEFT, (7, None), (7, "f")]
+    right = [*RIGHT, (4, "u"), (8, None)]
+    spark.createDataFrame(left, "k int, l string").write.parquet(str(tmp_path / "left"))
+    spark.createDataFrame(right, "k int, r string").write.parquet(str(tmp_path / "right"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = joins.join(spark.read.parquet(str(tmp_path / "left")), spark.read.parquet(str(tmp_path / "right")), ["k"], "full", null_safe=null_safe)
+        got = rows(df)
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    if null_safe:
+        want = brute_join(left, right, "full")
+    else:
+        # A missing key is like no other key, on either side.
+        named = [(k if k is not None else f"left {i}", v) for i, (k, v) in enumerate(left)], [(k if k is not None else f"right {i}", v) for i, (k, v) in enumerate(right)]
+        plain = [(None if isinstance(k, str) else k, a, b) for k, a, b in brute_join(*named, "full")]
+        want = sorted(plain, key=lambda t: [(x is not None, str(x)) for x in t])
+    assert got == want
+    assert plan.count("FileScan") <= 4 and plan.count(" Exchange hashpartitioning") <= 4
