@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from foliar.functions.nulls import col
 from foliar.operators.joins import join
-from foliar.schema import TABLES
+from foliar.schema import STORED
 
 
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:
@@ -22,7 +22,7 @@ def audit_unique(tables: dict[str, DataFrame]) -> DataFrame:
     """Repeated unique keys per table; keys with a missing part cannot repeat."""
     parts = []
     for name, df in tables.items():
-        for key in TABLES[name].unique:
+        for key in STORED[name].unique:
             present = reduce(lambda a, b: a & b, [col(c).isNotNull() for c in key])
             n = df.where(present).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
             parts.append(
@@ -41,7 +41,7 @@ def key_ledger(tables: dict[str, DataFrame]) -> tuple[DataFrame, list[tuple[str,
     key, ``n_i`` how many rows refer to it through the i-th reference. Counts
     are combined before the shuffle, so a hot key is a few rows.
     """
-    refs = [(name, column, parent) for name in tables for column, parent in TABLES[name].refs if parent in tables]
+    refs = [(name, column, parent) for name in tables for column, parent in STORED[name].refs if parent in tables]
     parts = []
     for name, df in tables.items():
         uses = [(i, column, parent) for i, (child, column, parent) in enumerate(refs) if child == name]
@@ -72,7 +72,7 @@ def audit_not_null(tables: dict[str, DataFrame]) -> DataFrame:
     """Missing values in required columns, one scan per table."""
     parts = []
     for name, df in tables.items():
-        required = TABLES[name].not_null
+        required = STORED[name].not_null
         if not required:
             continue
         counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
@@ -88,7 +88,7 @@ def audit_positive(tables: dict[str, DataFrame]) -> DataFrame:
     """Values that break a ``> 0`` check; missing values pass."""
     parts = []
     for name, df in tables.items():
-        for column in TABLES[name].positive:
+        for column in STORED[name].positive:
             parts.append(
                 df.agg(F.count_if(F.col(column) <= 0).alias("n_bad")).select(
                     F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), "n_bad"

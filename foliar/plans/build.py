@@ -35,7 +35,7 @@ def build_catalog(
 
 
 def audits(catalog: Catalog) -> dict[str, DataFrame]:
-    tables = {name: df for name, df in catalog.tables().items() if name != "species_attributes"}
+    tables = {name: df for name, df in catalog.tables().items() if name != "species_attributes"} | catalog.links()
     return {
         "unique": quality.audit_unique(tables),
         "orphans": quality.audit_orphans(tables),

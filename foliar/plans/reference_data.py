@@ -53,6 +53,9 @@ MYCORRHIZA = {
 }
 
 
+TRY_ID = "tryspeciesid"
+
+
 def usda_species(raw: DataFrame) -> DataFrame:
     return raw.select(*[F.col(a).alias(b) for a, b in USDA_NAMES.items()]).withColumn("codetype", F.lit("USDA_Plants"))
 
@@ -96,6 +99,28 @@ def species_rows(backbone_rows: DataFrame, other: DataFrame) -> DataFrame:
     return both.withColumnsRenamed({"code": "speciescode", "codetype": "speciescodetype"})
 
 
+def species_of(rows: DataFrame) -> DataFrame:
+    """One row per species code, with the least of its trait-database ids; the links keep all of them.
+
+    Rows that differ in more than that id, and rows that repeat as a whole, stay
+    apart, so the load refuses them.
+    """
+    if TRY_ID not in rows.columns:
+        return rows
+    names = [c for c in rows.columns if c != TRY_ID]
+    least = rows.groupBy(*names, TRY_ID).agg(F.count(F.lit(1)).alias("__n"))
+    least = least.groupBy(*names).agg(F.min(TRY_ID).alias(TRY_ID), F.max("__n").alias("__n"))
+    times = F.sequence(F.lit(1).cast("long"), F.col("__n"))
+    return least.withColumn("__n", F.explode(times)).select(*rows.columns)
+
+
+def species_links(rows: DataFrame) -> DataFrame:
+    """Every pair of species code and trait-database id."""
+    if TRY_ID not in rows.columns:
+        return rows.select("speciescode", F.lit(None).cast("long").alias(TRY_ID)).limit(0)
+    return rows.select("speciescode", F.col(TRY_ID).cast("long").alias(TRY_ID)).where(F.col("speciescode").isNotNull() & F.col(TRY_ID).isNotNull()).distinct()
+
+
 def dictionary_rows(dictionary: DataFrame) -> DataFrame:
     return dictionary.select(
         F.col("RawSpecies").alias("speciesdatacode"),
@@ -113,10 +138,17 @@ def attribute_rows(attributes: DataFrame) -> DataFrame:
 def load(
     catalog: Catalog, projects: DataFrame, species: DataFrame, dictionary: DataFrame, attributes: DataFrame
 ) -> None:
-    """Fill the reference tables, parents first; rerunning adds nothing."""
+    """Fill the reference tables, parents first; rerunning adds nothing.
+
+    A species with several ids in the trait database is one row of ``species``
+    and one row of ``species_try`` per id.
+    """
     side_by_side(
         lambda: catalog.add("projects", projects, ["projectcode"]),
-        lambda: catalog.add("species", species, ["speciescode"]),
+        lambda: catalog.add("species", species_of(species), ["speciescode"]),
         lambda: catalog.replace("species_attributes", attribute_rows(attributes)),
     )
-    catalog.add("species_dict", dictionary_rows(dictionary), ["speciesdatacode", "projectcode"])
+    side_by_side(
+        lambda: catalog.add("species_dict", dictionary_rows(dictionary), ["speciesdatacode", "projectcode"]),
+        lambda: catalog.add("species_try", species_links(species), ["speciescode", TRY_ID]),
+    )

@@ -165,6 +165,24 @@ TABLES: dict[str, Table] = {
 }
 
 
+# Link tables beside the fixed ones: what a catalog row has several of.
+LINKS: dict[str, Table] = {
+    t.name: t
+    for t in (
+        Table(
+            "species_try",
+            "speciestryid bigint, speciescode string, tryspeciesid bigint",
+            key="speciestryid",
+            unique=(("speciescode", "tryspeciesid"),),
+            refs=(("speciescode", "species"),),
+            not_null=("speciescode", "tryspeciesid"),
+        ),
+    )
+}
+
+STORED = {**TABLES, **LINKS}
+
+
 def children_of(parent: str) -> list[tuple[str, str]]:
     """(table, column) pairs that reference ``parent``."""
-    return [(t.name, col) for t in TABLES.values() for col, ref in t.refs if ref == parent]
+    return [(t.name, col) for t in STORED.values() for col, ref in t.refs if ref == parent]

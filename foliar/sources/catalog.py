@@ -29,7 +29,7 @@ from foliar.operators.joins import join
 from foliar.operators.merge import insert_if_absent, removed_keys, with_ids
 from foliar.operators.ordered import row_number_any
 from foliar.operators.reshape import pack
-from foliar.schema import TABLES, children_of
+from foliar.schema import LINKS, STORED, TABLES, children_of
 from foliar.session import empty_table, materialize, side_by_side, small_table
 
 PROJECT = "project"
@@ -76,7 +76,7 @@ class Catalog:
 
     def facts(self, name: str, projects: Sequence[str | None] | None = None) -> DataFrame:
         """A fact table with the column ``project``, of the given projects or of all."""
-        df = self._read(name, T.StructType([*TABLES[name].schema.fields, T.StructField(PROJECT, T.StringType())]))
+        df = self._read(name, T.StructType([*STORED[name].schema.fields, T.StructField(PROJECT, T.StringType())]))
         if projects is None:
             return df
         named = [p for p in projects if p is not None]
@@ -84,7 +84,7 @@ class Catalog:
         return df.where(known | F.col(PROJECT).isNull() if None in projects else known)
 
     def _put(self, name: str, df: DataFrame, mode: str, overwrite: str = "static") -> None:
-        writer = df.select(*TABLES[name].columns, PROJECT).write.mode(mode).option("partitionOverwriteMode", overwrite)
+        writer = df.select(*STORED[name].columns, PROJECT).write.mode(mode).option("partitionOverwriteMode", overwrite)
         writer.partitionBy(PROJECT).parquet(f"{self.root}/{name}")
 
     def _last_id(self, name: str) -> int:
@@ -104,15 +104,15 @@ class Catalog:
             return last
 
     def _top(self, df: DataFrame, name: str) -> int:
-        key = TABLES[name].key
+        key = STORED[name].key
         return df.agg(F.max(key).alias("m")).first().m or 0
 
     # --- reads and writes --------------------------------------------------------
     def table(self, name: str) -> DataFrame:
-        if TABLES[name].by_project:
+        if STORED[name].by_project:
             return self.facts(name).drop(PROJECT)
         _, batches = self._batches(name)
-        schema = TABLES[name].schema
+        schema = STORED[name].schema
         if not batches:
             return empty_table(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*batches)
@@ -120,17 +120,20 @@ class Catalog:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in TABLES}
 
+    def links(self) -> dict[str, DataFrame]:
+        return {name: self.table(name) for name in LINKS}
+
     def append(self, name: str, df: DataFrame) -> None:
         version, batches = self._batches(name)
-        self._write(name, df.select(*TABLES[name].columns), version, len(batches))
+        self._write(name, df.select(*STORED[name].columns), version, len(batches))
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Drop the table's rows and write new ones; what they are made from may be the table itself."""
-        types = {f.name: f.dataType for f in TABLES[name].schema.fields}
+        types = {f.name: f.dataType for f in STORED[name].schema.fields}
         columns = [
             F.col(c).cast(t).alias(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in types.items()
         ]
-        if TABLES[name].by_project:
+        if STORED[name].by_project:
             rows = materialize(self._placed(name, df.select(*columns)), "replaced")
             self._mark(name, self._top(rows, name), "overwrite")
             return self._put(name, rows, "overwrite")
@@ -146,11 +149,11 @@ class Catalog:
 
     def reset(self) -> None:
         """Empty tables with the declared columns."""
-        side_by_side(*[partial(self._clear, name) for name in TABLES])
+        side_by_side(*[partial(self._clear, name) for name in STORED])
 
     def _clear(self, name: str) -> None:
-        empty = empty_table(self.spark, TABLES[name].schema)
-        if not TABLES[name].by_project:
+        empty = empty_table(self.spark, STORED[name].schema)
+        if not STORED[name].by_project:
             return self.replace(name, empty)
         self._mark(name, 0, "overwrite")
         self._put(name, empty.withColumn(PROJECT, F.lit(None).cast("string")), "overwrite")
@@ -178,17 +181,17 @@ class Catalog:
                     queue.append(child)
         survivors = [(table, *self._left(table, name, condition, gone.get(table, []), removed[table])) for table in removed]
         for table, left, projects in reversed(survivors):
-            if not TABLES[table].by_project:
+            if not STORED[table].by_project:
                 self.replace(table, left)
             elif projects:
                 self._publish(table, left, projects)
 
     def _hit(self, name: str, hit: Column) -> DataFrame:
-        return (self.facts(name) if TABLES[name].by_project else self.table(name)).where(hit)
+        return (self.facts(name) if STORED[name].by_project else self.table(name)).where(hit)
 
     def _lost(self, child: str, keys: DataFrame, parent: DataFrame) -> DataFrame:
         """Rows of ``child`` that hold one of the keys; of facts below facts only the same projects are read."""
-        if not TABLES[child].by_project:
+        if not STORED[child].by_project:
             rows = self.table(child)
         else:
             rows = self.facts(child, self._projects(parent) if PROJECT in parent.columns else None)
@@ -200,8 +203,8 @@ class Catalog:
 
     def _left(self, table: str, first: str, condition: Column, keys: list[DataFrame], removed: DataFrame):
         """Stored survivors of a table, and its projects that lose rows."""
-        projects = self._projects(removed) if TABLES[table].by_project else []
-        rows = self.facts(table, projects) if TABLES[table].by_project else self.table(table)
+        projects = self._projects(removed) if STORED[table].by_project else []
+        rows = self.facts(table, projects) if STORED[table].by_project else self.table(table)
         if table == first:
             rows = rows.where(~F.coalesce(condition, F.lit(False)))
         for k in keys:
@@ -214,25 +217,25 @@ class Catalog:
         for project in set(projects) - set(kept):
             # A project without survivors: an empty file in place of its rows.
             folder = "__HIVE_DEFAULT_PARTITION__" if project is None else _escaped(project)
-            left.where("false").select(*TABLES[table].columns).write.mode("overwrite").parquet(f"{self.root}/{table}/{PROJECT}={folder}")
+            left.where("false").select(*STORED[table].columns).write.mode("overwrite").parquet(f"{self.root}/{table}/{PROJECT}={folder}")
 
     # --- merges ----------------------------------------------------------------------
     def merge(self, name: str, values: DataFrame, by: Sequence[str], on_duplicate: str = "error") -> DataFrame:
         """Insert absent rows and return the input with the table's ids."""
-        key = TABLES[name].key
+        key = STORED[name].key
         values = values.drop(key)
         self.add(name, values, by, on_duplicate)
         table = self.table(name)
-        if TABLES[name].by_project:
+        if STORED[name].by_project:
             table = self.facts(name, self._projects(values.select(project_of("samplecode").alias(PROJECT))))
         return with_ids(values, table, by, key, unique=on_duplicate == "error")
 
     def add(self, name: str, values: DataFrame, by: Sequence[str], on_duplicate: str = "error") -> None:
         """Insert absent rows without returning ids. Of a fact only the batch's projects are read."""
-        key = TABLES[name].key
+        key = STORED[name].key
         # Refusing repeats keeps the key unique in the table.
         unique = on_duplicate == "error"
-        if not TABLES[name].by_project:
+        if not STORED[name].by_project:
             merged = insert_if_absent(self.table(name), values.drop(key), by, key, on_duplicate, unique=unique)
             return self.append(name, merged.inserted)
         if "samplecode" not in by:
@@ -255,7 +258,7 @@ class Catalog:
         """
         numbered = row_number_any(packed.select(*SPECTRUM_KEY, *PACKED), "__n")
         keys = numbered.select(*SPECTRUM_KEY, "__n")
-        placed = info.select(*[c for c in TABLES["spectra_info"].columns if c in info.columns and c != "spectraid"]).withColumn(PROJECT, project_of("samplecode"))
+        placed = info.select(*[c for c in STORED["spectra_info"].columns if c in info.columns and c != "spectraid"]).withColumn(PROJECT, project_of("samplecode"))
         projects = self._projects(placed)
         present = self.facts("spectra_info", projects).select(*SPECTRUM_KEY, "spectraid")
         known = materialize(join(keys, present, SPECTRUM_KEY, "inner").select("__n", "spectraid"), "known-spectra")
@@ -269,7 +272,7 @@ class Catalog:
         count = numbered.count()
         bare = row_number_any(new.where("__n is null").drop("__n"), "spectraid", count + 1)
         rows = new.where("__n is not null").withColumnRenamed("__n", "spectraid").unionByName(bare)
-        columns = [F.col(c) if c in rows.columns else F.lit(None).cast(t.dataType).alias(c) for c, t in ((f.name, f) for f in TABLES["spectra_info"].schema.fields)]
+        columns = [F.col(c) if c in rows.columns else F.lit(None).cast(t.dataType).alias(c) for c, t in ((f.name, f) for f in STORED["spectra_info"].schema.fields)]
         rows = materialize(rows.select(*columns, PROJECT), "new-spectra")
         top = self._top(rows, "spectra_info")
         before = F.lit(self._reserve("spectra_info", max(top, count) if top else 0))

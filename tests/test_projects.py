@@ -451,3 +451,35 @@ def test_reference_rows(make):
     assert (rate.n_match, rate.n_total) == (2, 3)
     att = make("speciescode string, scientific_name string, family string, myco_asso string, shade_tolerance string", ("A", "x", "f", "ABM, ECM", "InTolerant"))
     assert reference_data.attribute_rows(att).first()[:] == ("A", "ECM", "intolerant")
+
+
+def test_species_with_two_trait_database_ids_load(make, spark, tmp_path):
+    usda = make(
+        ", ".join(f"{c} string" for c in reference_data.USDA_NAMES),
+        ("ACRU", "Acer", "rubrum", *[None] * 6, "Acer rubrum L."), ("ACER", "Acer", None, *[None] * 6, "Acer L."),
+    )
+    names = make("AccSpeciesName string, AccSpeciesID bigint", ("Acer rubrum", 2), ("Acer rubrum", 1))
+    other = reference_data.other_species(make("RawSpecies string, ScientificName string, SpeciesCode string, Database_ID string", ("a", "Cornus alba L.", "kew-1", "ThePlantList")))
+    species = reference_data.species_rows(reference_data.backbone(usda, names), other)
+    catalog = Catalog(spark, str(tmp_path / "catalog"))
+    catalog.reset()
+    projects = make("projectcode string", ("p",))
+    dictionary = make("RawSpecies string, Project string, SpeciesCode string", ("red maple", "P", "ACRU"))
+    attributes = make("speciescode string, scientific_name string, family string, myco_asso string, shade_tolerance string", ("ACRU", "x", "f", "AM", "Tolerant"))
+    for _ in range(2):
+        reference_data.load(catalog, projects, species, dictionary, attributes)
+    assert rows(catalog.table("species").select("speciescode", "tryspeciesid")) == [("ACER", None), ("ACRU", 1), ("kew-1", None)]
+    assert rows(catalog.table("species_try").select("speciescode", "tryspeciesid")) == [("ACRU", 1), ("ACRU", 2)]
+    assert all(r.n_rows == 0 for r in audits(catalog)["orphans"].collect()) and all(r.n_keys == 0 for r in audits(catalog)["unique"].collect())
+    catalog.delete("species", F.col("speciescode") == "ACRU")
+    assert catalog.table("species_try").count() == catalog.table("species_dict").count() == 0
+    twice = species.where("speciescode = 'ACER'")
+    for repeated in (twice, twice.withColumn("genus", F.lit("Acre"))):
+        catalog.reset()
+        with pytest.raises(ValueError):
+            reference_data.load(catalog, projects, species.unionByName(repeated), dictionary, attributes)
+
+
+def test_species_links_without_ids(make):
+    plain = make("speciescode string, scientificname string", ("A", "x"))
+    assert reference_data.species_of(plain).columns == plain.columns and reference_data.species_links(plain).count() == 0
