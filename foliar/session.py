@@ -61,9 +61,12 @@ def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def side_by_side(*steps: Callable[[], object]) -> None:
-    """Run steps that each start their own Spark jobs at the same time; the first error is raised."""
-    with ThreadPoolExecutor(max_workers=4) as pool:
+def side_by_side(*steps: Callable[[], object], at_once: int = 4) -> None:
+    """Run steps that each start their own Spark jobs, ``at_once`` of them at a time; the first error is raised.
+
+    The driver holds the plans of all steps that run.
+    """
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
         for done in [pool.submit(step) for step in steps]:
             done.result()
 
