@@ -4,14 +4,20 @@ A page is cut into blocks at block-level tags; inline tags do not cut. Each
 block has its words and link density, those of the blocks before and after it,
 and whether it stands in a container that is furniture by tag or by class, id
 or role, in the article container, or in a heading. A decision tree decides.
-It is grown from the small labelled pages below, whose main text is marked, by
-the same features.
+It is grown from the labelled pages of ``labelled_pages``, whose main text is
+marked, by the same features. Where a page names no container, words and links
+of a block and of its neighbours decide.
 
-Scripts, styles, comments, head (up to the body where it is not closed) and
-form controls give no blocks. Character
+Names count as furniture of two kinds: menus, adverts, comments and the like
+always, others (search, notice, tags, form) not where an article stands inside.
+What follows a heading such as "Comments" in the same container is furniture.
+
+Scripts, styles, comments, titles and form controls give no blocks. Character
 references are decoded, white space inside a block becomes one space, blocks
 are joined in page order by an empty line. A missing or empty page has empty
-text; markup that is never closed is read to the end of the page.
+text; scripts, styles and comments that are never closed run to the end of the
+page, a ``<`` that starts no whole tag is text. Time grows with the length of a
+page, however its markup is broken.
 """
 
 from __future__ import annotations
@@ -25,102 +31,214 @@ from pyspark.sql import DataFrame
 
 from foliar.llm._jobs import narrow
 
-_SKIPPED = "script|style|noscript|template|svg|select|textarea|iframe|object|button"
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<(?P<skip>{_SKIPPED})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=skip)\s*>|\Z)"
-    r"|<head(?=[\s/>])[^>]*>.*?(?:</head\s*>|(?=<body[\s/>])|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.S | re.I,
-)
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# Elements without text of the page; those of the first row run to the end of the page where they are never closed.
+_RAW = frozenset("script style textarea iframe noscript".split())
+_SKIPPED = _RAW | frozenset("title template svg select object button".split())
+_SKIP_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in _SKIPPED}
+_TAG = re.compile(r"</?[a-zA-Z][^\s/>]*")
+_GAP = re.compile(r"[\s/]*")
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(\s*=\s*)?")
+_BARE = re.compile(r"[^\s>]*")
+_NAMED = frozenset(("class", "id", "role"))
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_FURNITURE_TAGS = frozenset("nav footer aside form header menu dialog".split())
-_MAIN_TAGS = frozenset("article main".split())
-_FURNITURE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|contentinfo|cookies?|copyright|disclaimer|discuss\w*|disqus|foot|footer|head|header|legal|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|overlay|pager|pagination|popup|promo\w*|related|replies|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|tags|toolbar|topbar|widget)(?=$|[\s_-])",
+# Furniture wherever it stands, also around an article and on it.
+_STICKY_TAGS = frozenset("nav footer aside menu dialog".split())
+_STICKY = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|breadcrumbs?|comments?|commentlist|cookies?|discuss\w*|disqus|footer|menu|nav|navbar|navigation|newsletter|promo\w*|recommend\w*|related|repl(?:y|ies)|sidebar|sponsor\w*|teasers?|user[_-]?(?:comments?|notes?))(?=$|[\s_-])",
     re.I,
 )
+# Furniture, but not where an article stands inside.
+_LOOSE = re.compile(
+    r"(?:^|[\s_-])(?:banner|contentinfo|copyright|disclaimer|foot|head|header|legal|login|masthead|modal|notice|overlay|pager|pagination|popup|search|share|sharing|signup|social|subscribe|tags|toolbar|topbar|widget)(?=$|[\s_-])",
+    re.I,
+)
+# A name such as has-sidebar or with-ads speaks of something inside.
+_SPOKEN_OF = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no)[_-]\S*", re.I)
+_MAIN_TAGS = frozenset("article main".split())
 _MAIN = re.compile(r"(?:^|[\s_-])(?:article|content|entry|main|post|story|body)(?=$|[\s_-])", re.I)
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_COMMENTS = re.compile(r"(?:\d+ )?(?:(?:reader |user |your )?comments?|responses?|replies|discussion|leave an? (?:comment|reply)|join the (?:discussion|conversation))(?: ?\(\d+\)| \d+)?\W*", re.I)
 _ITEMS = frozenset("li dt dd tr td th option".split())
 _SPACES = re.compile(r"\s+")
 FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "furniture", "main", "heading", "page_has_main"]
 
 
+def _find(page: str, what: str, at: int, missing: set) -> int:
+    """``str.find`` that never looks twice for what no longer comes."""
+    if what in missing:
+        return -1
+    found = page.find(what, at)
+    if found < 0:
+        missing.add(what)
+    return found
+
+
+def _attributes(page: str, at: int, missing: set) -> tuple[str, bool, bool, int]:
+    """Reads a start tag from behind its name: class, id and role, whether it has attributes, whether it closes itself, and where it ends.
+
+    A quote counts only after an equals sign. A quoted value that runs past a
+    ``>`` and whose second quote is not followed by a space, a slash or ``>`` was
+    never closed: it ends where the tag does.
+    """
+    names, some = [], False
+    while True:
+        gap = _GAP.match(page, at)
+        at = gap.end()
+        if page.startswith(">", at) or at >= len(page):
+            return " ".join(names), some, gap.group().endswith("/"), at + 1
+        some = True
+        name = _ATTRIBUTE.match(page, at)
+        at, value = name.end(), ""
+        if name[2]:
+            quote = page[at : at + 1]
+            if quote in ("'", '"'):
+                close, end = _find(page, quote, at + 1, missing), _find(page, ">", at + 1, missing)
+                if close < 0 or (0 <= end < close and not page[close + 1 : close + 2].isspace() and page[close + 1 : close + 2] not in ("/", ">", "")):
+                    close = end if end >= 0 else len(page)
+                    value, at = page[at + 1 : close], close
+                else:
+                    value, at = page[at + 1 : close], close + 1
+            else:
+                bare = _BARE.match(page, at)
+                value, at = bare.group(), bare.end()
+        if name[1].lower() in _NAMED:
+            names.append(value)
+
+
+def _tokens(page: str):
+    """Pieces of a page in order, each character looked at a bounded number of times.
+
+    ("text", text), ("open", tag, names, has attributes, closes itself) or ("close", tag).
+    """
+    at, missing = 0, set()
+    ends: set[str] = set()  # skipped elements that no longer end
+    while at < len(page):
+        start = page.find("<", at)
+        if start < 0:
+            yield "text", page[at:]
+            return
+        if start > at:
+            yield "text", page[at:start]
+        if page.startswith("<!--", start):
+            end = _find(page, "-->", start + 2, missing)
+            at = len(page) if end < 0 else end + 3
+        elif page.startswith("<![CDATA[", start):
+            end = _find(page, "]]>", start, missing)
+            yield "text", html.escape(page[start + 9 : end if end >= 0 else len(page)], quote=False)
+            at = len(page) if end < 0 else end + 3
+        elif page.startswith(("<!", "<?"), start):
+            end = _find(page, ">", start, missing)
+            at = len(page) if end < 0 else end + 1
+        elif (m := _TAG.match(page, start)) and _find(page, ">", start, missing) >= 0:
+            closing = page[start + 1] == "/"
+            tag = m.group()[1 + closing :].lower()
+            names, some, itself, at = _attributes(page, m.end(), missing)
+            if closing:
+                yield "close", tag
+                continue
+            if tag in _SKIPPED and not (tag == "svg" and itself):
+                end = None if tag in ends else _SKIP_END[tag].search(page, at)
+                if end:
+                    at = end.end()
+                    continue
+                ends.add(tag)
+                if tag in _RAW:
+                    return
+                continue
+            yield "open", tag, names, some, itself
+        else:
+            yield "text", "<"
+            at = start + 1
+
+
 def text_blocks(page: str) -> list[tuple[str, list[float]]]:
     """Blocks of a page in order: their text and features."""
-    found: list[tuple[str, float, bool, bool, bool]] = []
+    found: list[list] = []  # text, link density, furniture, in a form only, main, heading
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # open containers: tag, furniture, main
-    furniture = main = 0
+    stack: list[tuple] = []  # open containers: tag, sticky, loose, form, main, counts to restore
+    times: dict[str, int] = {}  # how often a tag is open
+    sticky = loose = forms = main = 0
     in_link = heading = 0
+    comments: tuple[int, int] | None = None  # depth and level of the heading above reader comments
 
     def end_block():
         if parts:
             text = _SPACES.sub(" ", html.unescape("".join(parts))).strip()
             if text:
                 links = len(_SPACES.sub(" ", html.unescape("".join(linked))).split())
-                found.append((text, min(1.0, links / len(text.split())), furniture > 0, main > 0, heading > 0))
+                furniture = sticky > 0 or loose > 0 or comments is not None
+                found.append([text, min(1.0, links / len(text.split())), furniture, forms > 0 and not furniture, main > 0, heading > 0])
             parts.clear()
             linked.clear()
 
-    def add(text: str):
-        if text:
-            parts.append(text)
+    def pop() -> str:
+        nonlocal sticky, loose, forms, main, comments
+        tag, s, n, f, a, before = stack.pop()
+        times[tag] -= 1
+        sticky, main = sticky - s, main - a
+        loose, forms = before if before else (loose - n, forms - f)
+        if comments and len(stack) < comments[0]:
+            comments = None
+        return tag
+
+    for kind, tag, *rest in _tokens(page):
+        if kind == "text":
+            parts.append(tag)
             if in_link:
-                linked.append(text)
-
-    at = 0
-    for m in _TOKEN.finditer(page):
-        add(page[at : m.start()])
-        at = m.end()
-        if m["cdata"]:
-            add(html.escape(m["cdata"], quote=False))
-        if not m["tag"]:
+                linked.append(tag)
             continue
-        tag = m["tag"].lower()
+        opened = kind == "open"
         if tag == "a":
-            in_link = 0 if m["close"] else 1
+            in_link = int(opened)
             continue
         if tag in _INLINE:
             continue
         if tag == "br":
-            add(" ")
+            parts.append(" ")
             continue
+        before = len(found)
         end_block()
         # A paragraph ends where the next block starts, an item where the next item does.
-        while not m["close"] and stack and (stack[-1][0] == "p" or (tag in _ITEMS and stack[-1][0] == tag)):
-            _, f, a = stack.pop()
-            furniture -= f
-            main -= a
+        while opened and stack and (stack[-1][0] == "p" or (tag in _ITEMS and stack[-1][0] == tag)):
+            pop()
         if tag in _HEADINGS:
-            heading = 0 if m["close"] else 1
-        if tag in _VOID or (m["attrs"].endswith("/") and tag != "p"):
+            heading = int(opened)
+            if opened and comments and int(tag[1]) <= comments[1]:
+                comments = None
+        if not opened:
+            if times.get(tag):
+                while pop() != tag:
+                    pass
+            if tag in _HEADINGS and len(found) > before and _COMMENTS.fullmatch(found[-1][0]):
+                found[-1][2] = True
+                comments = (len(stack), int(tag[1]))
             continue
-        if m["close"]:
-            if any(t == tag for t, _, _ in stack):
-                while stack:
-                    t, f, a = stack.pop()
-                    furniture -= f
-                    main -= a
-                    if t == tag:
-                        break
+        names, some, itself = rest
+        if tag in _VOID or itself:
             continue
-        if tag in ("p", "li", *_HEADINGS) and not m["attrs"]:
+        if tag in ("p", "li", *_HEADINGS) and not some:
             continue  # no container, and often never closed
-        names = " ".join(x or y or z for x, y, z in _NAMED.findall(m["attrs"])) if m["attrs"] else ""
-        is_main = tag in _MAIN_TAGS or bool(names and _MAIN.search(names))
+        names = _SPOKEN_OF.sub("", names)
+        own = tag in _MAIN_TAGS
+        is_main = own or bool(names and _MAIN.search(names))
+        named = names and tag not in ("body", "html", "main")
+        is_sticky = tag in _STICKY_TAGS or bool(named and _STICKY.search(names))
         # The header of an article is part of it; that of the page is not.
-        plain = tag in _FURNITURE_TAGS and not (tag == "header" and main)
-        is_furniture = plain or bool(names and tag not in ("body", "html", "main") and _FURNITURE.search(names))
-        stack.append((tag, is_furniture, is_main))
-        furniture += is_furniture
-        main += is_main
-    add(page[at:])
+        is_loose = (tag == "header" and not main) or bool(named and not own and _LOOSE.search(names))
+        saved = (loose, forms) if is_main and not is_sticky else None
+        if saved:
+            # What is named as search, notice and the like is no furniture around an article, nor is a form around the main container.
+            loose, forms = 0 if own else loose, 0
+        stack.append((tag, is_sticky, is_loose, tag == "form", is_main, saved))
+        times[tag] = times.get(tag, 0) + 1
+        sticky, loose, forms, main = sticky + is_sticky, loose + is_loose, forms + (tag == "form"), main + is_main
     end_block()
 
+    # A form around all of the page is no furniture.
+    in_forms = any(not furniture and not form for _, _, furniture, form, _, _ in found)
+    found = [(text, links, furniture or (form and in_forms), a, h) for text, links, furniture, form, a, h in found]
     counts = [len(b[0].split()) for b in found]
     has_main = float(any(b[3] for b in found))
     out = []
@@ -156,12 +274,68 @@ LABELLED = [
 ]
 
 
+# Lines that stand in both parts of a page without names; only what stands around them tells which.
+_SHORT = ("Nobody was hurt.", "The harbour office", "Ice and wind", "Two weeks more", "Harbour News", "Since last winter")
+_CHROME = ("Welcome to the harbour", "All rights reserved", "Terms of use", "Printed by the office", "Harbour News", "Since last winter", "Monday morning")
+_WRAPPERS = ("<div>{}</div>", "<p>{}</p>", "<div><span>{}</span></div>", "<tr><td>{}</td></tr>", "<section><div>{}</div></section>", "<ul><li>{}</li></ul>")
+
+
+def unnamed_pages(n: int = 48) -> list[str]:
+    """Labelled pages whose markup names nothing, each of another make-up: wrapper, menu, lengths, and where short lines stand."""
+    pages = []
+    for i in range(n):
+        wrap, other = _WRAPPERS[i % 6].format, _WRAPPERS[(i // 6) % 6].format
+        menu = [other(f"<a href={j}>{_CHROME[(i + j) % 7]}</a>") for j in range(1 + i % 4)]
+        plain = [other(_CHROME[(i + j) % 7]) for j in range(2 + i % 3)]
+        teaser = [other(f"<a href=9>{_LONG if i % 2 else _MID}</a>")]
+        body = []
+        for j in range(2 + i % 5):
+            body.append(wrap("+" + _LONG * (1 + (i + j) % 3)))
+            if (i + j) % 2:
+                body.append(wrap("+" + _SHORT[(i + 2 * j) % 6]))
+            body.append(wrap("+" + (_MID if (i + j) % 3 else f"{_MID}<a href=7>The tide table</a> {_MID}")))
+        title = [f"<h1>+{_SHORT[i % 6]}</h1>"] if i % 3 else []
+        top = (plain + menu, menu + plain, menu + teaser + menu, plain)[i % 4]
+        end = (menu + plain, plain + menu, plain, teaser + plain)[(i // 4) % 4]
+        pages.append("".join(top + title + body + end))
+    return pages
+
+
+_NAMED_CHROME = ("<nav>{}</nav>", "<footer>{}</footer>", "<aside>{}</aside>", "<div class='ad'>{}</div>", "<div id='comments'>{}</div>", "<div class='related'>{}</div>", "<form>{}</form>", "<div class='cookie notice'>{}</div>")
+_NAMED_MAIN = ("<article>{}</article>", "<main>{}</main>", "<div class='content'>{}</div>", "<div id='main'><section>{}</section></div>")
+
+
+def named_pages(n: int = 48) -> list[str]:
+    """Labelled pages with named containers: text, short lines and links of all kinds stand in the article as well as around it."""
+    pages = []
+    for i in range(n):
+        wrap = _WRAPPERS[i % 6].format
+        lines = [_SHORT[(i + j) % 6] for j in range(4)] + [f"<a href={j}>{_SHORT[(i + j) % 6]}</a>" for j in range(2 + i % 3)]
+        lines += [_MID, _LONG, _LONG * 2, f"<a href=8>{_LONG if i % 2 else _MID}</a>"]
+        around = ["".join(wrap(x) for x in lines[j :: 2 + i % 3]) for j in range(2 + i % 3)]
+        chrome = [_NAMED_CHROME[(i + j) % 8].format(x) for j, x in enumerate(around)]
+        if i % 5 == 4:
+            # Only what is around the text has a name.
+            body = "".join(wrap("+" + x) for x in (_LONG, _MID * 2, _LONG, _LONG * 2, _MID * 2))
+        else:
+            chosen = lines[i % 3 :: 1 + i % 2] if i % 7 else lines[:4]
+            body = _NAMED_MAIN[i % 4].format("".join(wrap("+" + x) if "<a" not in x else wrap(x.replace(">", ">+", 1)) for x in chosen))
+            # Lines without a name beside an article do not belong to it.
+            chrome.append("".join(wrap(x) for x in (_CHROME[i % 7], _MID, _LONG)))
+        pages.append(chrome[0] + body + "".join(chrome[1:]))
+    return pages
+
+
+def labelled_pages() -> list[str]:
+    return LABELLED + named_pages() + unnamed_pages()
+
+
 def _gini(y: np.ndarray) -> float:
     p = y.mean() if len(y) else 0.0
     return p * (1 - p) * len(y)
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 5):
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 9):
     """A decision tree by Gini impurity: (feature, cut, low side, high side), or True or False at a leaf."""
     if depth == 0 or y.all() or not y.any():
         return bool(y.mean() >= 0.5)
@@ -179,9 +353,9 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 5):
     return best[1], float(best[2]), grow(x[low], y[low], depth - 1), grow(x[~low], y[~low], depth - 1)
 
 
-def labelled_table(pages: list[str] = LABELLED) -> tuple[np.ndarray, np.ndarray]:
+def labelled_table(pages: list[str] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of all blocks of marked pages; main blocks carry a leading plus sign."""
-    rows = [(f, text.startswith("+")) for page in pages for text, f in text_blocks(page)]
+    rows = [(f, text.startswith("+")) for page in (labelled_pages() if pages is None else pages) for text, f in text_blocks(page)]
     return np.array([f for f, _ in rows]), np.array([y for _, y in rows])
 
 

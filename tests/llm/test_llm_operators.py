@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -206,6 +207,65 @@ def test_html(spark):
     assert np.mean([html_text.is_main(tree, list(f)) == t for f, t in zip(x, y)]) > 0.9
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<article><p title=don't>It's fine. Don't go.</p><p>More</p></article>", "It's fine. Don't go.\n\nMore"),
+        ('<article class="post tags news"><p>Hello there.</p></article>', "Hello there."),
+        ('<div class="wrap search"><article><p>Hello.</p></article></div>', "Hello."),
+        ("<form id=aspnetForm><article><p>Hello.</p></article></form>", "Hello."),
+        ('<div class="has-sidebar"><article><p>Hello.</p></article></div>', "Hello."),
+        ('<article><p class="x>Hello there <b class="y">bold</b></p></article>', "Hello there bold"),
+        ('<article><p title="a > b" class="c">Hello.</p></article>', "Hello."),
+        ("<article><p>Text here.</p><h3>Comments (2)</h3><p>Nice one</p></article>", "Text here."),
+        ("<article><div><h4>Replies</h4><p>Nice one</p></div><p>Text here.</p></article>", "Text here."),
+        ("<article><p>Text.</p><div class='user-notes'><p>Me too</p></div></article>", "Text."),
+        ("<article><p>Text.</p></article><section id=comments><article class=comment><p>Me too</p></article></section>", "Text."),
+        ("<article><p>a < b and c <d", "a < b and c <d"),
+        ("<article><p>One.</p><button>Send<p>Two.</p></article>", "One.\n\nSend\n\nTwo."),
+        ("<article><p>One.</p><script>never closed <p>Two.</p></article>", "One."),
+    ],
+)
+def test_html_of_odd_markup(page, want):
+    assert html_text.main_text(page, html_text.grow(*html_text.labelled_table())) == want
+
+
+def test_html_tree_asks_the_neighbours():
+    pages = html_text.unnamed_pages()
+    x, y = html_text.labelled_table(html_text.LABELLED + html_text.named_pages() + pages[::2])
+    tree = html_text.grow(x, y)
+
+    def asked(t):
+        return set() if isinstance(t, bool) else {t[0]} | asked(t[2]) | asked(t[3])
+
+    assert asked(tree) & {2, 4} and asked(html_text.grow(*html_text.labelled_table())) & {2, 4}
+    # Pages it was not grown from; without its neighbours' features it does worse.
+    hx, hy = html_text.labelled_table(pages[1::2])
+    right = np.mean([html_text.is_main(tree, list(f)) == t for f, t in zip(hx, hy)])
+    alone = [0, 1, 6, 7, 8, 9]
+    blind = html_text.grow(x[:, alone], y)
+    assert right > 0.95 and right > np.mean([html_text.is_main(blind, list(f)) == t for f, t in zip(hx[:, alone], hy)])
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<div>", "<p x='", "<!--", '<p x="a>', "<svg>", "<button><select>", "< "])
+def test_html_of_very_long_broken_pages(piece):
+    tree = html_text.grow(*html_text.labelled_table())
+    start = time.process_time()
+    html_text.main_text(piece * (1_000_000 // len(piece)), tree)
+    assert time.process_time() - start < 10
+
+
+def test_html_of_unmatched_ends_over_a_deep_stack():
+    start = time.process_time()
+    assert [t for t, _ in html_text.text_blocks("<div>" * 40_000 + "x" + "</section>" * 40_000)] == ["x"]
+    assert time.process_time() - start < 10
+
+
+def test_html_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "page_id long, url string, html string, text long")
+    assert html_text.extract(empty).collect() == []
+
+
 def test_html_with_ends_left_out():
     page = "<head><title>T</title><body><article><p class=notice>Mind the gap.<p>Some words of the text.<ul><li class=share>Send it<li>First item</ul></article>"
     assert [(text, f[6]) for text, f in html_text.text_blocks(page)] == [("Mind the gap.", 1.0), ("Some words of the text.", 0.0), ("Send it", 1.0), ("First item", 0.0)]
