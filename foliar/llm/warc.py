@@ -241,9 +241,15 @@ def read_records(manifest: DataFrame, folder: str) -> DataFrame:
     )
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the file system Spark resolves it to, so executors write where Spark does."""
+    jvm = spark.sparkContext._jvm
+    given = jvm.org.apache.hadoop.fs.Path(path)
+    full = given.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(given).toString()
+    return "file://" + full.removeprefix("file:") if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Write pages as monolithic archives below the shared folder, normalise them and read them back."""
-    raw, whole = scratch_path(spark, "warc-monolithic"), scratch_path(spark, "warc")
-    # Executors of a cluster see one path only if it has a scheme.
-    raw, whole = (p if "://" in p or p.startswith("file:") else f"file://{p}" for p in (raw, whole))
+    raw, whole = (qualified(spark, scratch_path(spark, label)) for label in ("warc-monolithic", "warc"))
     return read_records(normalise(write_archives(pages, raw), raw, whole), whole)
