@@ -6,9 +6,11 @@ wins; equal sizes go to the language first in order. With sizes in bits taken as
 code lengths, ``score`` is the winner's share of 2^-bits, and a text is
 ``rejected`` where the runner-up is within ``min_margin`` of the winner's size.
 
-Dictionaries hold whole texts of at most ``sample_rows`` labelled rows per
-language, chosen by the hash of their ids, up to ``dictionary_bytes``; a text
-that does not fit is passed over. A text
+Dictionaries hold texts of at most ``sample_rows`` labelled rows per language,
+chosen by the hash of id and text, up to ``dictionary_bytes``: whole texts, of
+one longer than an eighth of that room a piece from a place its hash names. Rows
+alike in id and text count once, so repeated and missing ids change no bound. A
+language has a dictionary as soon as it has one labelled text. A text
 that is missing or has no letter is ``und`` with score 0; without any labelled
 row every text is ``und``.
 """
@@ -34,15 +36,20 @@ UNKNOWN = "und"
 def dictionaries(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Sample text per language from rows (id, text, lang)."""
     rows = labelled.where("lang is not null and text is not null and length(text) > 0")
-    # Longest texts first would waste the room: take only texts that can fit.
-    rows = rows.where(F.octet_length("text") <= dictionary_bytes // 8)
-    found = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    # Rows alike in id and text count once, however often they stand.
+    rows = rows.withColumn("o", F.xxhash64("id", "text"))
+    found = rows.groupBy("lang").agg(F.count_distinct("o").alias("n")).limit(MAX_LANGUAGES + 1).collect()
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     picked = F.lit(False)
     for r in found:
-        picked = picked | ((F.col("lang") == r["lang"]) & share("id", r["n"], sample_rows))
-    chosen = rows.where(picked).select(F.xxhash64("id").alias("o"), "id", "lang", "text").collect()
+        picked = picked | ((F.col("lang") == r["lang"]) & share("o", r["n"], sample_rows))
+    # Long texts would waste the room: of them a piece that surely fits (a character has four bytes at most).
+    piece = max(dictionary_bytes // 32, 1)
+    start = F.pmod(F.col("o"), F.greatest(F.length("text") - piece, F.lit(0)) + 1) + 1
+    fits = F.octet_length("text") <= dictionary_bytes // 8
+    text = F.when(fits, F.col("text")).otherwise(F.substring("text", start.cast("int"), F.lit(piece)))
+    chosen = rows.where(picked).select("lang", "o", text.alias("text")).groupBy("lang", "o").agg(F.min("text").alias("text")).collect()
     out: dict[str, list[bytes]] = {}
     room: dict[str, int] = {}
     for r in sorted(chosen, key=lambda r: (r.lang, r.o, r.text)):
