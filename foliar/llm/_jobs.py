@@ -157,8 +157,12 @@ def share(rows: Column | str, total: int, wanted: int) -> Column:
 def labelled_sample(rows: DataFrame, labels: DataFrame, wanted: int) -> DataFrame:
     """Rows (id, ...) joined with the labels (id, ...; one row per id) of at most ``wanted`` ids that have rows.
 
-    Ids are chosen on narrow tables; texts are only read, not shuffled.
+    Of an id with several rows the least row is taken, so the bound is on rows
+    too. Ids are chosen on narrow tables; texts are only read, and one per chosen
+    id is shuffled.
     """
     known = stored(labels.join(rows.select("id").distinct(), "id", "left_semi"), "labelled-ids")
     chosen = known.where(share("id", known.count(), wanted))
-    return rows.join(F.broadcast(chosen), "id")  # at most ``wanted`` rows
+    joined = rows.join(F.broadcast(chosen), "id")  # at most ``wanted`` ids
+    rest = [c for c in joined.columns if c != "id"]
+    return joined.groupBy("id").agg(F.min(F.struct(*rest)).alias("least")).select("id", "least.*")

@@ -318,6 +318,34 @@ def test_language(spark):
     assert {r.lang_pred for r in language_id.identify(docs, {}).collect()} == {"und"}
 
 
+def test_language_of_long_texts_only_and_of_a_hot_id(spark):
+    words = {"a": ["tul", "mek", "oro", "vasti"], "b": ["shin", "quax", "ply", "wredge"], "c": ["jo", "ii", "zzem", "fao"]}
+    rng = random.Random(3)
+    text = lambda lang, n: " ".join(rng.choices(words[lang], k=n))
+    # One language has long texts only, one a single hot row, one rows without an id.
+    rows = [(i, text("a", 3000), "a") for i in range(5)] + [(9, "shin quax ply wredge quax shin", "b")] * 500 + [(None, text("c", 30), "c") for _ in range(400)]
+    samples = language_id.dictionaries(spark.createDataFrame(rows, "id long, text string, lang string"), sample_rows=50, dictionary_bytes=8 << 10)
+    assert sorted(samples) == ["a", "b", "c"] and all(0 < len(s) <= (8 << 10) + 50 for s in samples.values())
+    assert samples["b"] == b"shin quax ply wredge quax shin" and samples["c"].count(b"\n") < 50
+    docs = spark.createDataFrame([(i, text(lang, 40), lang) for i, lang in enumerate("abc" * 10)], "doc_id long, text string, want string")
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(docs, samples).collect()}
+    assert got == {r.doc_id: r.want for r in docs.collect()}
+    # Texts that compress alike everywhere go to the first language; an empty table gives no rows.
+    same = language_id.identify(docs, {"x": b"abc", "y": b"abc"}).collect()
+    assert {r.lang_pred for r in same} == {"x"} and all(r.rejected for r in same)
+    assert language_id.identify(docs.limit(0), samples).collect() == []
+
+
+def test_labelled_sample_of_a_hot_id(spark):
+    rows = spark.range(1000).select((F.col("id") % 2 * F.col("id")).alias("id"), F.col("id").cast("string").alias("text"))
+    got = labelled_sample(rows, spark.range(1000).select("id", F.lit(1).alias("y")), 2000).collect()
+    assert len(got) == 501 and [r.text for r in got if r.id == 0] == ["0"]
+
+
+def test_archive_paths_resolve_as_sparks_do(spark, tmp_path):
+    assert warc.qualified(spark, str(tmp_path)) == warc.qualified(spark, f"file:{tmp_path}") == f"file://{tmp_path}"
+
+
 def test_toxicity(spark):
     rng = random.Random(9)
     texts, toxic = [], []
