@@ -94,6 +94,50 @@ def _full(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool)
     return join(left, right, on, "inner")
 
 
+# Left and right rows of a cell of spread_join, about: some eight million pairs; rows and pairs of a task; most tasks.
+CELL_LEFT, CELL_RIGHT = 8192, 1024
+TASK_PAIRS, MOST_TASKS = 1 << 21, 4096
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], cell: tuple[int, int] = (CELL_LEFT, CELL_RIGHT)) -> DataFrame:
+    """Left join on keys that both sides repeat; missing keys match each other.
+
+    The pairs of one key grow with the product of its rows, however small the
+    tables are, so the work is dealt out by pairs and not by bytes: rows are
+    counted per key, the left rows of a key are cut into blocks by their hash,
+    so are the right ones, and every pair of blocks is a cell of its own. A row
+    is copied once per block of the other side. Left rows without a partner are
+    added unpaired. The driver sees the number of pairs, which sets the number of tasks.
+    """
+    on = list(on)
+    rest = [c for c in right.columns if c not in on]
+    count = F.count_if(F.col("__left")).alias("__n_left"), F.count_if(~F.col("__left")).alias("__n_right")
+    sides = left.select(*on, F.lit(True).alias("__left")).unionByName(right.select(*on, F.lit(False).alias("__left")))
+    sizes = sides.groupBy(*on).agg(*count)
+
+    def blocks(n: str, size: int) -> Column:
+        return F.ceil(F.col(n) / F.lit(size))
+
+    def all_of(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+
+    sized = join(left, sizes, on, "inner")
+    alone = sized.where("__n_right = 0").select(*left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in rest])
+    rows, columns = blocks("__n_left", cell[0]), blocks("__n_right", cell[1])
+    dealt = sized.where("__n_right > 0").withColumn("__row", F.pmod(F.xxhash64(*left.columns), rows)).withColumn("__column", all_of(columns))
+    other = join(right, sizes.where("__n_left > 0"), on, "inner").withColumn("__column", F.pmod(F.xxhash64(*right.columns), columns)).withColumn("__row", all_of(rows))
+    pairs = F.col("__n_left") * (F.col("__n_right") + 1)
+    tasks = min(MOST_TASKS, 1 + (sizes.agg(F.sum(pairs).alias("n")).first()["n"] or 0) // TASK_PAIRS)
+
+    def dealt_out(df: DataFrame) -> DataFrame:
+        # One struct a cell; missing parts of structs are equal.
+        cell_of = F.struct(*on, "__row", "__column").alias("__cell")
+        return df.select(cell_of, *[c for c in df.columns if c in left.columns or c in rest]).repartition(tasks, "__cell")
+
+    paired = join(dealt_out(dealt), dealt_out(other).drop(*on), ["__cell"], "inner", null_safe=False)
+    return paired.select(*left.columns, *rest).unionByName(alone)
+
+
 def full_join_unique(tables: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
     """Full join of any number of tables that are unique on ``on``.
 

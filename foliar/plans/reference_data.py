@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliar.functions.nulls import recode_keep
 from foliar.functions.parse import accepted_name, scientific_parts
-from foliar.operators.joins import join
+from foliar.operators.joins import join, spread_join
 from foliar.session import side_by_side
 from foliar.sources.catalog import Catalog
 
@@ -60,23 +60,34 @@ def usda_species(raw: DataFrame) -> DataFrame:
     return raw.select(*[F.col(a).alias(b) for a, b in USDA_NAMES.items()]).withColumn("codetype", F.lit("USDA_Plants"))
 
 
+def _named(usda: DataFrame, try_names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the match under one name."""
+    named = usda.withColumn("accepted_name", accepted_name("genus", "species", "scientificname"))
+    return named, try_names.select(F.col("AccSpeciesName").alias("accepted_name"), F.col("AccSpeciesID").alias("tryspeciesid"))
+
+
 def match_species(usda: DataFrame, try_names: DataFrame) -> DataFrame:
     """Every plant-database row with the trait-database id of its accepted name.
 
     A name with several ids keeps one row per id.
     """
-    named = usda.withColumn("accepted_name", accepted_name("genus", "species", "scientificname"))
-    ids = try_names.select(F.col("AccSpeciesName").alias("accepted_name"), F.col("AccSpeciesID").alias("tryspeciesid"))
-    return join(named, ids, ["accepted_name"], "left")
+    return spread_join(*_named(usda, try_names), ["accepted_name"])
 
 
 def match_rate(usda: DataFrame, try_names: DataFrame) -> DataFrame:
-    """Matched and total rows and the percentage."""
-    return match_species(usda, try_names).agg(
-        F.count("tryspeciesid").alias("n_match"),
-        F.count(F.lit(1)).alias("n_total"),
-        (100.0 * F.try_divide(F.count("tryspeciesid"), F.count(F.lit(1)))).alias("pct_match"),
-    )
+    """Matched and total rows of ``match_species`` and the percentage.
+
+    Its rows are counted by name, as products, and never built.
+    """
+    named, ids = _named(usda, try_names)
+    n_ids = ids.groupBy("accepted_name").agg(F.count("tryspeciesid").alias("n_ids"), F.count(F.lit(1)).alias("n_rows"))
+    per = join(named.groupBy("accepted_name").agg(F.count(F.lit(1)).alias("n")), n_ids, ["accepted_name"], "left")
+
+    def total(each: Column) -> Column:
+        return F.coalesce(F.sum(F.col("n") * each), F.lit(0))
+
+    counts = per.agg(total(F.coalesce("n_ids", F.lit(0))).alias("n_match"), total(F.coalesce("n_rows", F.lit(1))).alias("n_total"))
+    return counts.withColumn("pct_match", 100.0 * F.try_divide("n_match", "n_total"))
 
 
 def backbone(usda_raw: DataFrame, try_names: DataFrame) -> DataFrame:

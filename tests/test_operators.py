@@ -4,6 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from foliar.operators import aggregate, columns, filters, joins, merge, ordered, quality, reshape
+from foliar.plans.reference_data import match_rate, match_species
 from foliar.schema import TABLES
 
 
@@ -352,3 +353,36 @@ def test_full_join_reads_each_side_twice_and_keeps_all_rows(spark, tmp_path, nul
         want = sorted(plain, key=lambda t: [(x is not None, str(x)) for x in t])
     assert got == want
     assert plan.count("FileScan") <= 4 and plan.count(" Exchange hashpartitioning") <= 4
+
+
+# --- work dealt out by pairs --------------------------------------------------------------------------
+def test_spread_join_is_a_left_join(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_PAIRS", 16)
+    left = spark.createDataFrame([(k, i % 7) for i in range(40) for k in ("a", None)] + [("b", 1), ("b", 1), ("c", None)], "k string, x int")
+    right = spark.createDataFrame([(k, i % 5) for i in range(11) for k in ("a", None)] + [("b", None), ("z", 9)], "k string, y int")
+    out = joins.spread_join(left, right, ["k"], cell=(3, 2))
+    want = joins.join(left, right, ["k"], "left")
+    assert out.columns == want.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    for a, b in ((left, right.where("false")), (left.where("false"), right)):
+        assert joins.spread_join(a, b, ["k"]).count() == a.count()
+
+
+def test_species_match_of_one_name_runs_in_several_tasks(spark):
+    usda = spark.range(2500).coalesce(1).select(F.col("id").alias("code"), F.lit("a").alias("genus"), F.lit("b").alias("species"), F.lit(None).cast("string").alias("scientificname"))
+    names = spark.range(2500).coalesce(1).select(F.lit("a b").alias("AccSpeciesName"), F.col("id").alias("AccSpeciesID"))
+    per_task = match_species(usda, names).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 2500**2 and len(per_task) > 1
+
+
+def test_species_match_rate_builds_no_pairs(spark):
+    n = 300_000
+    usda = spark.range(n).select(F.lit("a").alias("genus"), F.lit("b").alias("species"), F.lit(None).cast("string").alias("scientificname"))
+    more = spark.createDataFrame([(None, None, None), ("c", "d", None)], "genus string, species string, scientificname string")
+    names = spark.range(n).select(F.lit("a b").alias("AccSpeciesName"), F.col("id").alias("AccSpeciesID"))
+    names = names.unionByName(spark.createDataFrame([(None, 1), (None, None), ("a b", None), ("x", 2)], "AccSpeciesName string, AccSpeciesID long"))
+    row = match_rate(usda.unionByName(more), names).first()
+    # n rows meet n + 1 ids, one of them missing; the missing name meets two; the other name none.
+    assert (row.n_match, row.n_total) == (n * n + 1, n * (n + 1) + 2 + 1)
+    empty = match_rate(usda.where("false"), names).first()
+    assert tuple(empty) == (0, 0, None)
