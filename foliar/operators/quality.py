@@ -33,37 +33,48 @@ def audit_unique(tables: dict[str, DataFrame]) -> DataFrame:
     return _stack(parts)
 
 
-def key_ledger(tables: dict[str, DataFrame]) -> tuple[DataFrame, list[tuple[str, str, str]]]:
-    """One row (parent, key, known, n_0, n_1, ...) per key value of all references, and the references.
+def key_ledger(tables: dict[str, DataFrame]) -> tuple[DataFrame, list[tuple[str, str, str, int, int]]]:
+    """One row (key, known, n_0, n_1, ...) per key value of all references, and the references.
 
     Every table is read once and gives its own keys and those it refers to;
-    all of them meet in one grouping. ``known`` says that the parent has the
-    key, ``n_i`` how many rows refer to it through the i-th reference. Counts
-    are combined before the shuffle, so a hot key is a few rows.
+    all of them meet in one grouping. ``key`` is the number of the parent's
+    column, a colon and the value. ``known`` says that the parent has the key,
+    ``n_i`` how many rows refer to it through the parent's i-th reference. A
+    reference is (table, column, parent, number, i). Counts are combined before
+    the shuffle, so a hot key is a few rows; a task holds one such row per key,
+    so the row is kept short.
     """
-    refs = [(name, column, parent) for name in tables for column, parent in STORED[name].refs if parent in tables]
+    named = [(name, column, parent) for name in tables for column, parent in STORED[name].refs if parent in tables]
+    owners = list(dict.fromkeys((parent, column) for _, column, parent in named))
+    slots = [sum(named[j][1:] == named[i][1:] for j in range(i)) for i in range(len(named))]
+    refs = [(*ref, owners.index((ref[2], ref[1])), slot) for ref, slot in zip(named, slots)]
+
+    def entry(column: str, number: int, slot: int):
+        return F.struct(F.concat(F.lit(f"{number}:"), F.col(column).cast("string")).alias("key"), F.lit(slot).alias("slot"))
+
     parts = []
     for name, df in tables.items():
-        uses = [(i, column, parent) for i, (child, column, parent) in enumerate(refs) if child == name]
-        owned = sorted({column for _, column, parent in refs if parent == name})
-        entries = [F.struct(F.lit(f"{parent}.{column}").alias("parent"), F.col(column).cast("string").alias("key"), F.lit(i).alias("ref")) for i, column, parent in uses]
-        entries += [F.struct(F.lit(f"{name}.{column}").alias("parent"), F.col(column).cast("string").alias("key"), F.lit(-1).alias("ref")) for column in owned]
+        entries = [entry(column, number, slot) for child, column, _, number, slot in refs if child == name]
+        entries += [entry(column, number, -1) for number, (parent, column) in enumerate(owners) if parent == name]
         if entries:
             parts.append(df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where("key is not null"))
-    counts = [F.count_if(F.col("ref") == i).alias(f"n_{i}") for i in range(len(refs))]
-    return _stack(parts).groupBy("parent", "key").agg(F.bool_or(F.col("ref") < 0).alias("known"), *counts), refs
+    counts = [F.count_if(F.col("slot") == i).alias(f"n_{i}") for i in range(max(slots) + 1)]
+    return _stack(parts).groupBy("key").agg(F.bool_or(F.col("slot") < 0).alias("known"), *counts), refs
 
 
 def audit_orphans(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows whose reference has no parent, per table and column; each table is read once."""
     ledger, refs = key_ledger(tables)
-    sums = [c for i in range(len(refs)) for c in (F.coalesce(F.sum(f"n_{i}"), F.lit(0)).alias(f"rows_{i}"), F.count_if(F.col(f"n_{i}") > 0).alias(f"keys_{i}"))]
+    sums = []
+    for i, (_, _, _, number, slot) in enumerate(refs):
+        n = F.when(F.startswith("key", F.lit(f"{number}:")), F.col(f"n_{slot}"))
+        sums += [F.coalesce(F.sum(n), F.lit(0)).alias(f"rows_{i}"), F.count_if(n > 0).alias(f"keys_{i}")]
     lines = [
         F.struct(
             F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), F.lit(parent).alias("parent"),
             F.col(f"rows_{i}").alias("n_rows"), F.col(f"keys_{i}").alias("n_keys"),
         )
-        for i, (name, column, parent) in enumerate(refs)
+        for i, (name, column, parent, _, _) in enumerate(refs)
     ]
     return ledger.where("not known").agg(*sums).select(F.inline(F.array(*lines)))
 

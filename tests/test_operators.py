@@ -386,3 +386,17 @@ def test_species_match_rate_builds_no_pairs(spark):
     assert (row.n_match, row.n_total) == (n * n + 1, n * (n + 1) + 2 + 1)
     empty = match_rate(usda.where("false"), names).first()
     assert tuple(empty) == (0, 0, None)
+
+
+def test_ledger_holds_a_count_per_reference_of_one_parent(spark):
+    codes = [("1:a",), ("0:b",), (None,)]
+    tables = {
+        "projects": spark.createDataFrame([("p",)], "projectcode string"),
+        "species": spark.createDataFrame([("1:a",)], "speciescode string"),
+        "species_dict": spark.createDataFrame([("p", *c) for c in codes], "projectcode string, speciescode string"),
+        "samples": spark.createDataFrame([(None, "s", "x", *c) for c in codes], "projectcode string, samplecode string, plotcode string, speciescode string"),
+    }
+    ledger, refs = quality.key_ledger(tables)
+    assert ledger.columns == ["key", "known", "n_0", "n_1"] and len(refs) == 4
+    bad = {(r.table_name, r.column_name): (r.n_rows, r.n_keys) for r in quality.audit_orphans(tables).collect()}
+    assert bad == {("species_dict", "projectcode"): (0, 0), ("species_dict", "speciescode"): (1, 1), ("samples", "projectcode"): (0, 0), ("samples", "speciescode"): (1, 1)}
