@@ -48,15 +48,15 @@ def pairs_by_project(t: Tables) -> DataFrame:
 def pairs_by_trait(t: Tables) -> DataFrame:
     """Every spectrum paired with every trait row of its sample, counted by trait.
 
-    Both sides are counted per sample before the join, so the pairs
-    themselves are never built.
+    Spectra and samples are counted per sample code before the join and a trait
+    row weighs their product, so the pairs themselves are never built.
     """
     n_spectra = t["spectra_info"].groupBy("samplecode").agg(F.count(F.lit(1)).alias("n_spectra"))
-    n_traits = t["trait_data"].groupBy("samplecode", "trait").agg(F.count(F.lit(1)).alias("n_traits"))
     n_samples = t["samples"].groupBy("samplecode").agg(F.count(F.lit(1)).alias("n_samples"))
-    per = join(join(n_traits, n_spectra, ["samplecode"], "inner", False), n_samples, ["samplecode"], "inner", False)
-    pairs = F.sum(F.col("n_spectra") * F.col("n_traits") * F.col("n_samples")).alias("n")
-    return per.groupBy("trait").agg(pairs).orderBy(F.desc("n"), "trait")
+    weights = join(n_spectra, n_samples, ["samplecode"], "inner", False)
+    weights = weights.select("samplecode", (F.col("n_spectra") * F.col("n_samples")).alias("pairs"))
+    rows = join(t["trait_data"].select("samplecode", "trait"), weights, ["samplecode"], "inner", False)
+    return rows.groupBy("trait").agg(F.sum("pairs").alias("n")).orderBy(F.desc("n"), "trait")
 
 
 def by_location(t: Tables) -> DataFrame:

@@ -240,7 +240,8 @@ class Catalog:
             return self.append(name, merged.inserted)
         if "samplecode" not in by:
             raise ValueError(f"{name} is merged by keys with a samplecode")
-        values = values.drop(key).withColumn(PROJECT, project_of("samplecode"))
+        # Stored once: the projects and the new rows are both read off it.
+        values = materialize(values.drop(key).withColumn(PROJECT, project_of("samplecode")), "batch")
         present = self.facts(name, self._projects(values))
         merged = insert_if_absent(present, values, by, key, on_duplicate, unique=unique, last_id=0)
         before = self._reserve(name, self._top(merged.inserted, name))
@@ -249,8 +250,9 @@ class Catalog:
     def add_packed(self, packed: DataFrame, info: DataFrame) -> None:
         """Append spectra, one row each: ``packed`` has the spectrum's key, its wavelengths and values, ``info`` all of ``spectra_info``.
 
-        Which spectra are new is decided on their keys alone. A new spectrum's
-        id is a reserved first id plus its number among the stored rows, so ids
+        Which spectra are new is decided on their keys alone: the keys of both
+        tables meet in one grouping, which is stored, so ``info`` is read once.
+        A new spectrum's id is a reserved first id plus its number among the stored rows, so ids
         meet the points without a join; only a batch that holds both new and
         known spectra joins its rows, one per spectrum, with the known ids. The
         points are unpacked last, within the task that writes them. Spectra that have
@@ -259,24 +261,25 @@ class Catalog:
         numbered = row_number_any(packed.select(*SPECTRUM_KEY, *PACKED), "__n")
         keys = numbered.select(*SPECTRUM_KEY, "__n")
         placed = info.select(*[c for c in STORED["spectra_info"].columns if c in info.columns and c != "spectraid"]).withColumn(PROJECT, project_of("samplecode"))
-        projects = self._projects(placed)
+        met = materialize(_meeting(placed, keys), "spectra-keys")
+        given = met.where("__n_info > 0")
+        projects = self._projects(given)
         present = self.facts("spectra_info", projects).select(*SPECTRUM_KEY, "spectraid")
         known = materialize(join(keys, present, SPECTRUM_KEY, "inner").select("__n", "spectraid"), "known-spectra")
 
-        new = join(join(placed, present, SPECTRUM_KEY, "anti"), keys, SPECTRUM_KEY, "left")
-        if not join(join(keys, placed, SPECTRUM_KEY, "anti"), present, SPECTRUM_KEY, "anti").isEmpty():
+        new = join(given, present, SPECTRUM_KEY, "anti")
+        if not join(met.where("__n_info = 0"), present, SPECTRUM_KEY, "anti").isEmpty():
             raise ValueError("spectra without a row of spectra_info")
-        repeated = new.groupBy(*SPECTRUM_KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        if not repeated.isEmpty():
+        if not new.where("__n_info > 1 or __n_packed > 1").isEmpty():
             raise ValueError(f"the batch repeats keys of {SPECTRUM_KEY}")
+        new = new.drop("__n_info", "__n_packed")
         count = numbered.count()
         bare = row_number_any(new.where("__n is null").drop("__n"), "spectraid", count + 1)
         rows = new.where("__n is not null").withColumnRenamed("__n", "spectraid").unionByName(bare)
+        taken = 0 if rows.isEmpty() else count + bare.count()
+        before = F.lit(self._reserve("spectra_info", taken))
         columns = [F.col(c) if c in rows.columns else F.lit(None).cast(t.dataType).alias(c) for c, t in ((f.name, f) for f in STORED["spectra_info"].schema.fields)]
-        rows = materialize(rows.select(*columns, PROJECT), "new-spectra")
-        top = self._top(rows, "spectra_info")
-        before = F.lit(self._reserve("spectra_info", max(top, count) if top else 0))
-        self._put("spectra_info", rows.withColumn("spectraid", F.col("spectraid") + before), "append")
+        self._put("spectra_info", rows.select(*columns, PROJECT).withColumn("spectraid", F.col("spectraid") + before), "append")
         numbered = numbered.withColumn("__n", F.col("__n") + before)
         known = known.withColumn("__n", F.col("__n") + before)
         self._put("spectra_data", self.points(self._with_ids(numbered, known, projects)), "append")
@@ -317,6 +320,18 @@ class Catalog:
         self._put("spectra_data", self.points(join(spectra, stored, ["spectraid"], "anti", null_safe=False)), "append")
 
 
+def _meeting(placed: DataFrame, keys: DataFrame) -> DataFrame:
+    """One row per spectrum key of either table: how often each has it, the first row of ``placed`` and the number in ``keys``."""
+    rest = [c for c in placed.columns if c not in SPECTRUM_KEY]
+    sides = [
+        placed.select(*SPECTRUM_KEY, F.struct(*rest).alias("__info"), F.lit(None).cast("long").alias("__n")),
+        keys.select(*SPECTRUM_KEY, F.lit(None).cast(placed.select(F.struct(*rest).alias("r")).schema["r"].dataType).alias("__info"), "__n"),
+    ]
+    held = sides[0].unionByName(sides[1]).groupBy(*SPECTRUM_KEY)
+    met = held.agg(F.first("__info", ignorenulls=True).alias("__info"), F.min("__n").alias("__n"), F.count("__info").alias("__n_info"), F.count("__n").alias("__n_packed"))
+    return met.select(*SPECTRUM_KEY, *[F.col(f"__info.{c}").alias(c) for c in rest], "__n", "__n_info", "__n_packed")
+
+
 def _escaped(value: str) -> str:
     """A partition value as Spark writes it in a folder's name."""
     special = set("\"#%'*/:=?\\{[]^") | {chr(c) for c in range(1, 32)} | {"\x7f"}

@@ -225,3 +225,42 @@ def test_replaced_facts_may_come_from_themselves(catalog):
     assert catalog.table("trait_data").count() == 5 and catalog.facts("trait_data", ["a"]).count() == 2
     catalog.replace("spectra_data", catalog.table("spectra_data").where("wavelength = 350"))
     assert catalog.facts("spectra_data", ["a"]).count() == 2 and catalog.table("spectra_data").count() == 5
+
+
+def counted(spark, df):
+    """The rows, and how often any of them was computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def code(value):
+        seen.add(1)
+        return value
+
+    once = F.udf(code, "string").asNondeterministic()
+    return df.withColumn("samplecode", once("samplecode")).select(*df.columns), seen
+
+
+def test_a_merge_computes_its_batch_once(spark, catalog):
+    more = small_table(spark, "samplecode string, trait string, traitvalue double", [(f"q|{i}|1", "t", 1.0) for i in range(30)])
+    rows, seen = counted(spark, more)
+    catalog.add("trait_data", rows, ["samplecode", "trait"])
+    assert seen.value == 30 and catalog.facts("trait_data", ["q"]).count() == 30
+
+
+def test_spectra_read_their_info_once(spark, catalog):
+    p = packed(spark, *[(f"q|{i}|1", "r", float(i), 2) for i in range(20)])
+    bare = info(packed(spark, *[(f"q|{i}|1", "t", 0.0, 1) for i in range(3)]))
+    rows, seen = counted(spark, info(p).unionByName(bare))
+    catalog.add_packed(p, rows)
+    assert seen.value == 23
+    added = catalog.facts("spectra_info", ["q"])
+    assert sorted(r.spectraid for r in added.collect()) == list(range(6, 29))
+    points = catalog.facts("spectra_data", ["q"]).join(added.select("spectraid", "samplecode"), "spectraid").collect()
+    assert len(points) == 40 and {int(r.samplecode.split("|")[1]) for r in points if r.spectravalue == 7.0} == {6, 7}
+
+
+def test_spectra_merge_refuses_repeats_and_strays(spark, catalog):
+    p = packed(spark, ("q|1|1", "r", 0.0, 2), ("q|2|1", "r", 0.0, 2))
+    for batch, rows, fault in ((p, info(p).unionByName(info(p)), "repeats"), (p.unionByName(p), info(p), "repeats"), (p, info(p).limit(1), "without a row"), (p, info(p).where("false"), "without a row")):
+        with pytest.raises(ValueError, match=fault):
+            catalog.add_packed(batch, rows)
+    assert catalog.facts("spectra_info", ["q"]).isEmpty() and catalog.facts("spectra_data", ["q"]).isEmpty()

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from foliar.operators import aggregate, columns, filters, joins, merge, ordered, quality, reshape
 from foliar.plans.reference_data import match_rate, match_species
+from foliar.plans.report import pairs_by_trait
 from foliar.schema import TABLES
 
 
@@ -400,3 +401,12 @@ def test_ledger_holds_a_count_per_reference_of_one_parent(spark):
     assert ledger.columns == ["key", "known", "n_0", "n_1"] and len(refs) == 4
     bad = {(r.table_name, r.column_name): (r.n_rows, r.n_keys) for r in quality.audit_orphans(tables).collect()}
     assert bad == {("species_dict", "projectcode"): (0, 0), ("species_dict", "speciescode"): (1, 1), ("samples", "projectcode"): (0, 0), ("samples", "speciescode"): (1, 1)}
+
+
+def test_trait_pairs_weigh_repeated_codes(spark):
+    tables = {
+        "samples": spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "samplecode string"),
+        "spectra_info": spark.createDataFrame([("a",), ("a",), ("a",), ("b",), (None,)], "samplecode string"),
+        "trait_data": spark.createDataFrame([("a", "t"), ("a", "t"), ("a", "u"), ("b", "t"), (None, "t"), ("z", "t")], "samplecode string, trait string"),
+    }
+    assert [tuple(r) for r in pairs_by_trait(tables).collect()] == [("t", 13), ("u", 6)]
