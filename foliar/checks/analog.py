@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from foliar.functions.nulls import paste_na
 from foliar.operators.joins import join
 from foliar.operators.reshape import melt, unpack
+from foliar.session import materialize
 
 BANDS = 64
 FIRST_BAND, BAND_STEP = 350, 10
@@ -31,6 +32,11 @@ class Views:
             self._raw[name] = self.spark.read.parquet(f"{self.sf}/{name}.parquet")
         return self._raw[name]
 
+    def keep(self, name: str) -> None:
+        """Store a view once for all the views that build on it."""
+        kept = materialize(getattr(self, name)(), name)
+        setattr(self, name, lambda: kept)
+
     def projects(self) -> DataFrame:
         return self.raw("region").select(
             F.col("r_regionkey").cast("long").alias("projectid"),

@@ -33,7 +33,9 @@ class Batch:
     whose rows are whole spectra gives them as ``packed`` instead (wavelengths
     and values as arrays), and ``spectra`` is read off that.
     ``methods`` has one row per instrument set-up; its ``match`` columns say
-    which spectra used it (none: all of them).
+    which spectra used it (none: all of them). Where the points do not carry
+    their spectrum's key, ``spectrum`` names the column that leads from
+    ``spectra`` to one row of ``spectra_info``.
     """
 
     sites: DataFrame
@@ -49,6 +51,7 @@ class Batch:
     match: tuple[str, ...] = ()
     projects: DataFrame | None = None
     packed: DataFrame | None = None
+    spectrum: str | None = None
     ledger: DataFrame | None = None  # what was read of each file, for batches from folders
 
     def __post_init__(self) -> None:
@@ -62,6 +65,10 @@ class Batch:
         """One row per spectrum with its whole key."""
         if self.packed is not None:
             return filled(self.packed, SPECTRUM_KEY)
+        if self.spectrum is not None:
+            # Packed by the short column first: the key meets a spectrum once, not each of its points.
+            owner = filled(self.spectra_info, SPECTRUM_KEY).select(self.spectrum, *SPECTRUM_KEY)
+            return join(pack(self.spectra, [self.spectrum]), owner, [self.spectrum], "inner", null_safe=False)
         return pack(filled(self.spectra, SPECTRUM_KEY), SPECTRUM_KEY)
 
 

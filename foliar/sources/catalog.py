@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliar.operators.aggregate import duplicate_keys
 from foliar.operators.joins import join
 from foliar.operators.merge import insert_if_absent, removed_keys, with_ids
 from foliar.operators.ordered import row_number_any
@@ -240,12 +241,18 @@ class Catalog:
             return self.append(name, merged.inserted)
         if "samplecode" not in by:
             raise ValueError(f"{name} is merged by keys with a samplecode")
-        # Stored once: the projects and the new rows are both read off it.
-        values = materialize(values.drop(key).withColumn(PROJECT, project_of("samplecode")), "batch")
-        present = self.facts(name, self._projects(values))
-        merged = insert_if_absent(present, values, by, key, on_duplicate, unique=unique, last_id=0)
-        before = self._reserve(name, self._top(merged.inserted, name))
-        self._put(name, merged.inserted.withColumn(key, F.col(key) + F.lit(before)), "append")
+        types = {f.name: f.dataType for f in STORED[name].schema.fields}
+        batch = values.select(*[F.col(c).cast(types[c]).alias(c) for c in values.columns if c in types and c != key])
+        # Numbered as it is stored: the projects are read off it, and where they hold nothing yet the numbers are the ids.
+        batch = row_number_any(batch.withColumn(PROJECT, project_of("samplecode")), key)
+        present = self.facts(name, self._projects(batch))
+        if on_duplicate == "first" or not present.isEmpty():
+            batch = insert_if_absent(present, batch.drop(key), by, key, on_duplicate, unique=unique, last_id=0).inserted
+        elif on_duplicate == "error" and not duplicate_keys(batch, by).isEmpty():
+            raise ValueError(f"the batch repeats keys of {list(by)}")
+        before = self._reserve(name, self._top(batch, name))
+        filled = [F.col(c) if c in batch.columns else F.lit(None).cast(t).alias(c) for c, t in types.items()]
+        self._put(name, batch.select(*filled, PROJECT).withColumn(key, F.col(key) + F.lit(before)), "append")
 
     def add_packed(self, packed: DataFrame, info: DataFrame) -> None:
         """Append spectra, one row each: ``packed`` has the spectrum's key, its wavelengths and values, ``info`` all of ``spectra_info``.

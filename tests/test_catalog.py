@@ -6,10 +6,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from foliar.operators import ordered
 from foliar.operators.merge import insert_if_absent, tee
 from foliar.operators.ordered import row_number_any
 from foliar.operators.quality import audit_orphans
-from foliar.plans.batch import first_of
+from foliar.plans.batch import Batch, first_of
 from foliar.plans.build import export_together, read_export
 from foliar.session import side_by_side, small_table
 from foliar.sources.catalog import PACKED, SPECTRUM_KEY, Catalog, project_of
@@ -264,3 +265,29 @@ def test_spectra_merge_refuses_repeats_and_strays(spark, catalog):
         with pytest.raises(ValueError, match=fault):
             catalog.add_packed(batch, rows)
     assert catalog.facts("spectra_info", ["q"]).isEmpty() and catalog.facts("spectra_data", ["q"]).isEmpty()
+
+
+def test_facts_of_a_new_project_are_stored_once_before_they_are_put(spark, catalog, monkeypatch):
+    labels = []
+    keep = ordered.materialize
+    monkeypatch.setattr(ordered, "materialize", lambda df, label: labels.append(label) or keep(df, label))
+    rows = small_table(spark, "samplecode string, trait string, traitvalue double", [(f"q|{i}|1", "t", 1.0) for i in range(9)])
+    catalog.add("trait_data", rows, ["samplecode", "trait"])
+    assert labels == ["segments"]
+    catalog.add("trait_data", rows.unionByName(rows.withColumn("trait", F.lit("u"))), ["samplecode", "trait"])
+    assert sorted(r.traitdataid for r in catalog.table("trait_data").collect()) == list(range(1, 29))
+    with pytest.raises(ValueError, match="repeats"):
+        catalog.add("samples", small_table(spark, "samplecode string", [("r|1|1",), ("r|1|1",)]), ["samplecode"])
+
+
+def test_points_without_their_key_are_packed_by_the_spectrum(spark, catalog):
+    points = spark.createDataFrame([(n, 350.0 + i, n + i / 4) for n in (1, 2, 3) for i in (1, 0, 0)], "rawid long, wavelength double, spectravalue double")
+    info_rows = spark.createDataFrame([(1, "q|1|1", "r"), (2, "q|2|1", "r"), (4, "q|4|1", "r"), (None, "q|5|1", "r")], "rawid long, samplecode string, spectratype string")
+    empty = info_rows.where("false")
+    b = Batch(sites=empty, plots=empty, samples=empty, spectra_info=info_rows, spectra=points, spectrum="rawid")
+    long = points.join(info_rows, "rawid").drop("rawid")
+    plain = Batch(sites=empty, plots=empty, samples=empty, spectra_info=info_rows, spectra=long)
+    got, want = (sorted(map(tuple, x.packed_spectra().select(*SPECTRUM_KEY, *PACKED).collect()), key=str) for x in (b, plain))
+    assert got == want and len(got) == 2 and got[0][4] == [350.0, 351.0]
+    text = plan(b.packed_spectra())
+    assert "samplecode" not in "".join(line for line in text.splitlines() if "collect_list" in line)
