@@ -3,6 +3,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from foliar import session
 from foliar.operators import aggregate, columns, filters, joins, merge, ordered, quality, reshape
 from foliar.plans.reference_data import match_rate, match_species
 from foliar.plans.report import pairs_by_trait
@@ -410,3 +411,14 @@ def test_trait_pairs_weigh_repeated_codes(spark):
         "trait_data": spark.createDataFrame([("a", "t"), ("a", "t"), ("a", "u"), ("b", "t"), (None, "t"), ("z", "t")], "samplecode string, trait string"),
     }
     assert [tuple(r) for r in pairs_by_trait(tables).collect()] == [("t", 13), ("u", 6)]
+
+
+def test_a_session_is_held_to_small_reads(spark):
+    for key, most in session.MOST_BYTES.items():
+        before = spark.conf.get(key)
+        try:
+            for given, want in (("64m", most), ("128MB", most), ("1m", "1m"), ("8388608b", "8388608b")):
+                spark.conf.set(key, given)
+                assert session.configure(spark).conf.get(key) == want
+        finally:
+            spark.conf.set(key, before)
