@@ -34,7 +34,7 @@ class Views:
 
     def keep(self, name: str) -> None:
         """Store a view once for all the views that build on it."""
-        kept = materialize(getattr(self, name)(), name)
+        kept = materialize(getattr(self, name)(), name, "zstd")
         setattr(self, name, lambda: kept)
 
     def projects(self) -> DataFrame:

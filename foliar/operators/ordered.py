@@ -28,7 +28,7 @@ def _positions(df: DataFrame) -> DataFrame:
     out = df.withColumn("__row", F.monotonically_increasing_id()).withColumns(
         {"__seg": F.shiftright(row, 33), "__pos": row.bitwiseAND(F.lit(_LOW33))}
     )
-    return materialize(out.drop("__row"), "segments")
+    return materialize(out.drop("__row"), "segments", "zstd")
 
 
 def segments(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:

@@ -197,7 +197,7 @@ def load(catalog: Catalog, b: Batch) -> None:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a shared intermediate once; several tables are read from it."""
-    return materialize(df, label)
+    return materialize(df, label, "zstd")
 
 
 def when_missing(c: str, value: Column) -> Column:

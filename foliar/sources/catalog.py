@@ -268,7 +268,7 @@ class Catalog:
         numbered = row_number_any(packed.select(*SPECTRUM_KEY, *PACKED), "__n")
         keys = numbered.select(*SPECTRUM_KEY, "__n")
         placed = info.select(*[c for c in STORED["spectra_info"].columns if c in info.columns and c != "spectraid"]).withColumn(PROJECT, project_of("samplecode"))
-        met = materialize(_meeting(placed, keys), "spectra-keys")
+        met = materialize(_meeting(placed, keys), "spectra-keys", "zstd")
         given = met.where("__n_info > 0")
         projects = self._projects(given)
         present = self.facts("spectra_info", projects).select(*SPECTRUM_KEY, "spectraid")

@@ -270,7 +270,7 @@ def test_spectra_merge_refuses_repeats_and_strays(spark, catalog):
 def test_facts_of_a_new_project_are_stored_once_before_they_are_put(spark, catalog, monkeypatch):
     labels = []
     keep = ordered.materialize
-    monkeypatch.setattr(ordered, "materialize", lambda df, label: labels.append(label) or keep(df, label))
+    monkeypatch.setattr(ordered, "materialize", lambda df, label, *codec: labels.append(label) or keep(df, label, *codec))
     rows = small_table(spark, "samplecode string, trait string, traitvalue double", [(f"q|{i}|1", "t", 1.0) for i in range(9)])
     catalog.add("trait_data", rows, ["samplecode", "trait"])
     assert labels == ["segments"]
