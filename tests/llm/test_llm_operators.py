@@ -15,7 +15,7 @@ pytest.importorskip("foliar.llm")
 from pyspark.sql import functions as F  # noqa: E402
 
 from foliar.llm import decontaminate, html_text, language_id, line_dedup, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, warc  # noqa: E402
-from foliar.llm._jobs import groups, labelled_sample  # noqa: E402
+from foliar.llm._jobs import groups, labelled_sample, link_buckets  # noqa: E402
 from foliar.session import scratch_path  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, name int"
@@ -527,3 +527,31 @@ def test_recall_of_line_keys():
                 total += 1
                 found += bool(set(keys[owner == 0]) & set(keys[owner == 1]))
         assert total > 250 and found >= 0.9 * total
+
+
+def test_lines_with_a_common_passage_elsewhere_are_not_compared(spark):
+    def pairs_of(spots):
+        seen = []
+
+        def verify(pairs):
+            seen.append(sorted(tuple(r) for r in pairs.collect()))
+            return pairs.where("false")
+
+        rows = [(i, [(1, spot)], (300, 0, 0, 0, 0)) for i, spot in enumerate(spots)]
+        facts = spark.createDataFrame(rows, "node long, keys array<struct<key:long,spot:int>>, sketch struct<chars:int,b0:long,b1:long,b2:long,b3:long>")
+        link_buckets(facts, line_dedup.alike, verify, line_dedup.near)
+        return seen[1]
+
+    assert pairs_of([0, 100, 200, 300]) == []
+    assert pairs_of([0, 30, 61]) == [(0, 1)]
+    assert pairs_of([0, line_dedup.ANYWHERE, 200]) == [(0, 1), (1, 2)]
+
+
+def test_places_of_line_keys():
+    line = prose(91, 30)
+    keys, owner, spots = line_dedup.placed_keys([line, "abcdefghij" * 4])
+    again, _, moved = line_dedup.placed_keys(["qqqqqqqqqq " + line])
+    place = dict(zip(keys[owner == 0].tolist(), spots[owner == 0].tolist()))
+    shared = [(place[k], m) for k, m in zip(again.tolist(), moved.tolist()) if k in place]
+    assert shared and all(m == p + 11 for p, m in shared)
+    assert (spots[owner == 1] == line_dedup.ANYWHERE).any() and len(keys) == len(line_dedup.gram_keys([line, "abcdefghij" * 4])[0])
