@@ -14,7 +14,7 @@ later rank can lower any slot: one to four ranks for texts of ordinary length.
 With 60 bands of 6 slots a pair exactly at the threshold is missed with
 probability (1 - 0.75^6)^60 = 8e-6, at 0.8 with 1e-8. Pairs whose signatures
 differ in too many slots (4 bits of each are compared) are not confirmed on full
-sets: MAX_DIFFERENT lies 4.5 deviations above what a pair at the threshold has.
+sets: the bound lies 4.5 deviations above what a pair at the threshold has.
 
 Texts with equal sets are one class before anything is compared; the hot group
 of copies is a grouped minimum. Links between classes are found per band by
@@ -37,8 +37,11 @@ BAND_SLOTS = 6
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 75
 PLANES = 4
-# Slots of a pair at 0.75 differ, as far as 4 bits show it, with probability 0.25 * 15 / 16: 84 of 360, deviation 8.
-MAX_DIFFERENT = 121
+# Slots of a pair at 0.75 differ, as far as 4 bits show it, with probability 0.25 * 15 / 16: 84 of 360. SuperMinHash's
+# deviation grows with the union (at 0.75 it holds 4/7 of both sets): 6.1 up to 360 shingles, 6.8 up to 1,000, 8 at most.
+# (Shingles of both sets together, slots that may differ): 4.5 deviations each.
+MAX_DIFFERENT = ((630, 112), (1750, 115))
+MAX_DIFFERENT_OF_LARGE = 121
 _TRACED_RANKS = 8
 
 
@@ -122,7 +125,10 @@ def alike(x: Column, y: Column) -> Column:
             bits = other if bits is None else bits.bitwiseOR(other)
         different = F.bit_count(bits) if different is None else different + F.bit_count(bits)
     sized = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * THRESHOLD_PERCENT
-    return sized & (different <= MAX_DIFFERENT)
+    most = F.lit(MAX_DIFFERENT_OF_LARGE)
+    for both, slots in reversed(MAX_DIFFERENT):
+        most = F.when(x["n"] + y["n"] <= both, slots).otherwise(most)
+    return sized & (different <= most)
 
 
 def _signatures(batches):

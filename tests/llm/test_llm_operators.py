@@ -555,3 +555,29 @@ def test_places_of_line_keys():
     shared = [(place[k], m) for k, m in zip(again.tolist(), moved.tolist()) if k in place]
     assert shared and all(m == p + 11 for p, m in shared)
     assert (spots[owner == 1] == line_dedup.ANYWHERE).any() and len(keys) == len(line_dedup.gram_keys([line, "abcdefghij" * 4])[0])
+
+
+def test_pairs_of_near_texts_are_bounded_by_their_size(spark):
+    def alike(n, different):
+        bits = "".join("1" if i < different else "0" for i in range(384))
+        words = [int(bits[i : i + 64], 2) for i in range(0, 384, 64)]
+        words = [w - (1 << 64) if w >= 1 << 63 else w for w in words]
+        zeros = [0] * 6 * minhash_dedup.PLANES
+        row = spark.createDataFrame([((n, words + zeros[6:]), (n, zeros))], "x struct<n:long,low:array<long>>, y struct<n:long,low:array<long>>")
+        return row.select(minhash_dedup.alike(F.col("x"), F.col("y"))).first()[0]
+
+    assert [alike(146, d) for d in (112, 113)] == [True, False]
+    assert [alike(800, d) for d in (115, 116)] == [True, False]
+    assert [alike(5000, d) for d in (121, 122)] == [True, False]
+
+
+def test_a_near_pair_is_made_under_one_of_its_keys(spark):
+    seen = []
+
+    def verify(pairs):
+        seen.append(sorted(tuple(r) for r in pairs.collect()))
+        return pairs.where("false")
+
+    facts = spark.createDataFrame([(i, [7, 8, 9, 10 + i], 1) for i in range(4)], "node long, keys array<long>, sketch int")
+    assert link_buckets(facts, lambda x, y: x == y, verify).count() == 0
+    assert seen[1] == [(a, b) for a in range(4) for b in range(a + 1, 4)]
