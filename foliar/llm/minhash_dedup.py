@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliar.llm._jobs import groups, link_buckets, narrow, odd_ids, stored
+from foliar.llm._jobs import among, groups, link_buckets, narrow, odd_ids, stored
 from foliar.llm._text import blocks, mix, shingle_sets
 
 SLOTS = 360
@@ -213,7 +213,7 @@ def _components(texts: DataFrame) -> DataFrame:
     def verify(pairs: DataFrame) -> DataFrame:
         close = stored(pairs, "close")
         wanted = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id"))).distinct()
-        sets = stored(texts.join(wanted, "id", "left_semi").mapInArrow(_sets, f"id {kind}, members binary"), "sets")
+        sets = stored(among(texts, wanted, "id").mapInArrow(_sets, f"id {kind}, members binary"), "sets")
         first = sets.select(F.col("id").alias("a"), F.col("members").alias("set_a"))
         second = sets.select(F.col("id").alias("b"), F.col("members").alias("set_b"))
         return close.join(first, "a").join(second, "b").mapInArrow(_confirmed, f"a {kind}, b {kind}")

@@ -15,7 +15,7 @@ pytest.importorskip("foliar.llm")
 from pyspark.sql import functions as F  # noqa: E402
 
 from foliar.llm import decontaminate, html_text, language_id, line_dedup, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, warc  # noqa: E402
-from foliar.llm._jobs import groups, labelled_sample, link_buckets  # noqa: E402
+from foliar.llm._jobs import among, groups, labelled_sample, link_buckets  # noqa: E402
 from foliar.session import scratch_path  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, name int"
@@ -581,3 +581,12 @@ def test_a_near_pair_is_made_under_one_of_its_keys(spark):
     facts = spark.createDataFrame([(i, [7, 8, 9, 10 + i], 1) for i in range(4)], "node long, keys array<long>, sketch int")
     assert link_buckets(facts, lambda x, y: x == y, verify).count() == 0
     assert seen[1] == [(a, b) for a in range(4) for b in range(a + 1, 4)]
+
+
+def test_wanted_rows_are_sieved_before_the_shuffle(spark):
+    rows = spark.range(3000).select(F.col("id"), F.col("id").cast("string").alias("text"))
+    wanted = rows.where("id % 7 = 0").select("id")
+    got = among(rows, wanted, "id")
+    assert sorted((r.id, r.text) for r in got.collect()) == [(i, str(i)) for i in range(0, 3000, 7)]
+    assert among(rows, wanted.where("false"), "id").count() == 0
+    assert "bitmap_construct_agg" in got._jdf.queryExecution().executedPlan().toString()
