@@ -14,7 +14,8 @@ pytest.importorskip("foliar.llm")
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from foliar.llm import decontaminate, html_text, language_id, line_dedup, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, warc  # noqa: E402
+from foliar import session  # noqa: E402
+from foliar.llm import _jobs, decontaminate, html_text, language_id, line_dedup, minhash_dedup, mixing, quality_rules, suffix_dedup, toxicity, warc  # noqa: E402
 from foliar.llm._jobs import among, groups, labelled_sample, link_buckets  # noqa: E402
 from foliar.session import scratch_path  # noqa: E402
 
@@ -590,3 +591,46 @@ def test_wanted_rows_are_sieved_before_the_shuffle(spark):
     assert sorted((r.id, r.text) for r in got.collect()) == [(i, str(i)) for i in range(0, 3000, 7)]
     assert among(rows, wanted.where("false"), "id").count() == 0
     assert "bitmap_construct_agg" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scratch_tables_go_once_they_are_used(spark, tmp_path, monkeypatch):
+    """What line deduplication leaves in the scratch folder is the list of lines to remove and links, no keys and no forms."""
+    sets = [prose(300 + i, 40) for i in range(30)]
+    texts = [f"{t}\n{t[:-1]}y" for t in sets] + sets
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path))
+    got = line_dedup.dedup_lines(docs_of(spark, texts)).orderBy("doc_id").collect()
+    assert [r.n_removed for r in got] == [1] * 60 and all(r.text == s for r, s in zip(got, sets))
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+    assert "lines-to-remove" in left and not left & {"lines", "line-classes", "line-keys", "members", "sketches", "compared", "grouped", "open", "open-sketches", "doubled"}
+
+
+def test_keys_are_dealt_out_once_and_in_turns(spark):
+    """One shuffle of (key, node, spot) serves the count and the join, and it holds a part of the keys."""
+    rows = [(i, [(k, 5) for k in range(i % 5, 400, 5)] + [(1000 + i, ANY)], 0) for i, ANY in enumerate([line_dedup.ANYWHERE] * 20)]
+    facts = spark.createDataFrame(rows, "node long, keys array<struct<key:long,spot:int>>, sketch int")
+    dealt = []
+
+    def keep(df, label):
+        if label == "members":
+            df.collect()
+            dealt.append(df._jdf.queryExecution().executedPlan().toString())
+        return session.materialize(df, label)
+
+    old, _jobs.stored = _jobs.stored, keep
+    try:
+        turns = _jobs._members(facts, ["spot"])
+    finally:
+        _jobs.stored = old
+    assert len(turns) == _jobs.KEY_TURNS > 1 and all("ReusedExchange" in plan for plan in dealt)
+    got = sorted(tuple(r) for t in turns for r in t.select("key", "node", "spot").collect())
+    assert got == sorted((k, n, 5) for n, keys, _ in rows for k, _ in keys if k < 1000)
+    heads = [t.select("key", "head").distinct().count() for t in turns]
+    assert sum(heads) == 400 and min(heads) > 0
+
+
+def test_normal_form_of_ascii_and_other_lines():
+    rng = random.Random(6)
+    letters = [chr(i) for i in range(300)] + list("٣²½Ⅷİßﬁ")
+    for n in range(2000):
+        line = "".join(rng.choices(letters[: 128 if n % 2 else None], k=rng.randrange(30)))
+        assert line_dedup.normal_form(line) == re.sub(r"[\W_]+", " ", re.sub(r"\d", "0", line.lower())).strip()
