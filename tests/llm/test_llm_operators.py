@@ -594,14 +594,14 @@ def test_wanted_rows_are_sieved_before_the_shuffle(spark):
 
 
 def test_scratch_tables_go_once_they_are_used(spark, tmp_path, monkeypatch):
-    """What line deduplication leaves in the scratch folder is the list of lines to remove and links, no keys and no forms."""
+    """What line deduplication leaves in the scratch folder is the names of lines, those repeated and links, no keys and no forms."""
     sets = [prose(300 + i, 40) for i in range(30)]
     texts = [f"{t}\n{t[:-1]}y" for t in sets] + sets
     monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path))
     got = line_dedup.dedup_lines(docs_of(spark, texts)).orderBy("doc_id").collect()
     assert [r.n_removed for r in got] == [1] * 60 and all(r.text == s for r, s in zip(got, sets))
     left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
-    assert "lines-to-remove" in left and not left & {"lines", "line-classes", "line-keys", "members", "sketches", "compared", "grouped", "open", "open-sketches", "doubled"}
+    assert "doubled" in left and not left & {"line-classes", "line-keys", "members", "sketches", "compared", "grouped", "open", "open-sketches"}
 
 
 def test_keys_are_dealt_out_once_and_in_turns(spark):
