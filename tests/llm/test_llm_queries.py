@@ -37,6 +37,13 @@ def test_stages_keep_the_columns(spark):
         assert stage(spark, docs, SF).columns == docs.columns
 
 
+def test_stage_inputs_are_stored_packed(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows, key = corpus_pipeline._numbered(docs)
+    assert rows.count() == docs.count() and rows.columns == [key, *docs.columns]
+    assert all(".zstd." in name for name in rows.inputFiles())
+
+
 WORDS = re.compile("[^\x20\x09-\x0d]+")
 
 
