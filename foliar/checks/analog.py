@@ -74,19 +74,19 @@ class Views:
             F.split_part("p_name", F.lit(" "), F.lit(2)).alias("species"),
         )
 
-    def species_attributes(self) -> DataFrame:
-        return (
-            self.raw("part")
-            .where("p_size >= 10")
-            .select(
-                F.concat(F.lit("SP"), F.col("p_partkey").cast("string")).alias("speciescode"),
-                F.col("p_type").alias("growth_form"),
-                F.when(F.col("p_size") < 30, "C3").when(F.col("p_size") < 45, "C4").alias("ps_type"),
-                F.split_part("p_name", F.lit(" "), F.lit(1)).alias("myco_asso"),
-                F.lower("p_brand").alias("shade_tolerance"),
-            )
+    def attributes_of(self, part: DataFrame) -> DataFrame:
+        return part.select(
+            F.concat(F.lit("SP"), F.col("p_partkey").cast("string")).alias("speciescode"),
+            F.col("p_type").alias("growth_form"),
+            F.when(F.col("p_size") < 30, "C3").when(F.col("p_size") < 45, "C4").alias("ps_type"),
+            F.split_part("p_name", F.lit(" "), F.lit(1)).alias("myco_asso"),
+            F.lower("p_brand").alias("shade_tolerance"),
         )
 
+    def species_attributes(self) -> DataFrame:
+        """Attributes of the larger parts only, as its SQL has it, so reports meet species without any."""
+        return self.attributes_of(self.raw("part").where("p_size >= 10"))
+
     def species_dict(self) -> DataFrame:
         """Brand codes by project, through the parts each project's suppliers ship."""
         supplier = self.raw("supplier").select("s_suppkey", F.col("s_nationkey").cast("long").alias("siteid"))
