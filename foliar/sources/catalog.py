@@ -52,6 +52,7 @@ class Catalog:
         self.spark = spark
         self.root = root.rstrip("/")
         self._ids = threading.Lock()
+        self._writing = {name: threading.Lock() for name in STORED}
 
     # --- layout of the small tables ---------------------------------------------
     def _batches(self, name: str) -> tuple[int, list[str]]:
@@ -86,7 +87,9 @@ class Catalog:
 
     def _put(self, name: str, df: DataFrame, mode: str, overwrite: str = "static") -> None:
         writer = df.select(*STORED[name].columns, PROJECT).write.mode(mode).option("partitionOverwriteMode", overwrite)
-        writer.partitionBy(PROJECT).parquet(f"{self.root}/{name}")
+        # Loads that run side by side share the table's folder, and a write that ends clears the temporary files of all.
+        with self._writing[name]:
+            writer.partitionBy(PROJECT).parquet(f"{self.root}/{name}")
 
     def _last_id(self, name: str) -> int:
         marks = self._read(f"{name}-ids", T.StructType([T.StructField("last", T.LongType())]))
